@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbrera.llm import bpe, knn, mix, rank, split, tokens
+from lumbrera.llm import bpe, knn, language, mix, rank, sentences, split, tokens
 from lumbrera.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def queries() -> dict[str, Query]:
         "p1_found": lambda s, d: rank.first_of_ranking(table(s, d, "puntajes")).select("corrida_id", "query_id", "chunk_id"),
         "p4_found": lambda s, d: knn.similar_pairs(table(s, d, "vectores")),
         "p4_vecinos": lambda s, d: knn.top_neighbours(table(s, d, "vectores")),
+        "p5_found": lambda s, d: language.mislabelled_paragraphs(table(s, d, "corpus_limpio")),
+        "p5_tramos": lambda s, d: language.language_segments(table(s, d, "corpus_limpio")),
+        "p6_found": lambda s, d: sentences.sentence_offsets(table(s, d, "corpus_limpio")),
+        "p6_oraciones": lambda s, d: sentences.sentences(table(s, d, "corpus_limpio")),
         "p7_found": lambda s, d: tokens.doubtful_chunks(table(s, d, "chunks")),
         "p7_totales": lambda s, d: tokens.token_budget(table(s, d, "chunks")),
         "p8_ids": lambda s, d: bpe.encode(table(s, d, "documents"), "text", keep=("doc_id",)),
