@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbrera.llm import bpe, knn, language, mix, rank, scans, sentences, split, tokens
+from lumbrera.llm import bpe, knn, language, mix, pages, rank, scans, sentences, split, tokens
 from lumbrera.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: rank.first_of_ranking(table(s, d, "puntajes")).select("corrida_id", "query_id", "chunk_id"),
+        "p2_found": lambda s, d: pages.boilerplate_lines(table(s, d, "extraidos")),
+        "p2_cuerpo": lambda s, d: pages.main_text(table(s, d, "extraidos")),
         "p3_found": lambda s, d: scans.noisy_lines(table(s, d, "extraidos")),
         "p3_parrafos": lambda s, d: scans.repaired_paragraphs(table(s, d, "extraidos")),
         "p4_found": lambda s, d: knn.similar_pairs(table(s, d, "vectores")),
