@@ -1,11 +1,448 @@
-"""Registered queries of the reference-equivalent operators with their SQL."""
+"""Registered queries over the driver's tables, each with the SQL that states the same result where SQL can."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from lumbrera.functions import text as tx
+from lumbrera.functions import vectors as vx
+from lumbrera.functions.jsontext import flat_text
+from lumbrera.operators import chunking, graph, ingest, metrics, search
+from lumbrera.plans import pipelines
+from lumbrera.session import table, written
+from lumbrera.sources import files
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+# --- inputs shared by several queries ----------------------------------------------------------------------------------------
+
+
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    """Usable vectors of vectores at unit length, one row a vec_id."""
+    v = table(spark, d, "vectores").filter("embedding is not null").dropDuplicates(["vec_id"])
+    return v.select("vec_id", "chunk_id", vx.unit(F.col("embedding")).alias("v")).filter("v is not null")
+
+
+_UNITS = """units AS (SELECT vec_id, chunk_id, list_transform(e, lambda x: x / n) AS v FROM
+  (SELECT vec_id, chunk_id, e, sqrt(list_dot_product(e, e)) AS n FROM (SELECT DISTINCT vec_id, chunk_id, embedding::DOUBLE[] AS e FROM vectores WHERE embedding IS NOT NULL)) WHERE n > 0)"""
+_TOPK = """hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM
+  (SELECT q.vec_id AS query_id, b.vec_id AS id, b.label AS doc_id, round(list_dot_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings b WHERE q.vec_id % 100 = 0) QUALIFY rank <= 30)"""
+
+
+def _label_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The 30 nearest of embeddings for every query (ids divisible by 100), label being the document."""
+    e = table(spark, d, "embeddings")
+    hits = search.exact_topk(e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), 30)
+    return hits.join(e.select(F.col("vec_id").alias("id"), F.col("label").alias("doc_id")), "id")
+
+
+def _corpus(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "corpus_limpio").dropDuplicates()
+
+
+def _chunks(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").dropDuplicates()
+
+
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "puntajes").dropDuplicates()
+
+
+def _ranking(scores: DataFrame, score: str) -> DataFrame:
+    return search.ranked(scores.filter(F.col(score).isNotNull()), ["corrida_id", "query_id"], [F.desc(score), F.asc("chunk_id")], search.TOP_K).select("corrida_id", "query_id", "chunk_id", F.col(score).alias("score"), "rank")
+
+
+_SCORES = "s AS (SELECT DISTINCT * FROM puntajes)"
+_RANK = "SELECT corrida_id, query_id, chunk_id, {0} AS score, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY {0} DESC, chunk_id) AS rank FROM s WHERE {0} IS NOT NULL QUALIFY rank <= 30"
+_FUSED = f"""{_SCORES}, a AS ({_RANK.format("coseno")}), b AS ({_RANK.format("evidencia_grafo")}),
+f AS (SELECT coalesce(a.corrida_id, b.corrida_id) AS corrida_id, coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_id, b.chunk_id) AS chunk_id, a.rank AS rank_a, b.rank AS rank_b,
+  coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0) AS score FROM a FULL JOIN b ON a.corrida_id = b.corrida_id AND a.query_id = b.query_id AND a.chunk_id = b.chunk_id),
+fused AS (SELECT *, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY score DESC, rank_a NULLS LAST, chunk_id) AS rank FROM f)"""
+
+
+def _fused(spark: SparkSession, d: str) -> DataFrame:
+    s = _scores(spark, d)
+    return search.reciprocal_rank_fusion(_ranking(s, "coseno"), _ranking(s, "evidencia_grafo"), ["corrida_id", "query_id"], "chunk_id")
+
+
+# --- sources, projections, routing -------------------------------------------------------------------------------------------
+
+
+@query("SELECT fenomeno, extension, count(*) AS archivos FROM (SELECT DISTINCT * FROM registro) WHERE fenomeno IS NOT NULL AND extension IS NOT NULL GROUP BY ALL")
+def inventory_counts(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.extension_counts(table(spark, d, "registro").dropDuplicates())
+
+
+@query("""SELECT path, printf('DOC-%04d', (row_number() OVER (ORDER BY path) - 1)::BIGINT) AS doc_id, replace(extension, '.', '') AS formato, replace(path, '\\', '/') AS fuente
+FROM (SELECT path, min(extension) AS extension FROM registro GROUP BY path)""")
+def registry_ids(spark: SparkSession, d: str) -> DataFrame:
+    paths = table(spark, d, "registro").groupBy("path").agg(F.min("extension").alias("extension"), F.min("size_kb").alias("size_kb"), F.min("fenomeno").alias("fenomeno"))
+    return ingest.registry(paths).select("path", "doc_id", "formato", "fuente")
+
+
+@query("""SELECT doc_id, fuente, coalesce(try_cast(nullif(regexp_extract(fuente, '[Ff](\\d{1,9})_', 1), '') AS INT), 0) AS numero,
+CASE WHEN starts_with(replace(fuente, '\\', '/'), 'data/raw/') THEN substr(replace(fuente, '\\', '/'), 10) ELSE replace(fuente, '\\', '/') END AS ruta FROM (SELECT DISTINCT doc_id, fuente FROM corpus_limpio)""")
+def phenomenon_number(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "corpus_limpio").select("doc_id", "fuente").distinct()
+    return docs.select("doc_id", "fuente", tx.phenomenon_number(F.col("fuente")).alias("numero"), tx.path_key(F.col("fuente")).alias("ruta"))
+
+
+@query("""SELECT path, CASE lower(formato) WHEN 'html' THEN 'html' WHEN 'htm' THEN 'html' WHEN 'pdf' THEN 'pdf' WHEN 'csv' THEN 'tabular' WHEN 'xlsx' THEN 'tabular' WHEN 'png' THEN 'image' WHEN 'jpg' THEN 'image'
+WHEN 'jpeg' THEN 'image' WHEN 'txt' THEN 'text' WHEN 'docx' THEN 'text' WHEN 'json' THEN 'json' WHEN 'pbf' THEN CASE WHEN contains(replace(path, '\\', '/'), '/tiles/') THEN 'tile' ELSE 'osm' END END AS extractor
+FROM (SELECT DISTINCT path, formato FROM registro)""")
+def format_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "registro").select("path", "formato").distinct().select("path", ingest.extractor(F.col("formato"), F.col("path")).alias("extractor"))
+
+
+_STATUS = """e AS (SELECT DISTINCT doc_id, fuente, formato, texto FROM extraidos),
+st AS (SELECT *, CASE WHEN fuente IS NULL THEN 'invalid row' WHEN coalesce(lower(formato), '') NOT IN ('html','htm','pdf','csv','xlsx','png','jpg','jpeg','txt','docx','json','pbf') THEN 'no extractor for ' || coalesce(formato, 'null')
+  WHEN NOT coalesce(regexp_matches(texto, '[^\\s\\x{00a0}]'), false) THEN 'empty text' END AS error FROM e)"""
+
+
+def _status(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.extraction_status(table(spark, d, "extraidos").select("doc_id", F.col("fuente").alias("path"), "formato", "texto").distinct())
+
+
+@query(f"WITH {_STATUS} SELECT coalesce(error, 'ok') AS estado, count(*) AS documentos FROM st GROUP BY ALL")
+def extraction_outcome(spark: SparkSession, d: str) -> DataFrame:
+    return _status(spark, d).groupBy(F.coalesce("error", F.lit("ok")).alias("estado")).agg(F.count("*").alias("documentos"))
+
+
+@query(f"WITH {_STATUS} SELECT doc_id, path, formato FROM (SELECT DISTINCT doc_id, path, formato FROM registro) r WHERE doc_id IN (SELECT doc_id FROM st WHERE error IS NOT NULL)")
+def rerun_failed(spark: SparkSession, d: str) -> DataFrame:
+    failed = ingest.extracted_and_failed(_status(spark, d))[1]
+    return ingest.to_run_again(table(spark, d, "registro").select("doc_id", "path", "formato").distinct(), failed)
+
+
+_REG = "reg AS (SELECT doc_id, min(fuente) AS fuente, min(formato) AS formato FROM registro GROUP BY doc_id)"
+_LANG = "lang AS (SELECT doc_id, min(idioma) AS idioma, min(texto_completo) AS texto FROM corpus_limpio GROUP BY doc_id)"
+_OFF = "off AS (SELECT CASE WHEN starts_with(replace(fuente, '\\', '/'), 'data/raw/') THEN substr(replace(fuente, '\\', '/'), 10) ELSE replace(fuente, '\\', '/') END AS ruta, min('OF-' || doc_id) AS doc_oficial FROM reg WHERE formato <> 'json' GROUP BY 1)"
+_CAND = """cand AS (SELECT reg.*, lang.idioma, lang.texto, coalesce(try_cast(nullif(regexp_extract(reg.fuente, '[Ff](\\d{1,9})_', 1), '') AS INT), 0) AS fenomeno,
+  CASE WHEN starts_with(replace(reg.fuente, '\\', '/'), 'data/raw/') THEN substr(replace(reg.fuente, '\\', '/'), 10) ELSE replace(reg.fuente, '\\', '/') END AS ruta FROM reg JOIN lang USING (doc_id)
+  WHERE reg.formato IS NOT NULL AND regexp_matches(lang.texto, '[^\\s\\x{00a0}]'))"""
+
+
+def _assembled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    reg = table(spark, d, "registro").groupBy("doc_id").agg(F.min("fuente").alias("fuente"), F.min("formato").alias("formato"))
+    docs = table(spark, d, "corpus_limpio").groupBy("doc_id").agg(F.min("idioma").alias("idioma"), F.min("texto_completo").alias("texto"))
+    official = reg.filter("formato <> 'json'").groupBy(tx.path_key(F.col("fuente")).alias("ruta")).agg(F.min(F.concat(F.lit("OF-"), "doc_id")).alias("doc_oficial"))
+    return ingest.build_corpus(reg, docs, docs, official)
+
+
+@query(f"WITH {_REG}, {_LANG}, {_OFF}, {_CAND} SELECT doc_oficial AS doc_id, fuente, formato, fenomeno, idioma, length(texto) AS largo FROM cand JOIN off USING (ruta) WHERE fenomeno BETWEEN 1 AND 3")
+def corpus_filter(spark: SparkSession, d: str) -> DataFrame:
+    return _assembled(spark, d)[0].select("doc_id", "fuente", "formato", "fenomeno", "idioma", F.length("texto_completo").alias("largo"))
+
+
+@query(f"WITH {_REG}, {_LANG}, {_OFF}, {_CAND} SELECT doc_id, fuente FROM cand WHERE fenomeno BETWEEN 1 AND 3 AND ruta NOT IN (SELECT ruta FROM off)")
+def excluded_documents(spark: SparkSession, d: str) -> DataFrame:
+    return _assembled(spark, d)[1]
+
+
+@query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_custkey IS NOT NULL THEN 'c_custkey: ' || c_custkey END, CASE WHEN trim(c_name) <> '' THEN 'c_name: ' || c_name END,
+CASE WHEN c_nationkey IS NOT NULL THEN 'c_nationkey: ' || c_nationkey END, CASE WHEN trim(c_mktsegment) <> '' THEN 'c_mktsegment: ' || c_mktsegment END], lambda x: x IS NOT NULL), ', ') AS texto FROM customer""")
+def tabular_rows(spark: SparkSession, d: str) -> DataFrame:
+    names = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    return table(spark, d, "customer").select("c_custkey", tx.row_text(names).alias("texto"))
+
+
+@query("SELECT event_id, 'k: ' || json_extract_string(props, '$.k') AS texto FROM events")
+def json_flatten(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", flat_text(F.col("props")).alias("texto"))
+
+
+@query("SELECT query_id, regexp_replace(trim(text), '\\s+', ' ', 'g') AS text FROM consultas")
+def query_bank(spark: SparkSession, d: str) -> DataFrame:
+    """The bank as one text with a preamble and wrapped lines, parsed again."""
+    q = table(spark, d, "consultas").agg(F.array_sort(F.collect_list(F.struct("query_id", "text"))).alias("q"))
+    lines = F.transform("q", lambda x: F.concat(x["query_id"], F.lit("  "), F.regexp_replace(x["text"], " ", "\n")))
+    return files.query_bank(q.select(F.concat(F.lit("Banco de consultas\n\n"), F.array_join(lines, "\n\n")).alias("value")))
+
+
+# --- text --------------------------------------------------------------------------------------------------------------------
+
+_MONTHS = "|".join(tx.MONTHS)
+
+
+@query(f"""WITH t AS (SELECT doc_id, nfc_normalize(texto) AS t FROM (SELECT DISTINCT doc_id, 'Página 4 de 30' || chr(10) || '  17  ' || chr(10) || texto_completo || chr(10) || 'enero 2018 https://orbita.example/a' AS texto FROM corpus_limpio WHERE texto_completo IS NOT NULL))
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '(?i)\\b(?:página|pág|page)\\s+\\d+(?:\\s+(?:de|of)\\s+\\d+)?\\b', '', 'g'),
+'(?m)^\\s*\\d+\\s*$', '', 'g'), 'https?://\\S+|www\\.\\S+', '', 'g'), '(?i)\\b(?:{_MONTHS})\\s+\\d{{4}}\\b', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g') AS t2,
+regexp_replace(regexp_replace(t2, '^[\\s\\x{{00a0}}]+', ''), '[\\s\\x{{00a0}}]+$', '') AS texto FROM t""".replace("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,", "SELECT doc_id, texto FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,") + ")")
+def clean_text(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaning of every text with a page mark, a lone number, a month stamp and a link added."""
+    docs = table(spark, d, "corpus_limpio").filter("texto_completo is not null").select("doc_id", F.concat(F.lit("Página 4 de 30\n  17  \n"), "texto_completo", F.lit("\nenero 2018 https://orbita.example/a")).alias("t")).distinct()
+    return docs.select("doc_id", tx.clean_text(F.col("t")).alias("texto"))
+
+
+_STRIPPED = "regexp_replace(regexp_replace(text, '^[\\s\\x{0085}\\x{00a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ''), '[\\s\\x{0085}\\x{00a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '')"
+_WS = "[\\s\\x{000b}\\x{0085}\\x{00a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+
+
+@query(f"SELECT doc_id, unnest(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(text, '^{_WS}', ''), '{_WS}$', ''), '([.!?]){_WS}', '\\1' || chr(30), 'g'), chr(30)), lambda s: s <> '')) AS oracion FROM documents WHERE text IS NOT NULL")
+def regex_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.explode(tx.regex_sentences(F.col("text"))).alias("oracion"))
+
+
+@query(f"SELECT doc_id, coalesce(len(list_filter(regexp_split_to_array(text, '{_WS}'), lambda w: w <> '')), 0)::INT AS palabras, coalesce(ceil(length(text) / 3.7::DOUBLE)::INT, 0) AS tokens FROM documents")
+def word_count(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", tx.word_count(F.col("text")).alias("palabras"), tx.token_estimate(F.col("text")).alias("tokens"))
+
+
+@query("SELECT doc_id, posicion, printf('%s-chunk-%03d', doc_id, posicion) AS chunk_id FROM (SELECT DISTINCT doc_id, posicion FROM chunks)")
+def chunk_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").select("doc_id", "posicion").distinct().select("doc_id", "posicion", tx.chunk_id(F.col("doc_id"), F.col("posicion")).alias("chunk_id"))
+
+
+@query("SELECT idioma, CASE lower(idioma) WHEN 'en' THEN 'en' WHEN 'english' THEN 'en' WHEN 'pt' THEN 'pt' WHEN 'portuguese' THEN 'pt' ELSE 'es' END AS codigo, count(*) AS n FROM (SELECT DISTINCT * FROM corpus_limpio) GROUP BY ALL")
+def lang_normalise(spark: SparkSession, d: str) -> DataFrame:
+    return _corpus(spark, d).groupBy("idioma", tx.supported_language(F.col("idioma")).alias("codigo")).agg(F.count("*").alias("n"))
+
+
+@query()
+def clean_and_detect(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.clean_all(table(spark, d, "extraidos").select("doc_id", "texto").distinct())
+
+
+@query()
+def chunk_corpus(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.chunk_corpus(_corpus(spark, d))
+
+
+# --- vectors and search ------------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_UNITS} SELECT query_id, id, score, rank FROM (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM
+(SELECT q.vec_id AS query_id, b.vec_id AS id, round(list_dot_product(q.v, b.v), 6) AS score FROM units q, units b WHERE q.vec_id % 100 = 0)) WHERE rank <= 10""")
+def vector_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The 10 nearest chunks of every vector whose id is divisible by 100, exactly."""
+    u = written(_units(spark, d))
+    return search.exact_topk(u.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("vector")), u.select(F.col("vec_id").alias("id"), F.col("v").alias("vector")), 10)
+
+
+@query(f"WITH {_TOPK} SELECT query_id, doc_id, score, rank FROM (SELECT query_id, doc_id, s AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, f)::INT AS rank FROM (SELECT query_id, doc_id, max(score) AS s, min(rank) AS f FROM hits GROUP BY ALL)) WHERE rank <= 3")
+def doc_maxpool(spark: SparkSession, d: str) -> DataFrame:
+    return search.pooled_documents(_label_hits(spark, d))
+
+
+@query(f"WITH {_TOPK} SELECT query_id, doc_id, score, rank FROM (SELECT query_id, doc_id, s AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, f)::INT AS rank FROM (SELECT query_id, doc_id, greatest(max(score) - 0.5, 0) AS s, min(rank) AS f FROM hits GROUP BY ALL)) WHERE rank <= 3")
+def doc_maxpool_clamped(spark: SparkSession, d: str) -> DataFrame:
+    """Scores lowered by 0.5, so that the floor of 0 shows."""
+    return search.pooled_documents(_label_hits(spark, d).withColumn("score", F.col("score") - 0.5), floor=0.0)
+
+
+@query("SELECT vec_id, round(sqrt(list_dot_product(e, e)), 6) AS norma FROM (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM vectores WHERE embedding IS NOT NULL)")
+def l2_norms(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "vectores").filter("embedding is not null").dropDuplicates(["vec_id"]).select("vec_id", F.round(vx.norm(F.col("embedding")), 6).alias("norma"))
+
+
+_MEANS = "m AS (SELECT label, p, avg(x) AS x FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings) GROUP BY ALL)"
+
+
+@query(f"WITH {_MEANS} SELECT label, p::INT AS posicion, round(x, 6) AS media FROM m")
+def mean_pooling(spark: SparkSession, d: str) -> DataFrame:
+    pooled = vx.mean_pool(table(spark, d, "embeddings"), "label", "embedding")
+    return pooled.select("label", F.posexplode("embedding").alias("p", "x")).select("label", (F.col("p") + 1).alias("posicion"), F.round("x", 6).alias("media"))
+
+
+@query(f"WITH {_MEANS}, v AS (SELECT label, list(x ORDER BY p) AS v FROM m GROUP BY label) SELECT a.label AS a, b.label AS b, round(list_dot_product(a.v, b.v), 6) AS score FROM v a, v b")
+def similarity_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of the labels' mean vectors, ten by ten."""
+    return search.similarity_matrix(vx.mean_pool(table(spark, d, "embeddings"), "label", "embedding"), "label", "embedding").withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {_MEANS}, v AS (SELECT label, list(x ORDER BY p) AS v FROM m GROUP BY label)
+SELECT query_id, id, score, rank FROM (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM (SELECT v.label AS query_id, e.vec_id AS id, round(list_dot_product(v.v, e.embedding::DOUBLE[]), 6) AS score FROM v, embeddings e)) WHERE rank <= 10""")
+def hyde_search(spark: SparkSession, d: str) -> DataFrame:
+    """Search by a substitute: the mean vector of each label in place of a query's own."""
+    e = table(spark, d, "embeddings")
+    q = vx.mean_pool(e, "label", "embedding").select(F.col("label").alias("query_id"), F.col("embedding").alias("vector"))
+    return search.exact_topk(q, e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), 10)
+
+
+@query(f"WITH {_UNITS}, o AS (SELECT DISTINCT fuente, posicion, texto FROM (SELECT DISTINCT doc_id, chunk_id, fuente, posicion, texto FROM chunks) JOIN units USING (chunk_id)) SELECT count(*) FILTER (o.fuente IS NOT NULL) AS reutilizados, count(*) FILTER (o.fuente IS NULL) AS sin_vector FROM (SELECT DISTINCT chunk_id, fuente, posicion, texto FROM chunks) c LEFT JOIN o ON c.fuente = o.fuente AND c.posicion = o.posicion")
+def reuse_vectors(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "chunks").select("chunk_id", "fuente", "posicion", "texto").distinct()
+    old = c.join(_units(spark, d).select("chunk_id", "vec_id", F.col("v").alias("embedding")), "chunk_id").drop("chunk_id")
+    reused, rest = ingest.reuse_vectors(c, old)
+    both = reused.select(F.lit(1).alias("r"), F.size("embedding").alias("n")).unionByName(rest.select(F.lit(0).alias("r"), F.lit(0).alias("n")))
+    return both.agg(F.count_if((F.col("r") == 1) & (F.col("n") > 0)).alias("reutilizados"), F.count_if(F.col("r") == 0).alias("sin_vector"))
+
+
+@query(f"WITH {_FUSED} SELECT corrida_id, query_id, chunk_id, rank_a::INT AS rank_a, rank_b::INT AS rank_b, round(score, 9) AS score, rank::INT AS rank FROM fused")
+def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
+    return _fused(spark, d).withColumn("score", F.round("score", 9))
+
+
+@query(f"WITH {_FUSED}, c AS (SELECT DISTINCT chunk_id, doc_id FROM chunks) SELECT corrida_id, query_id, doc_id, round(s, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY s DESC, f)::INT AS rank FROM (SELECT corrida_id, query_id, doc_id, max(score) AS s, min(rank) AS f FROM fused JOIN c USING (chunk_id) GROUP BY ALL)) WHERE rank <= 3")
+def fused_documents(spark: SparkSession, d: str) -> DataFrame:
+    hits = _fused(spark, d).join(table(spark, d, "chunks").select("chunk_id", "doc_id").distinct(), "chunk_id")
+    return search.pooled_documents(hits, ["corrida_id", "query_id"]).withColumn("score", F.round("score", 9))
+
+
+@query()
+def passages_top10(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten passages of every query and run, by the fused ranking."""
+    hits = _fused(spark, d).join(_chunks(spark, d).select("chunk_id", "doc_id", "texto", "idioma"), "chunk_id")
+    return search.first_passages(hits, ["corrida_id", "query_id"])
+
+
+_LEX = """w AS (SELECT id, unnest(list_filter(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}]+'), lambda x: length(x) > 1)) AS w FROM (SELECT DISTINCT chunk_id AS id, texto AS t FROM chunks WHERE texto IS NOT NULL)),
+tf AS (SELECT id, w, count(*) AS tf FROM w GROUP BY ALL), n AS (SELECT count(*) AS n FROM (SELECT DISTINCT chunk_id, texto FROM chunks WHERE texto IS NOT NULL)),
+df AS (SELECT w, ln(any_value(n)::DOUBLE / count(*)) AS idf FROM tf, n GROUP BY w), x AS (SELECT id, w, tf * idf AS x FROM tf JOIN df USING (w)), nx AS (SELECT id, sqrt(sum(x * x)) AS n FROM x GROUP BY id),
+qw AS (SELECT query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: length(x) > 1)) AS w FROM consultas), y AS (SELECT query_id, w, count(*) * any_value(idf) AS y FROM qw JOIN df USING (w) GROUP BY ALL), ny AS (SELECT query_id, sqrt(sum(y * y)) AS n FROM y GROUP BY query_id),
+sc AS (SELECT query_id, id, round(coalesce(sum(x * y) / nullif(any_value(nx.n) * any_value(ny.n), 0), 0), 6) AS score FROM x JOIN y USING (w) JOIN nx USING (id) JOIN ny USING (query_id) GROUP BY ALL)"""
+
+
+def _lexical(spark: SparkSession, d: str, k: int) -> DataFrame:
+    c = table(spark, d, "chunks").filter("texto is not null").select(F.col("chunk_id").alias("id"), F.col("texto").alias("text")).distinct()
+    return search.lexical_scores(table(spark, d, "consultas"), c, k)
+
+
+@query(f"WITH {_LEX} SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM sc) WHERE rank <= 30")
+def lexical_retrieval(spark: SparkSession, d: str) -> DataFrame:
+    return _lexical(spark, d, search.TOP_K)
+
+
+# --- graph -------------------------------------------------------------------------------------------------------------------
+
+
+def _numbered(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.row_numbers(_chunks(spark, d).filter("texto is not null"), ["doc_id", "posicion", "chunk_id"])
+
+
+@query("SELECT ord, chunk_id FROM (SELECT row_number() OVER (ORDER BY doc_id, posicion, chunk_id) - 1 AS ord, chunk_id FROM (SELECT DISTINCT * FROM chunks WHERE texto IS NOT NULL)) WHERE ord % 32 = 0 AND ord < 32 * 6000")
+def stride_sample(spark: SparkSession, d: str) -> DataFrame:
+    return graph.stride_sample(_numbered(spark, d)).select("ord", "chunk_id")
+
+
+def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return graph.build_graph(_numbered(spark, d), stride=None)
+
+
+# Entities that SQL can find too: runs of capitals, pairs of neighbours in a chunk.
+_ACR = """e AS (SELECT chunk_id, doc_id, unnest(regexp_extract_all(texto, '[A-Z]{4,}')) AS t, generate_subscripts(regexp_extract_all(texto, '[A-Z]{4,}'), 1) AS p FROM (SELECT DISTINCT * FROM chunks WHERE texto IS NOT NULL)),
+ed AS (SELECT * FROM (SELECT lower(t) AS src, lower(lead(t) OVER (PARTITION BY chunk_id ORDER BY p)) AS dst, doc_id, chunk_id FROM e) WHERE dst IS NOT NULL AND src <> dst)"""
+
+
+def _acronym_edges(spark: SparkSession, d: str) -> DataFrame:
+    found = _chunks(spark, d).select("doc_id", "chunk_id", F.posexplode(F.regexp_extract_all("texto", F.lit("[A-Z]{4,}"), F.lit(0))).alias("p", "t"))
+    w = Window.partitionBy("chunk_id").orderBy("p")
+    pairs = found.select("doc_id", "chunk_id", tx.entity_key(F.col("t")).alias("src"), tx.entity_key(F.lead("t").over(w)).alias("dst"))
+    return pairs.filter("dst is not null and src <> dst")
+
+
+@query(f"WITH {_ACR} SELECT src, dst, count(*) AS n, count(DISTINCT chunk_id) AS chunks FROM ed GROUP BY ALL")
+def graph_edges(spark: SparkSession, d: str) -> DataFrame:
+    return _acronym_edges(spark, d).groupBy("src", "dst").agg(F.count("*").alias("n"), F.countDistinct("chunk_id").alias("chunks"))
+
+
+@query(f"WITH {_ACR} SELECT id, count(*) AS grado FROM (SELECT unnest([src, dst]) AS id FROM ed) GROUP BY id")
+def entity_degree(spark: SparkSession, d: str) -> DataFrame:
+    return graph.degree(_acronym_edges(spark, d))
+
+
+@query(f"""WITH {_ACR}, seeds AS (SELECT DISTINCT 'q-' || src AS query_id, src AS id FROM ed), r AS (SELECT * FROM seeds UNION SELECT query_id, dst FROM seeds JOIN ed ON id = src UNION SELECT query_id, src FROM seeds JOIN ed ON id = dst)
+SELECT query_id, chunk_id, count(*) AS conteo FROM r JOIN (SELECT src AS id, chunk_id FROM ed UNION ALL SELECT dst, chunk_id FROM ed) USING (id) GROUP BY ALL""")
+def graph_evidence(spark: SparkSession, d: str) -> DataFrame:
+    edges = _acronym_edges(spark, d)
+    return graph.evidence(edges.select(F.concat(F.lit("q-"), "src").alias("query_id"), F.col("src").alias("id")).distinct(), edges)
+
+
+@query()
+def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return _graph(spark, d)[0]
+
+
+@query()
+def graph_relations(spark: SparkSession, d: str) -> DataFrame:
+    return _graph(spark, d)[1]
+
+
+def _pool(spark: SparkSession, d: str) -> DataFrame:
+    return written(_lexical(spark, d, search.POOL_K).withColumnRenamed("id", "chunk_id"))
+
+
+@query()
+def answers(spark: SparkSession, d: str) -> DataFrame:
+    """The query bank answered: documents and passages of each query, with the graph."""
+    _, docs, pieces = pipelines.answers(table(spark, d, "consultas"), _pool(spark, d), _chunks(spark, d), written(_graph(spark, d)[1]))
+    return pipelines.results(docs, pieces)
+
+
+@query()
+def ablation_changed(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.ablation(table(spark, d, "consultas"), _pool(spark, d), _chunks(spark, d), written(_graph(spark, d)[1]))
+
+
+# --- evaluation --------------------------------------------------------------------------------------------------------------
+
+_JUDGED = f"""{_SCORES}, j AS (SELECT corrida_id, query_id, chunk_id, rank, least(3, floor(coalesce(bm25, 0) / 10))::INT AS rel FROM (SELECT *, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY coseno DESC NULLS LAST, chunk_id) AS rank FROM s) WHERE rank <= 10),
+nd AS (SELECT corrida_id, query_id, coalesce(sum(rel / log2(rank + 1)) / nullif(sum(rel / log2(i + 1)), 0), 0) AS ndcg FROM (SELECT *, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY rel DESC, rank) AS i FROM j) GROUP BY ALL)"""
+
+
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Rankings by coseno, bm25 standing in for graded judgements."""
+    top = search.ranked(_scores(spark, d), ["corrida_id", "query_id"], [F.desc_nulls_last("coseno"), F.asc("chunk_id")], 10)
+    return top.select("corrida_id", "query_id", "chunk_id", "rank", F.least(F.lit(3), F.floor(F.coalesce("bm25", F.lit(0.0)) / 10)).cast("int").alias("rel"))
+
+
+def _ndcg(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.ndcg(_judged(spark, d), 10, ["corrida_id", "query_id"])
+
+
+@query(f"WITH {_JUDGED} SELECT corrida_id, query_id, round(ndcg, 6) AS ndcg FROM nd")
+def ndcg_at_10(spark: SparkSession, d: str) -> DataFrame:
+    return _ndcg(spark, d).withColumn("ndcg", F.round("ndcg", 6))
+
+
+@query(f"""WITH {_JUDGED}, rel AS (SELECT DISTINCT corrida_id, query_id, chunk_id FROM j WHERE rel >= 2), n AS (SELECT corrida_id, query_id, count(*) AS n FROM rel GROUP BY ALL),
+h AS (SELECT corrida_id, query_id, count(*) AS h FROM j JOIN rel USING (corrida_id, query_id, chunk_id) WHERE rank <= 3 GROUP BY ALL)
+SELECT corrida_id, query_id, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 6) AS f1 FROM (SELECT corrida_id, query_id, coalesce(h, 0) / 3 AS p, coalesce(h, 0) / least(3, n) AS r FROM n LEFT JOIN h USING (corrida_id, query_id))""")
+def f1_at_3(spark: SparkSession, d: str) -> DataFrame:
+    j = _judged(spark, d)
+    return metrics.f1_at(j, j.filter("rel >= 2"), 3, ["corrida_id", "query_id"], "chunk_id").withColumn("f1", F.round("f1", 6))
+
+
+@query(f"WITH {_JUDGED} SELECT corrida_id, round(avg(ndcg), 6) AS ndcg, count(*) AS consultas FROM nd GROUP BY ALL")
+def eval_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _ndcg(spark, d).groupBy("corrida_id").agg(F.round(F.avg("ndcg"), 6).alias("ndcg"), F.count("*").alias("consultas"))
+
+
+@query(f"WITH {_JUDGED} SELECT corrida_id, query_id, ndcg FROM (SELECT corrida_id, query_id, round(ndcg, 6) AS ndcg, corrida_id || query_id AS k FROM nd ORDER BY 3, 4 LIMIT 6)")
+def worst_queries(spark: SparkSession, d: str) -> DataFrame:
+    table_ = _ndcg(spark, d).withColumn("ndcg", F.round("ndcg", 6)).withColumn("k", F.concat("corrida_id", "query_id"))
+    return metrics.worst(table_, "ndcg", 6, "k").drop("k")
+
+
+@query(f"WITH {_JUDGED} SELECT least(floor(round(ndcg, 6) * 10)::INT + 1, 10) AS bin, count(*) AS n FROM nd GROUP BY ALL")
+def metric_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.histogram(_ndcg(spark, d).withColumn("ndcg", F.round("ndcg", 6)), "ndcg", 0.0, 1.0)
+
+
+@query("SELECT count(DISTINCT doc_id) AS documentos, count(DISTINCT chunk_id) AS chunks, count(DISTINCT fuente) AS fuentes FROM chunks")
+def corpus_counters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").agg(F.countDistinct("doc_id").alias("documentos"), F.countDistinct("chunk_id").alias("chunks"), F.countDistinct("fuente").alias("fuentes"))
