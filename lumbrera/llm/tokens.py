@@ -15,13 +15,14 @@ from lumbrera.session import written
 
 
 def with_token_counts(rows: DataFrame, text: str, path: str = VOCABULARY, out: str = "n_tokens") -> DataFrame:
-    """rows with the number of tokens of `text`.
+    """rows with the number of tokens of `text`; a column of that name, _fila or _t is replaced.
 
     Pieces that are one token (a list bounded by the vocabulary, broadcast) are counted where they stand; the others are
     aggregated per row and piece, their distinct forms go through the merge rounds, and the counts are joined back. A hot
     piece is thinned by the aggregation per row and left to AQE's skew join.
     """
     spark = rows.sparkSession
+    rows = rows.drop(out, "_fila", "_t")
     keyed = written(rows.withColumn("_fila", F.struct(F.xxhash64(*rows.columns).alias("h"), F.monotonically_increasing_id().alias("k"))))
     single = spark.createDataFrame([(t,) for t in single_tokens(load_merges(path))], "pieza string").withColumn("_uno", F.lit(True))
     occ = keyed.select("_fila", F.explode(split_pieces(F.col(text))).alias("pieza")).join(F.broadcast(single), "pieza", "left")
