@@ -36,5 +36,19 @@ def queries() -> dict[str, Query]:
     }
 
 
+_RANKED = ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 1.0 ELSE (rank() OVER (PARTITION BY corrida_id, query_id ORDER BY {c} {o} NULLS LAST) + (count({c}) OVER (PARTITION BY corrida_id, query_id, {c}) - 1) / 2) / count(*) OVER (PARTITION BY corrida_id, query_id) END AS r{k}"
+    for k, (c, o) in enumerate((("coseno", "DESC"), ("bm25", "DESC"), ("evidencia_grafo", "DESC"), ("reordenador", "DESC"), ("distancia", "ASC")))
+)
+_TAILS = ", ".join("(" + " + ".join(f"{(1, 5, 10, 10, 5, 1)[j]} * r[{k}] ** {j} * (1 - r[{k}]) ** {5 - j}" for j in range(k, 6)) + ")" for k in range(1, 6))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": f"""WITH s AS (SELECT DISTINCT * FROM puntajes), a AS (SELECT corrida_id, query_id, chunk_id, {_RANKED} FROM s), b AS (SELECT corrida_id, query_id, chunk_id, list_sort([r0, r1, r2, r3, r4]::DOUBLE[]) AS r, (r0 + r1 + r2 + r3 + r4) / 5 AS m FROM a),
+c AS (SELECT corrida_id, query_id, chunk_id, m, round(5 * least({_TAILS}), 9) AS p FROM b)
+SELECT corrida_id, query_id, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY p, round(m, 9), chunk_id) AS puesto FROM c) WHERE puesto <= 10""",
+        "p4_found": """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM (SELECT DISTINCT vec_id, embedding FROM vectores WHERE embedding IS NOT NULL)), u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v WHERE list_dot_product(e, e) > 0),
+n AS (SELECT a.vec_id AS a, b.vec_id AS b, list_dot_product(a.e, b.e) AS c FROM u a JOIN u b ON a.vec_id <> b.vec_id), t AS (SELECT a, b FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(c, 5) DESC, b) AS r FROM n) WHERE r <= 5 AND c >= 0.9)
+SELECT DISTINCT least(a, b) AS vec_a, greatest(a, b) AS vec_b FROM t""",
+    }

@@ -83,5 +83,5 @@ def robust_rank(rows: DataFrame, group: tuple[str, ...] = GROUP, item: str = "ch
 
 def first_of_ranking(rows: DataFrame, k: int = 10, group: tuple[str, ...] = GROUP, item: str = "chunk_id", scores: dict[str, bool] = SCORES) -> DataFrame:
     """group, item and puesto of the first k; the limit is applied before the exchange, so a hot group sends k rows a task."""
-    w = Window.partitionBy(*group).orderBy("significancia", "rango_medio", item)
+    w = Window.partitionBy(*group).orderBy(F.round("significancia", 9), F.round("rango_medio", 9), item)
     return robust_rank(rows, group, item, scores).withColumn("puesto", F.row_number().over(w)).filter(F.col("puesto") <= k)
