@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from lumbrera.session import written
 
-#: Vectors on which the index is fitted, at most.
-SAMPLE = 20_000
+#: Vectors on which the index is fitted, about; at most twice as many.
+SAMPLE = 10_000
 #: Partitions at most; their centres are broadcast, 4096 of 64 floats are 1 MB.
 PARTITIONS = 4096
 #: Rows of a block of vectors and of a block of queries in one task.
@@ -199,7 +199,11 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, probes: int | None, lea
     n = base.count()
     if not n:
         return base.sparkSession.createDataFrame([], _SCHEMA)
-    sample = _matrix(base.orderBy(F.xxhash64("vec_id", F.lit(seed))).limit(SAMPLE).toPandas().unidad)
+    # Rows whose hash is 0 modulo n / SAMPLE: about SAMPLE of them, so that no partition sends more than its share to the driver.
+    sample = base.select("unidad").filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(max(1, n // SAMPLE))) == 0).limit(2 * SAMPLE)
+    sample = _matrix(sample.toPandas().unidad)
+    if not len(sample):
+        sample = _matrix(base.select("unidad").limit(1).toPandas().unidad)
     index = fit(sample, 1 if probes is None else max(1, min(PARTITIONS, int(n**0.5))), seed)
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
