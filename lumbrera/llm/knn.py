@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -147,7 +148,7 @@ def search_block(q: np.ndarray, x: np.ndarray, codes: np.ndarray, par: np.ndarra
 
 
 def unit_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, unidad BINARY of float32, clase BINARY): usable vectors at unit length, one row a key."""
+    """(vec_id, unidad BINARY of float32, clase BINARY): usable vectors at unit length, one row a key; clase is a digest of the rounded vector."""
     rows = rows.filter(F.col(key).isNotNull() & F.col(vector).isNotNull()).groupBy(F.col(key).alias("vec_id")).agg(F.min(F.col(vector)).alias("v"))
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     length = sizes[0]["n"] if sizes else 0
@@ -164,7 +165,7 @@ def unit_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
             x = (x[ok] / n[ok, None]).astype(np.float32)
             x = np.pad(x, ((0, 0), (0, -length % 4)))
             near = np.round(x * 1e5).astype(np.int32)
-            yield pd.DataFrame({"vec_id": pdf.vec_id.to_numpy()[ok], "unidad": [r.tobytes() for r in x], "clase": [r.tobytes() for r in near]})
+            yield pd.DataFrame({"vec_id": pdf.vec_id.to_numpy()[ok], "unidad": [r.tobytes() for r in x], "clase": [blake2b(r.tobytes(), digest_size=16).digest() for r in near]})
 
     return rows.mapInPandas(run, "vec_id bigint, unidad binary, clase binary")
 
@@ -201,7 +202,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, probes: int | None, lea
         return base.sparkSession.createDataFrame([], _SCHEMA)
     # Rows whose hash is 0 modulo n / SAMPLE: about SAMPLE of them, so that no partition sends more than its share to the driver.
     sample = base.select("unidad").filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(max(1, n // SAMPLE))) == 0).limit(2 * SAMPLE)
-    sample = _matrix(sample.toPandas().unidad)
+    sample = _matrix(sample.toPandas().unidad.sort_values())
     if not len(sample):
         sample = _matrix(base.select("unidad").limit(1).toPandas().unidad)
     index = fit(sample, 1 if probes is None else max(1, min(PARTITIONS, int(n**0.5))), seed)
