@@ -80,10 +80,10 @@ def draw_mix(docs: DataFrame, profile: DataFrame, path: str = VOCABULARY, seed:
     """(drawn, report): drawn has (doc_id, source, tokens, copias) of the records drawn; report one row per source of the profile."""
     sized = written(docs.select("doc_id", "source", token_count(F.col("text"), path).alias("tokens")))
     own = sized.groupBy("source").agg(F.sum("tokens").cast("long").alias("tokens_propios"), F.count("*").alias("documentos"))
-    total = own.agg(F.coalesce(F.sum("tokens_propios"), F.lit(0)).alias("tokens_total"))
-    # The total is one row, so the cross join adds a constant; profile and own are joined on the source.
+    own = written(own)
+    total = own.agg(F.coalesce(F.sum("tokens_propios"), F.lit(0)).alias("t")).first()["t"]
     profile = profile.groupBy("source").agg(F.max("peso_objetivo").alias("peso_objetivo"), F.max("max_repeticiones").alias("max_repeticiones"))
-    plan = profile.join(own, "source", "left").crossJoin(F.broadcast(total)).withColumns({"tokens_propios": F.coalesce("tokens_propios", F.lit(0)), "documentos": F.coalesce("documentos", F.lit(0))})
+    plan = profile.join(own, "source", "left").withColumns({"tokens_total": F.lit(total).cast("long"), "tokens_propios": F.coalesce("tokens_propios", F.lit(0)), "documentos": F.coalesce("documentos", F.lit(0))})
     plan = plan.withColumn("tokens_objetivo", F.col("peso_objetivo") * F.col("tokens_total")).withColumn("alcanza", F.col("tokens_objetivo") <= F.col("max_repeticiones") * F.col("tokens_propios"))
     plan = plan.withColumn("veces", F.coalesce(F.least(F.try_divide("tokens_objetivo", F.nullif("tokens_propios", F.lit(0))), F.col("max_repeticiones").cast("double")), F.lit(0.0)))
     plan = written(plan)
@@ -107,9 +107,9 @@ def draw_mix(docs: DataFrame, profile: DataFrame, path: str = VOCABULARY, seed:
     drawn = rows.select("doc_id", "source", "tokens", "fijo").join(sampled.select("doc_id", F.col("pi").cast("int").alias("mas")), "doc_id")
     drawn = written(drawn.select("doc_id", "source", "tokens", (F.col("fijo") + F.col("mas")).alias("copias")).filter("copias > 0"))
     got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copias")).cast("long").alias("tokens_mezcla"), F.sum("copias").cast("long").alias("registros_mezcla"), F.max("copias").alias("copias_max"))
-    report = plan.join(got, "source", "left").fillna(0, ["tokens_mezcla", "registros_mezcla", "copias_max"])
-    mixed = report.agg(F.sum("tokens_mezcla").alias("tokens_mezcla_total"))
-    report = report.crossJoin(F.broadcast(mixed)).withColumn("cuota_real", F.coalesce(F.try_divide("tokens_mezcla", "tokens_mezcla_total"), F.lit(0.0)))
+    mixed = drawn.agg(F.coalesce(F.sum(F.col("tokens") * F.col("copias")), F.lit(0)).alias("t")).first()["t"]
+    report = plan.join(got, "source", "left").fillna(0, ["tokens_mezcla", "registros_mezcla", "copias_max"]).withColumn("tokens_mezcla_total", F.lit(mixed).cast("long"))
+    report = report.withColumn("cuota_real", F.coalesce(F.try_divide("tokens_mezcla", "tokens_mezcla_total"), F.lit(0.0)))
     return drawn, report.withColumn("cuota_del_total", F.coalesce(F.try_divide("tokens_mezcla", "tokens_total"), F.lit(0.0)))
 
 
