@@ -2,7 +2,7 @@
 
 Copies (rows equal in every column) count once. Null, empty and blank texts hold 0 tokens of budget-relevant text: null and
 empty have 0 tokens, white space has the tokens of its white space. An empty table gives empty results. Columns beyond the
-named ones pass through the removal of copies and are otherwise ignored.
+named ones only tell copies from other rows.
 """
 
 from __future__ import annotations
@@ -14,30 +14,34 @@ from lumbrera.llm.bpe import VOCABULARY, load_merges, piece_counts, single_token
 from lumbrera.session import written
 
 
-def with_token_counts(rows: DataFrame, text: str, path: str = VOCABULARY, out: str = "n_tokens") -> DataFrame:
-    """rows with the number of tokens of `text`; a column of that name, _fila or _t is replaced.
+def counted_rows(rows: DataFrame, text: str, keep: list[str], path: str = VOCABULARY, out: str = "n_tokens") -> DataFrame:
+    """The distinct rows of a table: keep columns and the number of tokens of `text`.
 
-    Pieces that are one token (a list bounded by the vocabulary, broadcast) are counted where they stand; the others are
-    aggregated per row and piece, their distinct forms go through the merge rounds, and the counts are joined back. A hot
-    piece is thinned by the aggregation per row and left to AQE's skew join.
+    A row is known by two hashes over all of its columns, so copies fall together without the texts being shuffled; what all
+    copies of a row add up to is divided by their number. Pieces that are one token (a list bounded by the vocabulary,
+    broadcast) are counted where they stand; the others are aggregated per row and piece, their distinct forms go through the
+    merge rounds, and the counts are joined back. A hot piece is thinned by the aggregation and left to AQE's skew join.
     """
     spark = rows.sparkSession
-    rows = rows.drop(out, "_fila", "_t")
-    keyed = written(rows.withColumn("_fila", F.struct(F.xxhash64(*rows.columns).alias("h"), F.monotonically_increasing_id().alias("k"))))
+    names = sorted(rows.columns)
+    key = F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit("lumbrera"), *reversed(names)).alias("b"))
+    keyed = rows.select(key.alias("_fila"), *[F.col(c).alias(c) for c in keep], F.col(text).alias("_texto"))
     single = spark.createDataFrame([(t,) for t in single_tokens(load_merges(path))], "pieza string").withColumn("_uno", F.lit(True))
-    occ = keyed.select("_fila", F.explode(split_pieces(F.col(text))).alias("pieza")).join(F.broadcast(single), "pieza", "left")
+    occ = keyed.select("_fila", F.explode(split_pieces(F.col("_texto"))).alias("pieza")).join(F.broadcast(single), "pieza", "left")
     occ = occ.select("_fila", F.when(F.col("_uno").isNull(), F.col("pieza")).alias("pieza")).groupBy("_fila", "pieza").agg(F.count("*").alias("n"))
     occ = written(occ)
     counts = piece_counts(occ.filter(F.col("pieza").isNotNull()).select("pieza"), path)
     many = occ.filter(F.col("pieza").isNotNull()).join(counts, "pieza").select("_fila", (F.col("n") * F.col("n_tokens")).alias("t"))
-    total = many.unionByName(occ.filter(F.col("pieza").isNull()).select("_fila", F.col("n").alias("t"))).groupBy("_fila").agg(F.sum("t").cast("int").alias("_t"))
-    return keyed.join(total, "_fila", "left").select(*[keyed[c] for c in rows.columns], F.coalesce("_t", F.lit(0)).alias(out))
+    total = many.unionByName(occ.filter(F.col("pieza").isNull()).select("_fila", F.col("n").alias("t"))).groupBy("_fila").agg(F.sum("t").alias("_total"))
+    blank = ~F.coalesce(F.col("_texto").rlike(r"(?U)\S"), F.lit(False))
+    once = keyed.groupBy("_fila").agg(F.count("*").alias("_copias"), F.first(F.struct(*keep, blank.alias("en_blanco"))).alias("_f"))
+    return once.join(total, "_fila", "left").select("_f.*", F.coalesce((F.col("_total") / F.col("_copias")).cast("int"), F.lit(0)).alias(out))
 
 
 def token_budget(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """fuente, idioma, fenomeno, formato as labelled, with chunks, tokens counted, tokens declared and chunks whose declared number is doubtful."""
-    counted = with_token_counts(chunks.dropDuplicates(), "texto", path)
-    return counted.groupBy("fuente", "idioma", "fenomeno", "formato").agg(
+    by = ["fuente", "idioma", "fenomeno", "formato"]
+    return counted_rows(chunks, "texto", [*by, "num_tokens"], path).groupBy(*by).agg(
         F.count("*").alias("chunks"), F.sum("n_tokens").alias("tokens"), F.sum(F.greatest("num_tokens", F.lit(0))).alias("tokens_declarados"), F.count_if(doubtful()).alias("chunks_dudosos")
     )
 
@@ -45,9 +49,9 @@ def token_budget(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
 def doubtful() -> Column:
     """Non-blank texto whose num_tokens is null, not above 0, or more than twice or less than half of n_tokens."""
     n, told = F.col("n_tokens").cast("long"), F.col("num_tokens").cast("long")
-    return F.coalesce(F.col("texto").rlike(r"(?U)\S"), F.lit(False)) & (told.isNull() | (told <= 0) | (told > 2 * n) | (2 * told < n))
+    return ~F.col("en_blanco") & (told.isNull() | (told <= 0) | (told > 2 * n) | (2 * told < n))
 
 
 def doubtful_chunks(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(chunk_id) of the chunks with a doubtful num_tokens."""
-    return with_token_counts(chunks.dropDuplicates(), "texto", path).filter(doubtful()).select("chunk_id").distinct()
+    return counted_rows(chunks, "texto", ["chunk_id", "num_tokens"], path).filter(doubtful()).select("chunk_id").distinct()

@@ -45,9 +45,9 @@ def test_encode_column(spark, library):
 
 def test_relational_counts(spark, library):
     df = spark.createDataFrame([(k, t, 1, 2) for k, t in enumerate(TEXTS)] + [(0, None, 1, 2)], "k int, texto string, n_tokens int, _fila int")
-    got = {r.k: r.n_tokens for r in tokens.with_token_counts(df, "texto").collect()}
+    got = {r.k: r.n_tokens for r in tokens.counted_rows(df, "texto", ["k"]).collect()}
     assert [got[k] for k in range(len(TEXTS))] == [len(x) for x in library(t or "" for t in TEXTS)]
-    assert tokens.with_token_counts(df.limit(0), "texto").count() == 0
+    assert tokens.counted_rows(df.limit(0), "texto", ["k"]).count() == 0
 
 
 CHUNK = "chunk_id string, fuente string, idioma string, fenomeno int, formato string, num_tokens int, texto string"
