@@ -26,6 +26,8 @@ from lumbrera.session import written
 STRENGTHS = "PLSCWcx"
 _ENDS, _CLAUSE, _CLOSE = (np.array([ord(c) for c in s], np.uint32) for s in (".!?…。！？؟।", ",;:—–、，；：،؛", "\"'”’»)]」』"))
 _SPACELESS = np.array([ord(c) for c in "。！？、，；：」』"], np.uint32)
+#: Groups whose limits may be broadcast.
+FEW = 10_000
 _CLASSES = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("clases", T.StringType()), T.StructField("fines", T.ArrayType(T.IntegerType()))])
 
 
@@ -97,11 +99,13 @@ def _pattern(limit: Column, body: Column) -> Column:
 def split_oversized(docs: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text", group: str = "source", path: str = VOCABULARY) -> DataFrame:
     """(key, parte, partes, inicio, fin, n_tokens, pieza): the pieces of every text; inicio and fin are offsets in code points.
 
-    limits: (group, max_tokens, solape_tokens), one row a group; it is joined by a plain equi-join, so it may be of any size.
+    limits: (group, max_tokens, solape_tokens), one row a group, of any number.
     A text cut inside a pre-split piece can have more tokens when the piece is tokenised by itself. After the cut all pieces
     are therefore counted again; documents with a piece above the limit are cut anew with a limit lower by the excess.
     """
     limits = limits.groupBy(group).agg(F.min("max_tokens").alias("_max"), F.max("solape_tokens").alias("_sol"))
+    # Limits of a checked number are sent to the texts; more of them are joined by a shuffle, whose hot groups AQE splits.
+    limits = F.broadcast(limits) if limits.limit(FEW + 1).count() <= FEW else limits
     most = F.when(F.col("_max") >= 8, F.col("_max"))
     docs = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.col(group).alias(group)).join(limits, group, "left").select("_k", "_t", most.alias("_max"), F.least(F.greatest(F.coalesce("_sol", F.lit(0)), F.lit(0)), F.floor(most / 2)).cast("int").alias("_sol"))
     sized = written(docs.withColumn("_c", _classes(F.col("_t"), F.col("_max"), path)))
