@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pandas as pd
 import regex
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lumbrera.llm.labels import format_name
 from lumbrera.llm.scans import IMAGES, read_lines
+from lumbrera.session import written
 
 #: A line counts as frequent from this share of the documents on; as the shares of all lines add up to the mean number of
 #: lines of a document, there are at most a thousand times that many frequent lines: a bounded table to broadcast.
@@ -71,6 +73,11 @@ def mask(line: str) -> str:
     return regex.sub(r"\s+", " ", regex.sub(r"\d+", "0", line)).strip().casefold()
 
 
+def line_key(line: str) -> int:
+    """Signed 64-bit digest of a masked line."""
+    return int.from_bytes(blake2b(mask(line).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """For each node whether it is on the source's side of a minimum cut. source and sink: capacities from and to the terminals; edges carry both ways.
 
@@ -180,17 +187,17 @@ def line_costs(line: str, share: float) -> tuple[float, str]:
     return frequent, "s"
 
 
-def is_scan(text: str, image: bool, shares: dict[str, float]) -> bool:
+def is_scan(text: str, image: bool, shares: dict[int, float]) -> bool:
     """Whether a text is a scan rather than a page: wrapped to a width, or an image without several lines of a site."""
     if read_lines(text, False):
         return True
-    return image and sum(line_costs(s, shares.get(mask(s), 0.0))[0] >= 5.0 for s in text.split("\n") if s.strip() and not _PAGER.search(s)) < 3
+    return image and sum(line_costs(s, shares.get(line_key(s), 0.0))[0] >= 5.0 for s in text.split("\n") if s.strip() and not _PAGER.search(s)) < 3
 
 
-def label_lines(text: str, shares: dict[str, float], html: bool) -> list[tuple[int, bool]]:
+def label_lines(text: str, shares: dict[int, float], html: bool) -> list[tuple[int, bool]]:
     """(line, whether it is body) for the non-blank lines of a page; an empty list if the text is no web page."""
     lines = [(k, s) for k, s in enumerate(text.split("\n")) if s.strip()]
-    seen = [line_costs(s, shares.get(mask(s), 0.0)) for _, s in lines]
+    seen = [line_costs(s, shares.get(line_key(s), 0.0)) for _, s in lines]
     score, form = [x for x, _ in seen], [f for _, f in seen]
     site = sum(x >= 4.0 for x in score)
     if site < (1 if html else 2):
@@ -262,25 +269,28 @@ def label_lines(text: str, shares: dict[str, float], html: bool) -> list[tuple[i
 
 def _texts(docs: DataFrame, key: str, text: str, formato: str) -> DataFrame:
     f = format_name(F.col(formato))
-    docs = docs.select(F.col(key).alias(key), F.col(text).alias("_t"), F.coalesce(f.isin(*IMAGES), F.lit(False)).alias("_i"), F.coalesce(f == "html", F.lit(False)).alias("_h")).filter(F.col("_t").rlike(r"(?U)\S"))
-    return docs.groupBy(key, "_t").agg(F.max("_i").alias("_i"), F.max("_h").alias("_h"))
+    return docs.select(F.col(key).alias(key), F.col(text).alias("_t"), F.coalesce(f.isin(*IMAGES), F.lit(False)).alias("_i"), F.coalesce(f == "html", F.lit(False)).alias("_h")).filter(F.col("_t").rlike(r"(?U)\S"))
 
 
-def frequent_lines(docs: DataFrame, key: str, text: str) -> dict[str, float]:
-    """Share of the documents that hold each frequent line; counted over all documents with partial aggregation, the result bounded as FREQUENT says."""
+def frequent_lines(docs: DataFrame, key: str, text: str) -> dict[int, float]:
+    """Share of the documents that hold each frequent line, by line_key; counted over all documents, the result bounded as FREQUENT says.
 
-    @F.pandas_udf("array<string>")
-    def masks(s: pd.Series) -> pd.Series:
+    Texts delivered again are dropped by their hash: what is shuffled are eight bytes a line.
+    """
+
+    @F.pandas_udf("array<bigint>")
+    def keys(s: pd.Series) -> pd.Series:
         # A line of over 200 characters is a paragraph, whose frequency is not used.
-        return s.map(lambda t: sorted({mask(x) for x in t.split("\n") if x.strip() and len(x) <= 200}))
+        return s.map(lambda t: sorted({line_key(x) for x in t.split("\n") if x.strip() and len(x) <= 200}))
 
-    n = docs.count()
-    counts = docs.select(F.explode(masks(text)).alias("m")).groupBy("m").agg(F.count("*").alias("n")).filter(F.col("n") >= max(LEAST_DOCS, FREQUENT * n))
+    once = written(docs.select(F.col(key), F.xxhash64(text).alias("_x"), keys(text).alias("_m")).groupBy(key, "_x").agg(F.first("_m").alias("_m")))
+    n = once.count()
+    counts = once.select(F.explode("_m").alias("m")).groupBy("m").agg(F.count("*").alias("n")).filter(F.col("n") >= max(LEAST_DOCS, FREQUENT * n))
     return {r["m"]: r["n"] / n for r in counts.toLocalIterator()}
 
 
-def page_lines(docs: DataFrame, key: str = "doc_id", text: str = "texto", formato: str = "formato") -> DataFrame:
-    """(key, linea, cuerpo): the non-blank lines of web pages and whether they are body."""
+def _labelled(docs: DataFrame, key: str, text: str, formato: str) -> DataFrame:
+    """key, _t and _l, the labels of the non-blank lines, for every row that is a page; no shuffle."""
     docs = _texts(docs, key, text, formato)
     shares = frequent_lines(docs, key, "_t")
 
@@ -293,16 +303,21 @@ def page_lines(docs: DataFrame, key: str = "doc_id", text: str = "texto", format
                 out.append([{"linea": k, "cuerpo": b} for k, b in rows])
             yield pd.Series(out)
 
-    return docs.select(key, F.explode(labels("_t", "_i", "_h")).alias("l")).select(key, "l.linea", "l.cuerpo")
+    # Marked as not deterministic, so that the filter does not make it run twice.
+    return docs.select(key, "_t", labels.asNondeterministic()("_t", "_i", "_h").alias("_l")).filter(F.size("_l") > 0)
+
+
+def page_lines(docs: DataFrame, key: str = "doc_id", text: str = "texto", formato: str = "formato") -> DataFrame:
+    """(key, linea, cuerpo): the non-blank lines of web pages and whether they are body."""
+    return _labelled(docs, key, text, formato).select(key, F.explode("_l").alias("l")).select(key, "l.linea", "l.cuerpo").distinct()
 
 
 def boilerplate_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, linea): non-blank lines of web pages that are not body."""
-    return page_lines(docs).filter(~F.col("cuerpo")).select("doc_id", "linea").distinct()
+    return page_lines(docs).filter(~F.col("cuerpo")).select("doc_id", "linea")
 
 
 def main_text(docs: DataFrame, key: str = "doc_id", text: str = "texto", formato: str = "formato") -> DataFrame:
     """(key, texto_principal): the body lines of every web page in order, joined by line breaks; an empty text for a page without an article."""
-    lines = page_lines(docs, key, text, formato).groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("cuerpo"), F.col("linea")))).alias("_k"))
-    # The lines of one document are bounded by the document itself, which is one row already.
-    return _texts(docs, key, text, formato).join(lines, key).select(key, F.array_join(F.transform("_k", lambda k: F.get(F.split("_t", "\n"), k)), "\n").alias("texto_principal"))
+    lines = F.transform(F.filter("_l", lambda x: x["cuerpo"]), lambda x: F.get(F.split("_t", "\n"), x["linea"]))
+    return _labelled(docs, key, text, formato).select(key, F.array_join(lines, "\n").alias("texto_principal")).distinct()
