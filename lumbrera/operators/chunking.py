@@ -66,13 +66,14 @@ def chunk_texts(text: str | None, language: str | None, rows: bool, max_tokens:
 def chunk_corpus(corpus: DataFrame, max_tokens: int = MAX_TOKENS, overlap: int = 1, tokens: str = "default") -> DataFrame:
     """Chunks of a corpus (doc_id, fuente, formato, fenomeno, idioma, texto_completo) with position, id and number of tokens. One narrow pass."""
 
+    # Marked as not deterministic, so that the filter that goes with the explode does not make it run twice.
     @F.pandas_udf("array<string>")
     def cut(text: pd.Series, language: pd.Series, rows: pd.Series) -> pd.Series:
         return pd.Series([chunk_texts(t, lang, bool(r), max_tokens, overlap) for t, lang, r in zip(text, language, rows, strict=True)])
 
     rows = F.coalesce(F.col("formato").isin(*ROW_FORMATS), F.lit(False))
     keep = ["doc_id", "fuente", "formato", "fenomeno", F.coalesce("idioma", F.lit("es")).alias("idioma")]
-    out = corpus.select(*keep, F.posexplode(cut("texto_completo", "idioma", rows)).alias("posicion", "texto"))
+    out = corpus.select(*keep, F.posexplode(cut.asNondeterministic()("texto_completo", "idioma", rows)).alias("posicion", "texto"))
     return out.select("doc_id", chunk_id(F.col("doc_id"), F.col("posicion")).alias("chunk_id"), "fuente", "formato", "fenomeno", "posicion", plugins.apply("tokens", "int", "texto", name=tokens).alias("num_tokens"), "texto", "idioma")
 
 

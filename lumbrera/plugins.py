@@ -62,7 +62,8 @@ def apply(kind: str, returns: str, *columns: Column | str, name: str = "default"
                 out[k] = v
             yield pd.Series(out, dtype=object)
 
-    return (run_one if len(columns) == 1 else run)(*columns)
+    # Marked as not deterministic, so that a filter on the result or an explode of it does not make a model run twice.
+    return (run_one if len(columns) == 1 else run).asNondeterministic()(*columns)
 
 
 _WORD = re.compile(r"[^\W_]+")
