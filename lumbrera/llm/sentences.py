@@ -4,7 +4,8 @@ Spaced scripts, and the scripts with full stops of their own: the marks that can
 with a cost for cutting and one for not cutting (abbreviations, initials, numbers, the next word's case, quotations); the
 cheapest path through the gaps gives the sentences. Scripts without full stops (Thai): the words around every space come from
 the cheapest path through a lattice of dictionary words; final particles before and opening words after the space, learned
-from how paragraphs of the corpus open and supplemented by a fixed list, decide whether it ends a sentence.
+from how paragraphs of the corpus open and supplemented by a fixed list, decide whether it ends a sentence. Where neither
+stands, it does if the runs on both sides can be clauses (a known predicate, or a long stretch of unknown letters).
 
 Defined results: null, empty and blank texts have no sentences. A blank line always ends a sentence; a line break does only
 before a list mark. A row of a csv, xlsx or pbf document is one sentence. Offsets are code points, opening marks included.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -189,8 +191,31 @@ THAI_OPENING = (
 THAI_FINAL = "ครับ ค่ะ คะ นะ แล้ว เลย ด้วย อยู่ กัน ไหม หรือไม่ มั้ย เถอะ จ้ะ จ๊ะ สิ ล่ะ".split()
 THAI_UNITS = "เปอร์เซ็นต์ ร้อยละ อำเภอ เดือน ปี วัน ชั่วโมง นาที บาท ล้าน แสน หมื่น พัน ร้อย คน ครั้ง แห่ง หมู่บ้าน ตำบล จังหวัด ประเทศ กิโลเมตร เมตร กิโลกรัม ตัน ราย ชิ้น ดวง ลำ คัน หน้า ข้อ ฉบับ เท่า องศา หน่วย เครื่อง ตัว".split()
 THAI_GOING_ON = "และ หรือ ที่ ซึ่ง อัน โดย เพราะ ว่า เป็น ถึง จาก ใน ของ กับ แก่ ต่อ เพื่อ ตาม ด้วย จน ขณะที่ แม้ หลัง ก่อน ระหว่าง ประมาณ เพิ่มขึ้น ลดลง กล่าว ได้แก่ เช่น คือ รวม พร้อม ทั้ง".split()
-_THAI = {w: "s" for w in THAI_OPENING} | {w: "g" for w in THAI_GOING_ON} | {w: "u" for w in THAI_UNITS} | {w: "f" for w in THAI_FINAL if w not in THAI_GOING_ON}
+#: Final particles that close a sentence whatever follows; the other ones can also stand inside it (fixed values).
+THAI_CLOSING = frozenset("ครับ ค่ะ คะ นะ ไหม มั้ย เถอะ จ้ะ จ๊ะ ล่ะ".split())
+#: Predicates: a stretch of text that holds one can be a clause (fixed values).
+THAI_PREDICATES = (
+    "เป็น คือ มี ไม่มี ไม่ ได้ ให้ ไป มา ทำ ทำงาน ทำให้ กิน ดื่ม นอน ตื่น เดิน วิ่ง นั่ง ยืน พูด บอก ถาม ตอบ ฟัง ดู เห็น พบ เจอ รู้ รู้จัก คิด เชื่อ เข้าใจ จำ ลืม รัก ชอบ เกลียด กลัว อยาก ต้อง ต้องการ ควร อาจ สามารถ เคย กำลัง จะ ถูก "
+    "เรียก เรียน สอน อ่าน เขียน ซื้อ ขาย จ่าย รับ ส่ง ใช้ เปิด ปิด เริ่ม หยุด จบ สิ้นสุด เกิด เกิดขึ้น ตาย หาย หา ช่วย ช่วยเหลือ สร้าง ผลิต พัฒนา ปรับปรุง แก้ไข เปลี่ยน เปลี่ยนแปลง เพิ่ม เพิ่มขึ้น ลด ลดลง ขึ้น ลง เข้า ออก กลับ ถึง อยู่ อาศัย "
+    "วิเคราะห์ ทบทวน บันทึก เผยแพร่ ระงับ ประกาศ รายงาน กล่าว ระบุ เปิดเผย ยืนยัน ปฏิเสธ เสนอ อนุมัติ ตัดสินใจ ประชุม ศึกษา สำรวจ ติดตาม ตรวจ ตรวจสอบ วัด คำนวณ คาด คาดว่า ขาด ชนะ แพ้ ป้องกัน รักษา ประกอบ ตั้ง จัด จัดตั้ง ร่วม สนับสนุน "
+    "เดินทาง ย้าย ตก ฝนตก ไหล ร้อน หนาว ดี สวย ใหญ่ เล็ก สูง ต่ำ มาก น้อย แพง ถูกต้อง สำคัญ ยาก ง่าย เร็ว ช้า หมด พอ เหลือ"
+).split()
+#: Other common words, most of all those that end or begin like a word of the lists above (fixed values).
+THAI_COMMON = (
+    "คณะ ชนะ ขณะ ลักษณะ สถานะ ฐานะ ภาวะ อิสระ ธุระ สาธารณะ โดยเฉพาะ ผ้าไหม ไหมพรม ป้องกัน ประกัน ประกันภัย สำคัญ แบ่งปัน กันยายน กันชน กลางวัน ทุกวัน วันนี้ เมื่อวาน พรุ่งนี้ ตอนนี้ ตอนเช้า เช้า เย็น กลางคืน ปีนี้ ปีหน้า สัปดาห์ นาทีนี้ "
+    "ที่นี่ ที่นั่น ที่ดิน ที่ทำงาน ที่อยู่ ที่ประชุม ที่สุด หน้าที่ เจ้าหน้าที่ พื้นที่ แผนที่ สถานที่ ทันที เต็มที่ คนที่ อย่าง ต่าง อื่น ทุก บาง หลาย แต่ละ เพียง เท่านั้น มากมาย ประชากร ชุมชน ครอบครัว เด็ก ผู้ชาย ผู้หญิง ผู้ใหญ่ เพื่อน พ่อ แม่ พี่ น้อง ลูก ครู นักเรียน หมอ "
+    "บ้าน เมือง ถนน ตลาด โรงเรียน โรงพยาบาล วัด ร้าน ร้านอาหาร น้ำ น้ำท่วม ฝน ลม ไฟ ดิน ป่า ป่าไม้ ภูเขา แม่น้ำ ทะเล ชายฝั่ง อากาศ อาหาร ข้าว ปลา หมู ไก่ วัว นก หมา แมว ช้าง ผัก ผลไม้ กล้วย ส้ม มะม่วง รถ รถไฟ เรือ เครื่องบิน โทรศัพท์ คอมพิวเตอร์ "
+    "ข้อมูล งบประมาณ แผน แบบจำลอง บัญชี ภาพ จรวด ดาวเทียม วงโคจร เรดาร์ การ ความ งาน เงิน ราคา เศรษฐกิจ การเมือง กฎหมาย สังคม วัฒนธรรม การศึกษา สุขภาพ สิ่งแวดล้อม เทคโนโลยี วิทยาศาสตร์ ปัญหา คำถาม คำตอบ ผล ผลลัพธ์ เหตุ เหตุผล เรื่อง เวลา โลก ไทย ภาษา หนังสือ ข่าว ชื่อ "
+    "กรุงเทพ เชียงใหม่ ภาคเหนือ ภาคใต้ สีแดง สีเขียว สีขาว สีดำ ครั้งแรก ตัวเอง ตัวอย่าง หน้าต่าง ข้อเสนอ ประเทศไทย โดยรวม รวมถึง พร้อมกัน ทั้งหมด ทั้งสอง เพราะฉะนั้น จนถึง ต่อไป ต่อเนื่อง ถึงแม้ หลังคา ก่อนหน้า ของขวัญ ในหลวง อันตราย อันดับ ว่าง จากไป"
+).split()
+_CUES = {w: "s" for w in THAI_OPENING} | {w: "g" for w in THAI_GOING_ON} | {w: "u" for w in THAI_UNITS} | {w: "f" for w in THAI_FINAL if w not in THAI_GOING_ON}
+_THAI = {w: "w" for w in THAI_COMMON} | {w: "v" for w in THAI_PREDICATES} | _CUES
 _LONGEST = max(map(len, _THAI))
+_PREDICATES, _FINALS = frozenset(THAI_PREDICATES), frozenset(THAI_FINAL)
+#: Characters of a stretch no dictionary word covers from which on it can hold a predicate, so can be a clause.
+UNKNOWN_CLAUSE = 12
+_RUN = regex.compile(r"[\p{L}\p{M}]+")
+_GOES_ON = regex.compile(r"[\p{M}ะาำๆ]")
 
 
 def word_lattice(s: str, dictionary: dict[str, str] = _THAI, longest: int = _LONGEST) -> list[str]:
@@ -201,7 +226,7 @@ def word_lattice(s: str, dictionary: dict[str, str] = _THAI, longest: int = _LON
         if cost + 1.2 < best[i + 1][0]:
             best[i + 1] = (cost + 1.2, i, False)
         for j in range(i + 2, min(len(s), i + longest) + 1):
-            if s[i:j] in dictionary and not (j < len(s) and regex.match(r"[\p{M}ะาำๆ]", s[j])) and cost + 1.5 < best[j][0]:
+            if s[i:j] in dictionary and not (j < len(s) and _GOES_ON.match(s[j])) and cost + 1.5 < best[j][0]:
                 best[j] = (cost + 1.5, i, True)
     words, j = [], len(s)
     while j > 0:
@@ -214,14 +239,32 @@ def word_lattice(s: str, dictionary: dict[str, str] = _THAI, longest: int = _LON
     return [w for w, _ in reversed(words)]
 
 
+@lru_cache(8192)
+def _run_cues(run: str) -> tuple[str | None, str | None, str | None, bool]:
+    """Cues of a run of letters: kind of its first word, its first particle if it holds nothing else, the particle it ends in, whether it can be a clause."""
+    words = word_lattice(run)
+    last = words[-1] if words[-1] in _FINALS else None
+    # A syllable of two letters after letters no word covers is rather the end of a longer word.
+    if last and len(last) < 3 and len(words) > 1 and words[-2] not in _THAI:
+        last = None
+    # After การ and ความ a predicate is a noun.
+    clause = any(w in _PREDICATES and (k == 0 or words[k - 1] not in ("การ", "ความ")) or w not in _THAI and len(w) >= UNKNOWN_CLAUSE for k, w in enumerate(words))
+    return _THAI.get(words[0]), words[0] if all(w in _FINALS for w in words) else None, last, clause
+
+
 def _is_spaceless(c: str) -> bool:
     return bool(_SPACELESS.match(c))
 
 
 def _spaceless(s: str, openings: frozenset[str]) -> list[int]:
-    """Starts of the sentences of a paragraph in a script without full stops: every space between words is a gap to classify."""
+    """Starts of the sentences of a paragraph in a script without full stops: every space between words is a gap to classify.
+
+    A gap is a cut before an opening word and after a closing particle, none before a particle or a word that goes on; without
+    any of these it is one if what stands on both sides can be a clause.
+    """
     cuts = set(_spaced(s))
     depth = _quote_spans(s)
+    runs = {m.end(): m.group() for m in _RUN.finditer(s)}
     for m in re.finditer(r"\s+", s):
         a, b = m.span()
         if a == 0 or b == len(s) or any(x < a and b < y for x, y in depth):
@@ -231,17 +274,20 @@ def _spaceless(s: str, openings: frozenset[str]) -> list[int]:
             continue  # numbers, Latin names and marks belong to their clause
         if _LIST_HEAD.fullmatch(s[s.rfind("\n", 0, a) + 1 : a]):
             continue
-        run = regex.match(r"[\p{L}\p{M}]+", s[b:]).group()
-        word = word_lattice(run[:40])[0]
-        kind = _THAI.get(word)
+        run = _RUN.match(s, b).group()
+        kind, particle, _, clause = _run_cues(run)
+        if particle and _is_spaceless(left):
+            continue  # particles belong to the clause before them
+        final, before = _run_cues(runs[a])[2:] if _is_spaceless(left) and a in runs else (None, True)
         if any(run.startswith(o) for o in openings):
             kind = "s"
-        if kind == "s":
+        if kind == "s" or final in THAI_CLOSING:
             cuts.add(b)
         elif kind in ("g", "u"):
             continue
         elif _is_spaceless(left):
-            cuts.add(b)
+            if final or before and clause:
+                cuts.add(b)
         elif left in "%)”»\"ๆฯ" :
             cuts.add(b)
     return sorted(cuts)

@@ -44,6 +44,23 @@ def test_sentences(text, want):
     assert all(not text[a].isspace() for a in at)
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ("เขาไปตลาดแล้ว ครับ ", "ผมกลับบ้าน"),  # a particle after a space belongs to the clause before
+        ("ครูสอนภาษาไทยนะคะ ", "และนักเรียนอ่านหนังสือ"),  # a closing particle decides over a word that goes on
+        ("ฉันซื้อ แมว หมา นก",),  # spaces of a list
+        ("เขาได้ชนะ การประชุม",),  # -นะ is no particle there
+        ("นักเรียนอ่านหนังสือ ", "ครูเขียนคำถาม"),
+        ("ดัชนีเพิ่มขึ้น 25.63 เปอร์เซ็นต์ ", "ศูนย์เฝ้าระวังวงโคจรวิเคราะห์ข้อมูล"),
+    ],
+)
+def test_thai_words_on_both_sides_of_a_space(parts):
+    text = "".join(parts)
+    at = sentences.sentence_starts(text)
+    assert [text[a:b] for a, b in zip(at, [*at[1:], len(text)])] == list(parts)
+
+
 def test_rows_are_sentences():
     t = "id: 1, v: 3.5. X\n\nid: 2, v: Y. Z"
     assert sentences.sentence_starts(t, rows=True) == [0, t.index("id: 2")]
