@@ -214,6 +214,8 @@ _LONGEST = max(map(len, _THAI))
 _PREDICATES, _FINALS = frozenset(THAI_PREDICATES), frozenset(THAI_FINAL)
 #: Characters of a stretch no dictionary word covers from which on it can hold a predicate, so can be a clause.
 UNKNOWN_CLAUSE = 12
+#: Characters of a learned opening, and the share of the documents with it after a space that it must open paragraphs in.
+HEAD, OPENS = 6, 0.5
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
 _GOES_ON = regex.compile(r"[\p{M}ะาำๆ]")
 
@@ -279,7 +281,7 @@ def _spaceless(s: str, openings: frozenset[str]) -> list[int]:
         if particle and _is_spaceless(left):
             continue  # particles belong to the clause before them
         final, before = _run_cues(runs[a])[2:] if _is_spaceless(left) and a in runs else (None, True)
-        if any(run.startswith(o) for o in openings):
+        if run[:HEAD] in openings:
             kind = "s"
         if kind == "s" or final in THAI_CLOSING:
             cuts.add(b)
@@ -311,14 +313,19 @@ def sentence_starts(text: str | None, rows: bool = False, openings: frozenset[st
     return out
 
 
-def openings_of(docs: DataFrame, key: str, text: str, least: int = 20, size: int = 6) -> frozenset[str]:
-    """Openings of Thai paragraphs: their first `size` characters if paragraphs (longer than a heading) of `least` documents start with them.
+def openings_of(docs: DataFrame, key: str, text: str) -> frozenset[str]:
+    """Openings of Thai paragraphs: their first HEAD characters, if the documents with a paragraph (longer than a heading) they open are at least OPENS of those in which they follow a space inside one.
 
-    Counted over all documents with partial aggregation; what comes back is the 500 most frequent, a bounded list.
+    Counted over all documents with partial aggregation; a share, so more documents of the same kind change nothing. What comes
+    back are all such heads that also follow a space, at most one a form of HEAD characters; the others could decide no gap.
     """
     paragraphs = docs.filter(F.col(text).rlike(r"\p{IsThai}")).select(key, F.explode(F.split(F.col(text), r"\n\s*\n")).alias("p")).filter(F.length("p") > 60)
-    heads = paragraphs.select(key, F.regexp_extract("p", rf"^\s*(\p{{IsThai}}{{{size}}})", 1).alias("h")).filter("h <> ''").distinct()
-    return frozenset(r["h"] for r in heads.groupBy("h").count().filter(F.col("count") >= least).orderBy(F.desc("count"), "h").limit(500).collect())
+    thai = rf"(\p{{IsThai}}{{{HEAD}}})"
+    first = F.transform(F.array_except(F.array(F.regexp_extract("p", rf"^\s*{thai}", 1)), F.array(F.lit(""))), lambda h: F.struct(h.alias("h"), F.lit(True).alias("opens")))
+    inside = F.transform(F.array_distinct(F.regexp_extract_all("p", F.lit(rf"(?<=\S)\s+{thai}"), F.lit(1))), lambda h: F.struct(h.alias("h"), F.lit(False).alias("opens")))
+    heads = paragraphs.select(key, F.explode(F.concat(first, inside)).alias("x")).select(key, "x.h", "x.opens").distinct()
+    counts = heads.groupBy("h").agg(F.count_if("opens").alias("a"), F.count_if(~F.col("opens")).alias("z"))
+    return frozenset(r["h"] for r in counts.filter((F.col("z") > 0) & (F.col("a") >= OPENS * F.col("z"))).select("h").toLocalIterator())
 
 
 def _cut(docs: DataFrame, key: str, text: str, formato: str | None) -> DataFrame:

@@ -80,6 +80,21 @@ def test_sentences_table(spark):
     assert sentences.sentences(df.limit(0)).count() == 0
 
 
+def test_learned_openings_are_shares(spark):
+    fill = "นักเรียนอ่านหนังสือ " * 4
+    one = [(f"{fill}\n\nพยากรณ์นี้{fill}พยากรณ์นั้น{fill}และโครงข่าย{fill}\n\nบท",), (f"{fill}และโครงข่าย{fill}",), (f"{fill}และโครงข่าย{fill}\n\nและโครงข่าย{fill}",)]
+    frames = [spark.createDataFrame([(f"{k}-{j}", t) for k in range(n) for j, (t,) in enumerate(one)], "doc_id string, t string") for n in (1, 30)]
+    got = [sentences.openings_of(df, "doc_id", "t") for df in frames]
+    # The size of the table decides nothing; a head that mostly follows a space inside paragraphs is none, however often it opens one.
+    assert got[0] == got[1]
+    assert "พยากรณ์"[:6] in got[0] and "และโครงข่าย"[:6] not in got[0]
+    # More than 500 openings.
+    thai = "กขคงจฉชซ"
+    many = ["".join(thai[(k >> s) & 7] for s in (0, 3, 6, 9)) + "ดต" for k in range(600)]
+    df = spark.createDataFrame([(h, f"{h}{fill}{h}{fill}") for h in many for _ in range(2)], "doc_id string, t string")
+    assert set(many) <= sentences.openings_of(df, "doc_id", "t")
+
+
 # --- languages ---------------------------------------------------------------------------------------------------------------
 
 PROSE = {
