@@ -265,13 +265,13 @@ def lexicon(docs: DataFrame) -> DataFrame:
 def misread_forms(words: DataFrame, counts: DataFrame) -> DataFrame:
     """(w, forma): forms taken for misreadings and the form they stand for.
 
-    counts are grouped by skeleton, the limit of six applied before the exchange; the context is checked by joins on bigrams.
+    Every form is compared with all those of its skeleton that are at least RATIO_SIGN times as frequent; the context is checked by joins on bigrams.
     """
     forms = counts.filter(~F.col("w").contains("-")).withColumn("sk", F.explode(_skeletons("w")))
-    # The most frequent forms of a skeleton: its spellings in several languages, hardly more than these.
-    best = forms.withColumn("r", F.row_number().over(Window.partitionBy("sk").orderBy(F.desc("n"), "w"))).filter("r <= 6").select("sk", F.struct("n", F.col("w").alias("c")).alias("b"))
+    # All forms of a skeleton that can be right; the ratio is a condition of the join, so only pairs it admits come out.
+    best = forms.filter((F.length("w") >= 2) & (F.col("n") >= RATIO_SIGN)).select("sk", F.struct("n", F.col("w").alias("c")).alias("b"))
 
-    pairs = forms.join(best, "sk").filter((F.col("w") != F.col("b.c")) & (F.col("b.n") > F.col("n"))).select("w", "n", F.col("b.n").alias("cn"), F.col("b.c").alias("c")).distinct()
+    pairs = forms.join(best, "sk").filter((F.col("w") != F.col("b.c")) & (F.col("b.n") >= RATIO_SIGN * F.col("n"))).select("w", "n", F.col("b.n").alias("cn"), F.col("b.c").alias("c")).distinct()
     sign = F.col("w").rlike(r"[@†|\\]|\p{L}\d|\d\p{L}")
     # Forms that differ in accents only are spellings, not misreadings.
     plain = lambda c: F.translate(c, "áéíóúàèìòùâêîôûãõäëïöüç", "aeiouaeiouaeiouaoaeiouc")

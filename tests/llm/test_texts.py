@@ -242,6 +242,15 @@ def test_compounds_keep_their_hyphen(spark):
     assert "costo-beneficio" in scans.repaired_paragraphs(df).first().texto and "telemetría" in scans.repaired_paragraphs(df).first().texto
 
 
+def test_right_form_behind_many_of_its_skeleton(spark):
+    seen, right = "n1", "ni"
+    others = [w for w in ("m", "ul", "hl", "ur", "hr", "iii", "lii", "rll") if scans.skeletons(w) == scans.skeletons(seen) and not scans.misreads(w, seen)]
+    assert len(others) >= 6 and scans.misreads(right, seen)
+    counts = spark.createDataFrame([(w, 1000 + k) for k, w in enumerate(others)] + [(right, 100), (seen, 1)], "w string, n bigint")
+    words = spark.createDataFrame([("d", 0, 0, seen)], "doc_id string, linea int, k int, w string")
+    assert [tuple(r) for r in scans.misread_forms(words, counts).collect()] == [(seen, right)]
+
+
 def test_labels(spark):
     from pyspark.sql import functions as F
 
