@@ -37,6 +37,8 @@ CONFUSIONS = tuple(
 )
 #: A form is suspect if the most frequent form of its skeleton is this much more frequent; with a foreign sign in it the lower factor does.
 RATIO, RATIO_SIGN = 12, 2
+#: Foreign signs in a word.
+SIGN = r"[@†|\\]|\p{L}\d|\d\p{L}"
 #: From this factor on the neighbours need not agree; words of two letters are only suspect from it on, and then they must.
 RATIO_ALONE = 60
 #: Share of a suspect form's occurrences whose neighbours the frequent form must be known with.
@@ -272,7 +274,7 @@ def misread_forms(words: DataFrame, counts: DataFrame) -> DataFrame:
     best = forms.filter((F.length("w") >= 2) & (F.col("n") >= RATIO_SIGN)).select("sk", F.struct("n", F.col("w").alias("c")).alias("b"))
 
     pairs = forms.join(best, "sk").filter((F.col("w") != F.col("b.c")) & (F.col("b.n") >= RATIO_SIGN * F.col("n"))).select("w", "n", F.col("b.n").alias("cn"), F.col("b.c").alias("c")).distinct()
-    sign = F.col("w").rlike(r"[@†|\\]|\p{L}\d|\d\p{L}")
+    sign = F.col("w").rlike(SIGN)
     # Forms that differ in accents only are spellings, not misreadings.
     plain = lambda c: F.translate(c, "áéíóúàèìòùâêîôûãõäëïöüç", "aeiouaeiouaeiouaoaeiouc")
     pairs = pairs.filter((plain(F.col("w")) != plain(F.col("c"))) & (F.length("c") >= 2))
@@ -294,18 +296,22 @@ def scan_words(docs: DataFrame, lines: DataFrame, key: str = "doc_id") -> DataFr
     words = written(_body_words(lines, key))
     # Broken words: the joined form and the compound are looked up by skeleton, so that misread parts do not hide them.
     broken = words.filter("roto = 'a'").select(key, "linea", "k", F.split("w", "-").alias("x")).select(key, "linea", "k", F.element_at("x", 1).alias("w1"), F.element_at("x", 2).alias("w2"))
-    by_sk = counts.withColumn("sk", F.explode(_skeletons(F.regexp_replace("w", "‐", "-")))).groupBy("sk").agg(F.max(F.struct("n", F.col("w").alias("c"))).alias("b"))
-    broken = broken.withColumn("sj", F.element_at(_skeletons(F.concat("w1", "w2")), 1)).withColumn("sc", F.element_at(_skeletons(F.concat_ws("-", "w1", "w2")), 1))
-    broken = broken.join(by_sk.select(F.col("sk").alias("sj"), F.col("b").alias("bj")), "sj", "left").join(by_sk.select(F.col("sk").alias("sc"), F.col("b").alias("bc")), "sc", "left")
+    by_sk = counts.withColumn("sk", F.explode(_skeletons(F.regexp_replace("w", "‐", "-")))).select("sk", "n", F.col("w").alias("c"))
+    joined = broken.select("w1", "w2").distinct().withColumn("_s", F.concat("w1", "w2"))
+    # Every reading of the doubtful signs counts; of the forms that explain the joined word the most frequent is taken.
+    met = joined.withColumn("sk", F.explode(_skeletons("_s"))).join(by_sk, "sk").withColumn("_e", _confused("c", "_s")).groupBy("w1", "w2").agg(F.max("n").alias("nj"), F.max(F.when(F.col("_e"), F.struct("n", "c"))).alias("b"))
+    apart = joined.withColumn("sk", F.explode(_skeletons(F.concat_ws("-", "w1", "w2")))).join(by_sk, "sk").groupBy("w1", "w2").agg(F.max("n").alias("nc"))
+    broken = broken.join(met, ["w1", "w2"], "left").join(apart, ["w1", "w2"], "left")
     broken = broken.join(counts.select(F.col("w").alias("_j"), F.col("n").alias("nx")), F.concat("w1", "w2") == F.col("_j"), "left")
     for part in ("w1", "w2"):
         broken = broken.join(counts.select(F.col("w").alias(part), F.col("n").alias(f"n_{part}")), part, "left")
-    nj, nc = F.coalesce("bj.n", F.lit(0)), F.coalesce("bc.n", F.lit(0))
+    nj, nc = F.coalesce("nj", F.lit(0)), F.coalesce("nc", F.lit(0))
     # Never met in one piece: a compound if both parts are words of their own.
     whole = F.when(nj + nc > 0, nj >= nc).otherwise(~((F.coalesce("n_w1", F.lit(0)) >= 5) & (F.coalesce("n_w2", F.lit(0)) >= 5)))
-    # The word as it stands, unless it is itself far rarer than a form it may be a misreading of.
-    stands = F.col("nx").isNotNull() & (F.col("nx") * RATIO > nj)
-    form = F.when(stands, F.col("_j")).when(_confused(F.coalesce("bj.c", F.lit("")), F.concat("w1", "w2")), F.col("bj.c"))
+    # The word as it stands, unless it is itself far rarer than a form it may be a misreading of; with a foreign sign in it the lower factor does.
+    ratio = F.when(F.col("_j").rlike(SIGN), RATIO_SIGN).otherwise(RATIO)
+    stands = F.col("nx").isNotNull() & (F.col("nx") * ratio > F.coalesce("b.n", F.lit(0)))
+    form = F.when(stands, F.col("_j")).otherwise(F.col("b.c"))
     broken = broken.select(key, "linea", "k", whole.alias("union"), F.when(whole, form).alias("junta"), "w1", "w2")
     wrong = misread_forms(words.filter("roto is null").select(F.col(key).alias("doc_id"), "linea", "k", "w"), counts)
     plain = words.filter("roto is null").join(wrong, "w", "left")

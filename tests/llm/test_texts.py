@@ -251,6 +251,15 @@ def test_right_form_behind_many_of_its_skeleton(spark):
     assert [tuple(r) for r in scans.misread_forms(words, counts).collect()] == [(seen, right)]
 
 
+def test_every_reading_of_a_broken_word(spark):
+    rows = [(f"d{k}", "txt", "La evasión fiscal y la propulsão del satélite", 0) for k in range(10)]
+    lines = ["La oficina comparó los datos de la cuenca con los de la eva-", "si6n fiscal y la red de radares publicó un mapa de la propul-", "s5o en nueve municipios de la costa por encargo de un grupo", "de trabajo que los había pedido."]
+    df = spark.createDataFrame([*rows, ("s", "tif", "\n".join(lines), 0)], "doc_id string, formato string, texto string, x int")
+    assert {(r.linea, r.tipo) for r in scans.noisy_lines(df).collect()} == {(0, "guion"), (1, "guion"), (1, "caracter"), (2, "caracter")}
+    text = scans.repaired_paragraphs(df).first().texto
+    assert "evasión" in text and "propulsão" in text
+
+
 def test_labels(spark):
     from pyspark.sql import functions as F
 
