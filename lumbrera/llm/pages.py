@@ -280,8 +280,7 @@ def frequent_lines(docs: DataFrame, key: str, text: str) -> dict[int, float]:
 
     @F.pandas_udf("array<bigint>")
     def keys(s: pd.Series) -> pd.Series:
-        # A line of over 200 characters is a paragraph, whose frequency is not used.
-        return s.map(lambda t: sorted({line_key(x) for x in t.split("\n") if x.strip() and len(x) <= 200}))
+        return s.map(lambda t: sorted({line_key(x) for x in t.split("\n") if x.strip()}))
 
     once = written(docs.select(F.col(key), F.xxhash64(text).alias("_x"), keys(text).alias("_m")).groupBy(key, "_x").agg(F.first("_m").alias("_m")))
     n = once.count()

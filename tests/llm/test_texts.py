@@ -181,6 +181,14 @@ def test_long_page():
     assert sum(b for _, b in got) == len(BODY) * 800
 
 
+def test_long_menu_rows_are_counted(spark):
+    menu = " ".join(["Hidrometeorología", "Telecomunicaciones", "Aeronavegabilidad", "Sismorresistencia", "Biodiversidad"] * 3)
+    assert len(menu) > 200 and len(menu.split()) <= 25
+    df = spark.createDataFrame([(f"d{k}", f"{menu}\n{BODY[0]} {k}") for k in range(4)], "doc_id string, t string")
+    share = pages.frequent_lines(df, "doc_id", "t").get(pages.line_key(menu), 0.0)
+    assert share == 1.0 and pages.line_costs(menu, share) == (4.0, "w")
+
+
 # --- scans -------------------------------------------------------------------------------------------------------------------
 
 
