@@ -147,7 +147,7 @@ class Encoder:
         return [sum(map(size.__getitem__, s)) for s in split]
 
 
-def _spans(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
+def spans(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
     """Slices of a batch that hold about `most` characters, so that long texts do not pile up in one array."""
     start = total = 0
     for k, t in enumerate(texts):
@@ -173,7 +173,7 @@ def encode(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, k
         enc = worker_encoder(path)
         for s in batches:
             texts = list(s)
-            yield pd.Series([x for part in _spans(texts) for x in enc(texts[part])], dtype=object)
+            yield pd.Series([x for part in spans(texts) for x in enc(texts[part])], dtype=object)
 
     return df.select(*keep, ids(F.col(text)).alias(out))
 
@@ -186,7 +186,7 @@ def token_count(text: Column, path: str = VOCABULARY) -> Column:
         enc = worker_encoder(path)
         for s in batches:
             texts = list(s)
-            yield pd.Series([n for part in _spans(texts) for n in enc.counts(texts[part])], dtype="int32")
+            yield pd.Series([n for part in spans(texts) for n in enc.counts(texts[part])], dtype="int32")
 
     return count(text)
 
@@ -257,4 +257,4 @@ def single_tokens(m: Merges) -> list[str]:
     return [t for t, i in zip(texts, ids, strict=True) if len(i) == 1]
 
 
-__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "single_tokens", "split_pieces", "token_count"]
+__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "single_tokens", "spans", "split_pieces", "token_count"]

@@ -1,10 +1,12 @@
 """Language of documents and of the stretches of mixed documents, whatever the label says.
 
 The script of a word narrows its candidate languages (kana, Han, Arabic, Devanagari, Thai, Latin). Words of the Latin script
-have a score in each candidate: log-probabilities learned from paragraphs of a bounded sample, which fixed lists of function
-words label to begin with (the documents' own labels are not used). A Viterbi path over all words of a document, with a
-penalty for a switch of language that is smaller between paragraphs, labels every word; a paragraph has the language of most
-of its words, equal neighbours form a stretch, and the confidence of a stretch comes from its margin over the runner-up.
+have a score in each candidate: how often paragraphs of a bounded sample that fixed lists of function words label clearly hold
+the word, and its three-letter strings and accents where the word is rare (the documents' own labels are not used, and a
+paragraph without clear function words teaches nothing). A Viterbi path over all words of a document, with a penalty for a
+switch of language that is smaller between paragraphs, labels every word; a paragraph has the language of most of its words,
+equal neighbours form a stretch. The confidence comes of the margin over the runner-up, calibrated on held-out paragraphs
+whose function words are taken away.
 
 Defined results: null, empty and blank texts, and texts without a letter, have no language (a null one for the document).
 Paragraphs are split at "\\n\\n" and counted from 0, blank ones included; blank ones get no row; one without letters takes the
@@ -16,13 +18,16 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumbrera.llm.bpe import spans
 from lumbrera.llm.labels import LANGUAGES, language_code
 
 #: Function words that label the sample (fixed values).
@@ -33,180 +38,355 @@ FUNCTION_WORDS = {
     "fr": "le les des du et en un une que qui dans pour pas sur au aux avec est son sa ses ce cette par plus ne ou mais sont il elle leur été selon après tandis où sans entre être",
 }
 LATIN = tuple(FUNCTION_WORDS)
-#: Documents on which the words are learned, about; at most twice as many.
-SAMPLE = 5_000
-#: Words kept, at most.
-WORDS = 60_000
+#: Letters and the languages that write them (fixed values).
+WRITTEN_IN = {**dict.fromkeys("ãõ", "pt"), "ñ": "es", **dict.fromkeys("áíóú", "es pt"), "é": "es pt fr", **dict.fromkeys("âêô", "pt fr"), "à": "pt fr", **dict.fromkeys("èùîûïëœ", "fr"), "ç": "pt fr", "ü": "es fr"}
+#: Spellings and the languages they are usual in, as against the others of LATIN (fixed values).
+SPELLINGS = tuple(
+    (regex.compile(rx), of.split())
+    for rx, of in (
+        (r"ci[óo]n(?:es)?$|ñ|^ll|ll[aeo]s?$|dad(?:es)?$|[aeiou]j[ao]s?$", "es"),
+        (r"^[^áéíóúâêô]*[^aeiouáéíóúâêôf](?:a|e|i|o|u)[cpdnlsg]i[oa]s?$|[^aeiouáéíóúâêô][aio]ri[oa]s?$|^[^áéíóúâêô]*[aei]vel$|[aeo]blem?ente$", "es"),
+        (r"ç[ãõ]|[ãõ][oe]s?$|nh[aeo]|lh[aeo]|[aeo]ix[ao]|[áí]vel$|[íá]veis$|[áéíóúâêô][^aeiou]{1,2}i[oa]s?$|ss[ãa]o$|ou$|ei[rt][ao]s?$", "pt"),
+        (r"th|wh|ck|gh|sh|w$|ct$|ing$|ness$|ly$|[bcdfgklmnprstvz]ed$|ee|oo", "en"),
+        (r"tions?$", "en fr"),
+        (r"eau|eux$|[eé]es?$|ée|oi[rst]|œ|qu['’]|aux$|ieu", "fr"),
+    )
+)
+#: Common words of tables, dates and places, with which rows that hold no function word can be told (fixed values).
+COMMON = {
+    "es": "año años mes día fecha nombre tipo total lugar nivel municipio departamento provincia región país ciudad valor dato datos registro nota caso casos bajo medio alto población número código área estado índice fuente título autor enero febrero mayo julio",
+    "en": "year month day date name type total place level district county state region country city value data record note case cases low medium high population number code area status index source title author january february may july",
+    "pt": "ano anos mês dia data nome tipo total lugar nível município departamento província região país cidade valor dado dados registro nota caso casos baixo médio alto população número código área estado índice fonte título autor janeiro fevereiro maio julho",
+    "fr": "an année mois jour date nom type total lieu niveau commune département province région pays ville valeur donnée données registre note cas bas moyen haut population numéro code zone état indice source titre auteur janvier février mai juillet",
+}
+#: Texts whose paragraphs teach, about (at most twice as many), how many paragraphs of a text at most, and the longest that does.
+SAMPLE, PARAGRAPHS, PARAGRAPH = 4_000, 50, 5_000
+#: Clear function words: by how many those of a language exceed those of any other.
+CLEAR = 2
 SWITCH_WORD, SWITCH_PARAGRAPH = 12.0, 3.0
+#: Lowest score of a word in a language; occurrences that speak against nothing yet.
+FLOOR, DOUBT = -4.0, 0.5
 _WORD = regex.compile(r"[\p{Hiragana}\p{Katakana}ー]+|\p{Han}+|[\p{Thai}]+|[\p{Arabic}\p{M}]+|[\p{Devanagari}\p{M}]+|[\p{Latin}\p{M}]+|[^\W\d_]+")
-_LATIN = regex.compile(r"\p{Latin}")
 _SCRIPTS = ((regex.compile(r"[\p{Hiragana}\p{Katakana}]"), {"ja": 0.0}), (regex.compile(r"\p{Han}"), {"zh": 0.0, "ja": -0.7}), (regex.compile(r"\p{Arabic}"), {"ar": 0.0}), (regex.compile(r"\p{Devanagari}"), {"hi": 0.0}), (regex.compile(r"\p{Thai}"), {"th": 0.0}))
+_ENDS = tuple(".!?…»”\"।؟。")
+_LEAD = " «“\"'(¿¡—–-[{"
+#: Strings between white space that a worker keeps, and the longest of them.
+KEPT, KEPT_LENGTH = 400_000, 40
+_N = len(LANGUAGES)
 
 
 def _vector(of: dict[str, float], rest: float) -> tuple[float, ...]:
     return tuple(of.get(c, rest) for c in LANGUAGES)
 
 
-def _words(paragraph: str) -> list[tuple[str, bool]]:
-    """Words and whether each is like a name: a capital inside a sentence, or a short word between two such."""
-    found = [(m.group(), m.start()) for m in _WORD.finditer(paragraph)]
-    name = []
-    for w, at in found:
-        before = paragraph[:at].rstrip(" «“\"'(¿¡—–-")[-1:]
-        name.append(w[0].isupper() and (before not in ("", ".", "!", "?", "…", "\n", "»", "”", '"') or len(w) > 1 and w.isupper()))
-    for k in range(1, len(found) - 1):
-        if len(found[k][0]) <= 3 and found[k][0].islower() and found[k - 1][0][0].isupper() and found[k + 1][0][0].isupper() and paragraph[found[k - 1][1] : found[k + 1][1]].count(" ") == 2:
-            name[k] = True
-    return [(w, n) for (w, _), n in zip(found, name, strict=True)]
+def _relative(counts: list[dict[str, int]], keys: list[str], floor: float, doubt: float) -> dict[str, tuple[float, ...]]:
+    """Log of how often a key is met in a language against what the language it is most frequent in lets expect.
+
+    A language of which little was seen is held to what it lets expect, so unlike sizes of the languages' samples tilt nothing.
+    """
+    totals = [max(1, sum(c.values())) for c in counts]
+    out = {}
+    for k in keys:
+        n = [c.get(k, 0) for c in counts]
+        top = max(x / t for x, t in zip(n, totals, strict=True))
+        logs = [math.log((x + doubt) / (t * top + doubt)) for x, t in zip(n, totals, strict=True)]
+        out[k] = tuple(max(x - max(logs), floor) for x in logs)
+    return out
 
 
 @dataclass
 class Model:
-    """Scores of Latin-script words and of the three-letter strings of unknown ones, in the order of LATIN."""
+    """Scores of Latin-script words and of three-letter strings, in the order of LATIN, and the slope and offset of the confidence."""
 
     words: dict[str, tuple[float, ...]]
     grams: dict[str, tuple[float, ...]]
+    slope: float = 2.0
+    offset: float = 0.0
+    own: dict[str, tuple[float, ...]] = field(default_factory=dict)
+
+    def spelling(self, word: str) -> list[float]:
+        w = f"<{word}>"
+        parts = [p for k in range(len(w) - 2) if (p := self.grams.get(w[k : k + 3]))]
+        sums = [0.5 * sum(p[c] for p in parts) for c in range(len(LATIN))] if parts else [0.0] * len(LATIN)
+        sums = [max(x - max(sums), -1.5) for x in sums]
+        for of in [*(WRITTEN_IN[ch] for ch in set(word) if ch in WRITTEN_IN), *(of for rx, of in SPELLINGS if rx.search(word))]:
+            sums = [x if c in of else x - 1.5 for x, c in zip(sums, LATIN, strict=True)]
+        return [max(x - max(sums), -3.0) for x in sums]
 
     def score(self, word: str) -> tuple[float, ...]:
         got = self.words.get(word)
-        if got is None:
-            w = f"<{word}>"
-            parts = [self.grams.get(w[k : k + 3]) for k in range(len(w) - 2)]
-            parts = [p for p in parts if p]
-            sums = [0.7 * sum(p[c] for p in parts) for c in range(len(LATIN))] if parts else [0.0] * len(LATIN)
-            got = tuple(max(x - max(sums), -3.0) - 0.3 for x in sums)
-        return got
+        spelt = self.spelling(word)
+        sums = spelt if got is None else [x + 0.3 * y for x, y in zip(got, spelt, strict=True)]
+        return tuple(max(x - max(sums), FLOOR) - (0.3 if got is None else 0.0) for x in sums)
 
 
-def _relative(counts: list[dict[str, int]], keys: list[str], smooth: float, floor: float) -> dict[str, tuple[float, ...]]:
-    totals = [sum(c.values()) + smooth * 10_000 for c in counts]
-    out = {}
-    for k in keys:
-        logs = [math.log((c.get(k, 0) + smooth) / t) for c, t in zip(counts, totals, strict=True)]
-        out[k] = tuple(max(x - max(logs), floor) for x in logs)
+def _like_names(toks: list[str]) -> list[bool]:
+    """Whether each of the strings between white space is like a name: a capital inside a sentence, or a short word between two such."""
+    caps = [t.lstrip(_LEAD)[:1].isupper() for t in toks]
+    name = [c and (k > 0 and not toks[k - 1].endswith(_ENDS) or len(t) > 1 and t.isupper()) for k, (c, t) in enumerate(zip(caps, toks, strict=True))]
+    for k in range(1, len(toks) - 1):
+        if len(toks[k]) <= 3 and toks[k].isalpha() and toks[k].islower() and caps[k - 1] and caps[k + 1] and toks[k - 1][-1:].isalpha():
+            name[k] = True
+    return name
+
+
+def _latin_words(paragraph: str) -> list[str]:
+    """Words of the Latin script in small letters, those like names left out."""
+    toks = paragraph.split()
+    return [w for t, n in zip(toks, _like_names(toks), strict=True) if not n for w in _WORD.findall(t.lower()) if "a" <= w[0] <= "ɏ"]
+
+
+def _labelled_templates(texts: list[str]) -> list[tuple[tuple[str, ...], int]]:
+    """(words, language) of the paragraphs that function words label clearly; paragraphs of equal words (rows of one table but for numbers and names) count once."""
+    lists = [frozenset(w.split()) for w in FUNCTION_WORDS.values()]
+    seen = {tuple(_latin_words(p)) for t in texts for p in (t or "").split("\n\n") if p.strip() and len(p) <= PARAGRAPH}
+    out = []
+    for words in sorted(seen):
+        hits = [sum(w in own for w in words) for own in lists]
+        top, second = sorted(hits, reverse=True)[:2]
+        if top - second >= CLEAR:
+            out.append((words, hits.index(top)))
     return out
 
 
-def _model(counts: list[Counter], least: int) -> Model:
-    seen = Counter()
-    for k in counts:
-        seen.update(k)
-    kept = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:WORDS] if n >= least]
-    grams = [Counter() for _ in LATIN]
+def _model(rows: list[tuple[tuple[str, ...], int]]) -> Model:
+    counts, types = ([Counter() for _ in LATIN] for _ in range(2))
+    for words, c in rows:
+        counts[c].update(words)
     for c, k in enumerate(counts):
-        for w, n in k.items():
-            if n >= least:
-                t = f"<{w}>"
-                grams[c].update(t[i : i + 3] for i in range(len(t) - 2))
-    return Model(_relative(counts, kept, 0.3, -4.0), _relative(grams, sorted(set().union(*grams)), 0.3, -3.0))
-
-
-def learn_words(texts: list[str], least: int = 2, rounds: int = 2) -> Model:
-    """Model learned from paragraphs: function words label the first round, the model so far the next ones. Words like names are left out."""
-    lists = {c: frozenset(w.split()) for c, w in FUNCTION_WORDS.items()}
-    own = {w: tuple(0.0 if w in lists[c] else -2.0 for c in LATIN) for c in LATIN for w in lists[c]}
-    paragraphs = []
-    for t in texts:
-        for p in (t or "").split("\n\n"):
-            words = [w.lower() for w, name in _words(p) if not name and _LATIN.match(w)]
-            if words:
-                paragraphs.append(words)
-    model = None
-    for _ in range(1 + rounds):
-        counts = [Counter() for _ in LATIN]
-        for words in paragraphs:
-            sums = [0.0] * len(LATIN)
-            for w in words:
-                v = model.score(w) if model else own.get(w)
-                if v:
-                    for c in range(len(LATIN)):
-                        sums[c] += v[c]
-            top, second = sorted(sums, reverse=True)[:2]
-            # Paragraphs with a clear majority only.
-            if top - second >= 4.0:
-                counts[sums.index(top)].update(words)
-        model = _model(counts, least)
-    for w, v in own.items():
-        model.words.setdefault(w, v)
+        for w in k:
+            t = f"<{w}>"
+            types[c].update({t[i : i + 3] for i in range(len(t) - 2)})
+    words = _relative(counts, sorted(set().union(*counts)), FLOOR, DOUBT)
+    # The fixed words are known, however little of a language the sample holds; what was seen of them adds to that, but does not
+    # make a language's own word a foreign one.
+    fixed = {c: frozenset(f"{FUNCTION_WORDS[c]} {COMMON[c]}".split()) for c in LATIN}
+    for w in frozenset().union(*fixed.values()):
+        sums = [x + (0.0 if w in fixed[c] else -2.0) for c, x in zip(LATIN, words.get(w, (0.0,) * len(LATIN)), strict=True)]
+        words[w] = tuple(max(x - max(sums), -0.5 if w in fixed[c] else FLOOR) for c, x in zip(LATIN, sums, strict=True))
+    return Model(words, _relative(types, sorted(set().union(*types)), -3.0, 2.0))
+
+
+def learn_words(texts: list[str]) -> Model:
+    """Model learned from the paragraphs of a sample; one in five of them is held out to calibrate the confidence."""
+    rows = _labelled_templates(texts)
+    held = [r for r in rows if crc32(" ".join(r[0]).encode("utf-8", "surrogatepass")) % 5 == 0]
+    part = _model([r for r in rows if crc32(" ".join(r[0]).encode("utf-8", "surrogatepass")) % 5])
+    known = {w for s in FUNCTION_WORDS.values() for w in s.split()}
+    margins, right = [], []
+    for words, c in held:
+        rest = [w for w in words if w not in known]
+        # Short stretches without the words that gave the label: where mistakes are made.
+        for size in (1, 3, 9):
+            for k in range(0, len(rest) - size + 1, 9):
+                total = [sum(x) for x in zip(*(part.score(w) for w in rest[k : k + size]), strict=True)]
+                best = max(range(len(LATIN)), key=total.__getitem__)
+                margins.append((total[best] - max(x for j, x in enumerate(total) if j != best)) / math.sqrt(size))
+                right.append(best == c)
+    model = _model(rows)
+    model.slope, model.offset = _calibrated(np.array(margins), np.array(right, float))
     return model
 
 
+def _calibrated(margin: np.ndarray, right: np.ndarray, rounds: int = 30) -> tuple[float, float]:
+    """Slope and offset of a logistic curve of being right over the margin (smoothed targets, Newton steps)."""
+    if len(right) < 50:
+        return 2.0, 0.0
+    good, bad = right.sum(), len(right) - right.sum()
+    y = np.where(right > 0, (good + 1) / (good + 2), 1 / (bad + 2))
+    x = np.stack([margin, np.ones_like(margin)], 1)
+    w = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (y - p) - 1e-3 * w)
+        w = w + step
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(max(w[0], 0.05)), float(w[1])
+
+
 class Labeller:
+    """Labels batches of texts; keeps what it knows of the strings between white space."""
+
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
-
-    def scores(self, word: str, name: bool) -> tuple[float, ...]:
-        got = self.known.get((word, name))
-        if got is None:
-            for rx, of in _SCRIPTS:
-                if rx.match(word):
-                    got = _vector(of, -8.0)
-                    break
-            else:
-                got = _vector(dict.fromkeys(LATIN, 0.0), -0.5) if name else _vector(dict(zip(LATIN, self.model.score(word.lower()), strict=True)), -2.5)
-            if len(self.known) < 500_000:
-                self.known[word, name] = got
-        return got
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.rows: list[tuple[float, ...]] = []  # scores of a string, then those of it as a name, the number of words, marks
+        self.table = np.zeros((0, 2 * _N + 2))
+
+    def _scores(self, word: str, name: bool) -> tuple[float, ...]:
+        for rx, of in _SCRIPTS:
+            if rx.match(word):
+                return _vector(of, -8.0)
+        return _vector(dict.fromkeys(LATIN, 0.0), -0.5) if name else _vector(dict(zip(LATIN, self.model.score(word), strict=True)), 1.1 * FLOOR)
+
+    def _id(self, token: str) -> int:
+        at = self.ids.get(token)
+        return self._add(token) if at is None else at
+
+    def _add(self, token: str) -> int:
+        words = _WORD.findall(token)
+        low = [w.lower() for w in words]
+        sums = [[sum(x) for x in zip(*(self._scores(w, name) for w in low))] or [0.0] * _N for name in (False, True)]  # noqa: B905
+        bare = token.lstrip(_LEAD)
+        marks = (bare[:1].isupper()) + 2 * token.endswith(_ENDS) + 4 * (len(token) > 1 and token.isupper()) + 8 * (len(token) <= 3 and token.isalpha() and token.islower()) + 16 * token[-1].isalpha()
+        self.rows.append((*sums[0], *sums[1], len(words), marks))
+        at = len(self.rows) - 1
+        if len(token) <= KEPT_LENGTH:
+            self.ids[token] = at
+        return at
 
     def paragraphs(self, text: str | None) -> list[tuple[int, int, int, str, float]]:
-        """(paragraph, offset, length, language, confidence) of each non-blank paragraph."""
-        if not text or not text.strip():
-            return []
-        spans, at = [], 0
-        for k, p in enumerate(text.split("\n\n")):
-            if p.strip():
-                spans.append((k, at, len(p), [self.scores(w, name) for w, name in _words(p)]))
-            at += len(p) + 2
-        if not any(s for *_, s in spans):
-            return []
-        # Viterbi over all words; the best predecessor is the same language or the best language after a switch. A text
-        # without a word of another script needs the states of the Latin ones only, which stand first.
-        states = range(len(LATIN) if all(v[0] > -8.0 for *_, words in spans for v in words) else len(LANGUAGES))
-        score, back, penalty = [0.0 for _ in states], [], 0.0
-        for *_, words in spans:
-            for v in words:
-                best = max(score)
-                switched = best - penalty
-                back.append((score.index(best), [x >= switched for x in score]))
-                score = [(x if x >= switched else switched) + y for x, y in zip(score, v)]  # noqa: B905
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str | None]) -> list[list[tuple[int, int, int, str, float]]]:
+        """(paragraph, offset, length, language, confidence) of each non-blank paragraph of each text."""
+        if len(self.rows) > KEPT:
+            self._forget()
+        ids, lengths, spans = [], [], []
+        for t in texts:
+            own, at = [], 0
+            for k, p in enumerate((t or "").split("\n\n")):
+                toks = p.split()
+                if toks:
+                    own.append((k, at, len(p)))
+                    got = list(map(self.ids.get, toks))
+                    if None in got:
+                        got = [self._id(x) if i is None else i for x, i in zip(toks, got, strict=True)]
+                    ids += got
+                    lengths.append(len(toks))
+                at += len(p) + 2
+            spans.append(own)
+        if not ids:
+            return [[] for _ in texts]
+        if len(self.table) < len(self.rows):
+            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table) :])])
+        ids, lengths = np.array(ids), np.array(lengths)
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        marks = self.table[:, -1].astype(np.int64)[ids]
+        first = np.zeros(len(ids), bool)
+        first[starts] = True
+        cap, ends = marks & 1 > 0, marks & 2 > 0
+        before = np.r_[True, ends[:-1]] | first
+        name = cap & (~before | (marks & 4 > 0))
+        inner = ~first & ~np.r_[first[1:], True]
+        name |= inner & (marks & 8 > 0) & np.r_[False, cap[:-1]] & np.r_[cap[1:], False] & np.r_[False, (marks & 16 > 0)[:-1]]
+        v = np.where(name[:, None], self.table[ids, _N : 2 * _N], self.table[ids, :_N])
+        words = np.add.reduceat(self.table[ids, -2], starts)
+        total = np.add.reduceat(v, starts, axis=0)
+        best = total.argmax(1)
+        # Whether a stretch inside a paragraph could be worth a switch: the best sum of consecutive words of any other language
+        # over the paragraph's. Up to SWITCH_PARAGRAPH no path over the words can beat one that keeps to the paragraph.
+        par = np.repeat(np.arange(len(lengths)), lengths)
+        over = np.cumsum(v - v[np.arange(len(ids)), best[par]][:, None], axis=0)
+        base = np.r_[np.zeros((1, _N)), over][starts]
+        over -= base[par]
+        span = 1.0 + 2 * np.abs(over).max()
+        low = np.minimum.accumulate(np.r_[np.zeros((1, _N)), over[:-1]] * ~first[:, None] - (span * par)[:, None], axis=0) + (span * par)[:, None]
+        gain = np.maximum.reduceat((over - low).max(1), starts)
+        split = gain > SWITCH_PARAGRAPH
+        out, at = [], 0
+        slope, offset = self.model.slope, self.model.offset
+        second = np.partition(total, -2, axis=1)[:, -2]
+        for own in spans:
+            n = len(own)
+            b, t = best[at : at + n], total[at : at + n]
+            w = words[at : at + n]
+            if not w.any():
+                out.append([])
+            else:
+                full = np.flatnonzero(w)
+                if split[at : at + n].any():
+                    lo, hi = starts[at], starts[at] + lengths[at : at + n].sum()
+                    lang = self._word_path(v[lo:hi], self.table[ids[lo:hi], -2], lengths[at : at + n])
+                elif (b[full] == b[full[0]]).all():
+                    lang = b
+                else:
+                    lang = self._paragraph_path(t, w)
+                rows, last = [], None
+                lead = int(lang[full[0]])
+                for k, (number, offset_, length) in enumerate(own):
+                    if w[k]:
+                        c = int(lang[k])
+                        rival = second[at + k] if c == b[k] else t[k].max()
+                        z = slope * (t[k, c] - rival) / math.sqrt(w[k]) + offset
+                        last = (LANGUAGES[c], 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+                    else:
+                        last = (last[0] if last else LANGUAGES[lead], 0.5)
+                    rows.append((number, offset_, length, *last))
+                out.append(rows)
+            at += n
+        return out
+
+    @staticmethod
+    def _paragraph_path(total: np.ndarray, words: np.ndarray) -> list[int]:
+        """Viterbi path over paragraphs of one language each."""
+        score, back, open_ = [0.0] * _N, [], False
+        for row, n in zip(total.tolist(), words, strict=True):
+            top = max(score)
+            switched = top - (SWITCH_PARAGRAPH if open_ else 0.0)
+            back.append((score.index(top), [x >= switched for x in score]))
+            score = [(x if x >= switched else switched) + y for x, y in zip(score, row, strict=True)]
+            open_ = open_ or n > 0
+        state, path = score.index(max(score)), []
+        for jump, stay in reversed(back):
+            path.append(state)
+            if not stay[state]:
+                state = jump
+        return path[::-1]
+
+    @staticmethod
+    def _word_path(v: np.ndarray, n: np.ndarray, lengths: np.ndarray) -> list[int]:
+        """Viterbi path over words; of each paragraph the language of most of its words."""
+        # Languages that no word of the text fits best are left out.
+        live = np.flatnonzero((v >= v.max(1, keepdims=True)).any(0)).tolist()
+        rows = v[:, live].tolist()
+        first = set(np.cumsum(lengths)[:-1].tolist())
+        score, back, penalty = [0.0] * len(live), [], 0.0
+        for k, row in enumerate(rows):
+            if k in first:
+                penalty = min(penalty, SWITCH_PARAGRAPH)
+            top = max(score)
+            switched = top - penalty
+            back.append((score.index(top), [x >= switched for x in score]))
+            score = [(x if x >= switched else switched) + y for x, y in zip(score, row)]  # noqa: B905
+            if n[k]:
                 penalty = SWITCH_WORD
-            penalty = SWITCH_PARAGRAPH if back else 0.0
         state, path = score.index(max(score)), []
         for jump, stay in reversed(back):
             path.append(state)
             if not stay[state]:
                 state = jump
         path.reverse()
-        out, i, last, own = [], 0, None, []
-        for *_, words in spans:
-            own.append(Counter(path[i : i + len(words)]).most_common(1)[0][0] if words else None)
-            i += len(words)
-        times = Counter(own)
-        for (k, at, n, words), lang in zip(spans, own, strict=True):
-            if words:
-                total = [sum(x) for x in zip(*words)]  # noqa: B905
-                # What fits almost as well and is more common in the document wins.
-                lang = max((c for c in times if c is not None and total[c] >= total[lang] - 3.0), key=lambda c: (times[c], c == lang))
-                margin = (total[lang] - max(x for c, x in enumerate(total) if c != lang)) / math.sqrt(len(words))
-                last = (LANGUAGES[lang], 1 / (1 + math.exp(-max(-30.0, min(30.0, 2 * margin)))))
-            else:
-                last = (last[0] if last else LANGUAGES[path[0]], 0.5)
-            out.append((k, at, n, *last))
+        out, at = [], 0
+        for size in lengths.tolist():
+            votes = Counter()
+            for s, x in zip(path[at : at + size], n[at : at + size].tolist(), strict=True):
+                votes[s] += x
+            out.append(live[max(votes, key=lambda s: (votes[s], -s))])
+            at += size
         return out
 
 
 def _labelled(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
     docs = docs.select(F.col(key).alias(key), F.col(text).alias("_t"), F.col(label).alias("_l"))
     texts = docs.select("_t").filter(F.col("_t").rlike(r"(?U)\S"))
-    # Texts whose hash is 0 modulo n / SAMPLE, each once: about SAMPLE of them, however many copies one has.
+    # Texts whose hash is 0 modulo n / SAMPLE, each once: about SAMPLE of them, however many copies one has; paragraphs of a
+    # bounded length, so what comes to the driver is bounded in bytes too.
     some = texts.filter(F.pmod(F.xxhash64("_t"), F.lit(max(1, texts.count() // SAMPLE))) == 0).distinct().limit(2 * SAMPLE)
-    model = learn_words(sorted(r["_t"] for r in some.toLocalIterator()))
+    some = some.select(F.filter(F.split("_t", "\n\n"), lambda p: F.length(p) <= PARAGRAPH).alias("p")).select(F.explode(F.slice("p", 1, PARAGRAPHS)).alias("p")).distinct()
+    model = learn_words(sorted(r["p"] for r in some.toLocalIterator()))
 
     @F.pandas_udf("array<struct<parrafo:int,inicio:int,largo:int,idioma:string,confianza:double>>")
     def label_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         labeller = Labeller(model)
         for s in batches:
-            yield pd.Series([[dict(zip(("parrafo", "inicio", "largo", "idioma", "confianza"), x, strict=True)) for x in labeller.paragraphs(t)] for t in s])
+            texts = list(s)
+            rows = [r for part in spans(texts, 500_000) for r in labeller.batch(texts[part])]
+            yield pd.Series([[dict(zip(("parrafo", "inicio", "largo", "idioma", "confianza"), x, strict=True)) for x in r] for r in rows])
 
     # Marked as not deterministic, so that the filter that goes with an explode does not make it run twice.
     return docs.withColumn("_p", label_all.asNondeterministic()("_t"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbrera.llm.bpe import VOCABULARY, _spans, load_merges, token_count, worker_encoder
+from lumbrera.llm.bpe import VOCABULARY, load_merges, spans, token_count, worker_encoder
 from lumbrera.session import written
 
 #: Strongest boundary first: after a blank line, a line, a sentence, a clause, a word, a character; x is inside a character.
@@ -75,7 +75,7 @@ def _classes(text: Column, limit: Column, path: str) -> Column:
         for texts, limits in batches:
             rows = []
             texts, limits = list(texts), limits.to_numpy()
-            for part in _spans(texts):
+            for part in spans(texts):
                 for t, most, ids in zip(texts[part], limits[part], enc(texts[part]), strict=True):
                     big = most == most and most is not None and len(ids) > most
                     rows.append((len(ids), *(boundary_classes(t, ids, sizes) if big else (None, None))))

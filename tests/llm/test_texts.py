@@ -133,12 +133,71 @@ def test_paragraph_languages(spark):
 
 
 def test_blank_and_letterless_paragraphs():
-    lab = language.Labeller(language.learn_words([p for p in PROSE.values() for _ in range(5)]))
+    lab = language.Labeller(language.learn_words(list(PROSE.values())))
     got = lab.paragraphs(f"{PROSE['es']}\n\n\n\n123 45\n\n{PROSE['ar']}")
     assert [(k, x) for k, _, _, x, _ in got] == [(0, "es"), (2, "es"), (3, "ar")]
     assert lab.paragraphs("12 34") == [] == lab.paragraphs(None)
 
 
+def _tables(rng, n):
+    """Documents of prose in one language and of table rows in three, which no function word tells."""
+    names = ["Alto Mirabal", "Puerto Almagre", "San Orlando del Mar", "Nova Aldeira", "Port Halloway"]
+    parts = {"es": ("El consejo de la cuenca", "las familias de la costa", "revisó los datos con"), "en": ("The council of the basin", "the families on the coast", "reviewed the data with"), "pt": ("O conselho da bacia", "as famílias da costa", "revisou os dados com"), "fr": ("Le conseil du bassin", "les familles de la côte", "a revu les données avec")}
+    rows = {"es": ("municipio", "nivel", ("bajo", "medio", "alto"), "casos"), "pt": ("município", "nível", ("baixo", "médio", "alto"), "casos"), "en": ("district", "level", ("low", "medium", "high"), "cases")}
+    out = []
+    for k in range(n):
+        if k % 3:
+            lang = rng.choice(["es", "es", "es", "en", "pt", "fr"])
+            a, b, c = parts[lang]
+            out.append((lang, "\n\n".join(" ".join(rng.sample([a, f"{c} {b}", b, f"{a} {c}"], 3)) + f" {rng.randint(1, 99)}." for _ in range(3))))
+        else:
+            lang = rng.choice(["es", "es", "pt", "en"])
+            m, v, levels, cases = rows[lang]
+            out.append((lang, "\n\n".join(f"id: {j}, {m}: {rng.choice(names)}, {v}: {rng.choice(levels)}, {cases}: {rng.randint(0, 999)}" for j in range(4))))
+    return out
+
+
+def test_samples_of_any_size_give_the_same_labels():
+    rng = random.Random(11)
+    docs = _tables(rng, 600)
+    labels = []
+    for k in range(10):
+        lab = language.Labeller(language.learn_words([t for _, t in rng.sample(docs, 30 + 50 * k)]))
+        labels.append([x[3] for r in lab.batch([t for _, t in docs]) for x in r])
+    truth = [lang for lang, t in docs for _ in t.split("\n\n")]
+    same = sum(len(set(x)) == 1 for x in zip(*labels)) / len(truth)
+    assert same >= 0.999 and sum(a == b for a, b in zip(labels[0], truth)) / len(truth) >= 0.999
+
+
+def test_paragraph_steps_are_the_path_over_words():
+    rng = random.Random(5)
+    model = language.learn_words([t for _, t in _tables(rng, 300)])
+    lab = language.Labeller(model)
+    words = "el la de que the of and o os não le les du con with pour dados datos data 数据 のデータ بيانات Lima 7 -".split()
+    texts = ["\n\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 5))) for _ in range(400)]
+    whole = lab._word_path
+    for t, got in zip(texts, lab.batch(texts)):
+        spans = [p.split() for p in t.split("\n\n")]
+        ids = [lab.ids[x] for s in spans for x in s]
+        if not got or any(p[4] == 0.5 for p in got):
+            continue
+        names = [n for s in spans for n in language._like_names(s)]
+        v = language.np.array([lab.rows[i][9:18] if n else lab.rows[i][:9] for i, n in zip(ids, names)])
+        path = whole(v, language.np.array([lab.rows[i][18] for i in ids]), language.np.array([len(s) for s in spans]))
+        assert [language.LANGUAGES[c] for c in path] == [x[3] for x in got], t
+
+
+def test_confidence_of_held_out_pieces():
+    model = language.learn_words([t for _, t in _tables(random.Random(3), 600)])
+    assert model.slope > 0
+    lab = language.Labeller(model)
+    sure, doubtful = (lab.paragraphs(t)[0][4] for t in ("El consejo de la cuenca revisó los datos con las familias.", "Plan total"))
+    assert sure > 0.95 > doubtful
+    margin = language.np.array([0.0, 0.1, 0.2, 2.0, 3.0, 4.0] * 50)
+    slope, offset = language._calibrated(margin, language.np.array([0.0, 1, 0, 1, 1, 1] * 50))
+    assert slope > 0 and 1 / (1 + 2.718281828 ** -(3 * slope + offset)) > 0.9 > 1 / (1 + 2.718281828**-offset)
+
+
 # --- pages -------------------------------------------------------------------------------------------------------------------
 
 
