@@ -5,8 +5,9 @@ adjacent pairs by binary search over the sorted pair keys, takes the lowest rank
 at once; words without a known pair leave the array. A word is cut beforehand wherever two neighbouring bytes stand together
 in no token, so that long runs without spaces need few rounds.
 
-Counter (`piece_counts`): the distinct pre-split pieces of the corpus are kept as symbol arrays in a table; in each round the
-adjacent pairs are joined with the table of merge ranks and every piece applies its lowest one, until no piece has a pair.
+Counter (`piece_counts`): the distinct pre-split pieces of the corpus are kept as symbol arrays in a table, cut at the same
+places; in each round the adjacent pairs are joined with the table of merge ranks and every array applies its lowest one,
+until none has a pair.
 
 Defined results: null and empty texts have no tokens (an empty list, count 0); strings that look like special tokens are
 ordinary text; every code point is encoded, white space included.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbrera.session import cut
+from lumbrera.session import cut, written
 
 #: Where the public vocabulary files lie; a parameter of every operator here.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -199,62 +200,64 @@ def split_pieces(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + PATTERN), F.lit(0))
 
 
-def _symbols(spark: SparkSession, m: Merges) -> tuple[str, str]:
-    """Translation of Latin-1 characters (bytes) to the symbols of those bytes, for `translate`."""
-    return "".join(map(chr, range(256))), "".join(chr(SHIFT + int(i)) for i in m.byte_ids)
-
-
 def merge_table(spark: SparkSession, m: Merges) -> DataFrame:
     """(par, rango, une): pair of symbols, its rank and the joined symbol. As many rows as the vocabulary has merges: a fixed size, so it may be broadcast."""
     pdf = pd.DataFrame({"par": [chr(SHIFT + int(a)) + chr(SHIFT + int(b)) for a, b in zip(m.left, m.right, strict=True)], "rango": np.arange(len(m.left), dtype="int32"), "une": [chr(SHIFT + int(j)) for j in m.joined]})
     return spark.createDataFrame(pdf, "par string, rango int, une string")
 
 
-def piece_counts(pieces: DataFrame, path: str = VOCABULARY, rounds_per_cut: int = 4) -> DataFrame:
+def symbol_segments(piece: Column, path: str) -> Column:
+    """A piece as arrays of byte symbols, cut wherever two neighbouring bytes stand together in no token: no merge crosses a cut."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType(), False))
+    def segments(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = load_merges(path)
+        symbol = np.array([chr(SHIFT + int(i)) for i in m.byte_ids])
+        for s in batches:
+            out = []
+            for t in s:
+                raw = np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)
+                cuts = np.flatnonzero(~m.together[raw[:-1], raw[1:]]) + 1
+                out.append(["".join(x) for x in np.split(symbol[raw], cuts)])
+            yield pd.Series(out)
+
+    return segments.asNondeterministic()(piece)
+
+
+def _round(state: DataFrame, merges: DataFrame) -> DataFrame:
+    """One round: the adjacent pairs of every array are joined with the merge ranks, and the lowest one found is applied wherever it stands."""
+    n = F.length("s")
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring("s", i, F.lit(2))))
+    rows = state.select("tramo", "s", F.explode_outer(F.when(F.col("vivo") & (n > 1), pairs)).alias("par"))
+    best = rows.join(merges, "par", "left").groupBy("tramo", "s").agg(F.min(F.when(F.col("rango").isNotNull(), F.struct("rango", "par", "une"))).alias("b"))
+    return best.select("tramo", F.coalesce(F.replace(F.col("s"), F.col("b.par"), F.col("b.une")), F.col("s")).alias("s"), F.col("b").isNotNull().alias("vivo"))
+
+
+def piece_counts(pieces: DataFrame, path: str = VOCABULARY, rounds_per_cut: int = 8) -> DataFrame:
     """(pieza, n_tokens) of the distinct non-empty strings `pieza`, by rounds of joins with the merge ranks.
 
-    The state is partitioned by piece once; the explode, the broadcast join, the aggregation and the join back keep that
-    partitioning, so a round has no exchange. Finished pieces leave the state. Every `rounds_per_cut` rounds the state is
-    checkpointed. The number of rounds is bounded by the bytes of the longest piece between places where no token can span.
+    The state holds the distinct segments of the pieces, partitioned by segment once; explode, broadcast join and aggregation
+    keep that partitioning, so a round has no exchange and no join back. Every `rounds_per_cut` rounds it is checkpointed and
+    finished segments leave it. The number of rounds is bounded by the bytes of the longest segment.
     """
     spark = pieces.sparkSession
-    m = load_merges(path)
-    latin, symbols = _symbols(spark, m)
-    # UTF-8 bytes read as Latin-1 are one character a byte, which translate() turns into the symbol of that byte.
-    start = F.translate(F.decode(F.encode(F.col("pieza"), "UTF-8"), "ISO-8859-1"), latin, symbols)
-    state = cut(pieces.select("pieza").filter(F.length("pieza") > 0).distinct().withColumn("s", start))
-    merges = F.broadcast(merge_table(spark, m))
+    merges = F.broadcast(merge_table(spark, load_merges(path)))
+    own = written(pieces.select("pieza").filter(F.length("pieza") > 0).distinct().select("pieza", symbol_segments(F.col("pieza"), path).alias("_s")))
+    own = own.select("pieza", F.explode("_s").alias("tramo"))
+    state = own.select("tramo").distinct().select("tramo", F.col("tramo").alias("s"), F.lit(True).alias("vivo"))
     done = []
     while True:
         for _ in range(rounds_per_cut):
-            n = F.length("s")
-            pairs = state.filter(n > 1).select("pieza", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring("s", i, F.lit(2))))).alias("par"))
-            best = pairs.join(merges, "par").groupBy("pieza").agg(F.min(F.struct("rango", "par", "une")).alias("b"))
-            state = state.join(best, "pieza", "left").select("pieza", F.coalesce(F.replace(F.col("s"), F.col("b.par"), F.col("b.une")), F.col("s")).alias("s"), F.col("b").isNotNull().alias("vivo"))
-            last = state
-            state = state.select("pieza", "s")
-        step = cut(last)
-        done.append(step.filter(~F.col("vivo")).select("pieza", F.length("s").alias("n_tokens")))
-        state = step.filter("vivo").select("pieza", "s")
+            state = _round(state, merges)
+        step = cut(state)
+        done.append(step.filter(~F.col("vivo")).select("tramo", F.length("s").alias("n")))
+        state = step.filter("vivo")
         if state.isEmpty():
             break
-    out = done[0]
+    sizes = done[0]
     for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def single_tokens(m: Merges) -> list[str]:
-    """Strings that are one token: the vocabulary's entries that are text and come out of the merges as themselves. Bounded by the vocabulary."""
-    texts = []
-    for t in m.tokens:
-        try:
-            texts.append(t.decode("utf-8"))
-        except UnicodeDecodeError:
-            continue
-    texts = [t for t in texts if _SPLIT.fullmatch(t)] + [chr(b) for b in range(128)]
-    ids = merge_rounds([t.encode() for t in texts], m)
-    return [t for t, i in zip(texts, ids, strict=True) if len(i) == 1]
+        sizes = sizes.unionByName(d)
+    return own.join(sizes, "tramo").groupBy("pieza").agg(F.sum("n").cast("int").alias("n_tokens"))
 
 
-__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "single_tokens", "spans", "split_pieces", "token_count"]
+__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "spans", "split_pieces", "symbol_segments", "token_count"]

@@ -10,31 +10,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumbrera.llm.bpe import VOCABULARY, load_merges, piece_counts, single_tokens, split_pieces
+from lumbrera.llm.bpe import VOCABULARY, piece_counts, split_pieces
 from lumbrera.session import written
 
 
+#: A piece is hot from this share of all occurrences on, so at most 1 / HOT pieces are: a bounded table to broadcast.
+HOT = 1e-5
+
+
 def counted_rows(rows: DataFrame, text: str, keep: list[str], path: str = VOCABULARY, out: str = "n_tokens") -> DataFrame:
     """The distinct rows of a table: keep columns and the number of tokens of `text`.
 
     A row is known by two hashes over all of its columns, so copies fall together without the texts being shuffled; what all
-    copies of a row add up to is divided by their number. Pieces that are one token (a list bounded by the vocabulary,
-    broadcast) are counted where they stand; the others are aggregated per row and piece, their distinct forms go through the
-    merge rounds, and the counts are joined back. A hot piece is thinned by the aggregation and left to AQE's skew join.
+    copies of a row add up to is divided by their number. All distinct pieces go through the merge rounds; their counts come
+    back to the hot pieces by a broadcast (see HOT) and to the others by a join on the piece, aggregated per row before.
     """
-    spark = rows.sparkSession
     names = sorted(rows.columns)
     key = F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit("lumbrera"), *reversed(names)).alias("b"))
-    keyed = rows.select(key.alias("_fila"), *[F.col(c).alias(c) for c in keep], F.col(text).alias("_texto"))
-    single = spark.createDataFrame([(t,) for t in single_tokens(load_merges(path))], "pieza string").withColumn("_uno", F.lit(True))
-    occ = keyed.select("_fila", F.explode(split_pieces(F.col("_texto"))).alias("pieza")).join(F.broadcast(single), "pieza", "left")
-    occ = occ.select("_fila", F.when(F.col("_uno").isNull(), F.col("pieza")).alias("pieza")).groupBy("_fila", "pieza").agg(F.count("*").alias("n"))
+    blank = ~F.coalesce(F.col(text).rlike(r"(?U)\S"), F.lit(False))
+    keyed = written(rows.select(key.alias("_fila"), F.struct(*keep, blank.alias("en_blanco")).alias("_f"), split_pieces(F.col(text)).alias("_piezas")))
+    occ = keyed.select("_fila", F.explode("_piezas").alias("pieza"))
+    times = written(occ.groupBy("pieza").agg(F.count("*").alias("n")))
+    total = times.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    counts = written(piece_counts(times, path).join(times, "pieza"))
+    hot = counts.filter(F.col("n") >= HOT * total).select("pieza", "n_tokens")
+    occ = occ.join(F.broadcast(hot), "pieza", "left")
+    # One row for the hot pieces of a text, one for each of its other pieces.
+    occ = occ.groupBy("_fila", F.when(F.col("n_tokens").isNull(), F.col("pieza")).alias("pieza")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"))
     occ = written(occ)
-    counts = piece_counts(occ.filter(F.col("pieza").isNotNull()).select("pieza"), path)
-    many = occ.filter(F.col("pieza").isNotNull()).join(counts, "pieza").select("_fila", (F.col("n") * F.col("n_tokens")).alias("t"))
-    total = many.unionByName(occ.filter(F.col("pieza").isNull()).select("_fila", F.col("n").alias("t"))).groupBy("_fila").agg(F.sum("t").alias("_total"))
-    blank = ~F.coalesce(F.col("_texto").rlike(r"(?U)\S"), F.lit(False))
-    once = keyed.groupBy("_fila").agg(F.count("*").alias("_copias"), F.first(F.struct(*keep, blank.alias("en_blanco"))).alias("_f"))
+    cold = occ.filter(F.col("pieza").isNotNull()).join(counts.filter(F.col("n") < HOT * total).select("pieza", "n_tokens"), "pieza").select("_fila", (F.col("n") * F.col("n_tokens")).alias("t"))
+    total = cold.unionByName(occ.filter(F.col("pieza").isNull()).select("_fila", "t")).groupBy("_fila").agg(F.sum("t").alias("_total"))
+    once = keyed.groupBy("_fila").agg(F.count("*").alias("_copias"), F.first("_f").alias("_f"))
     return once.join(total, "_fila", "left").select("_f.*", F.coalesce((F.col("_total") / F.col("_copias")).cast("int"), F.lit(0)).alias(out))
 
 
