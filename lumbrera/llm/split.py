@@ -5,8 +5,10 @@ quantifiers, alternatives ordered by the strength of the boundary, consumes the
 looks back `solape` tokens for its overlap. Cuts, offsets and pieces are SQL array expressions; Python only tokenises.
 
 Defined results: null and empty texts, and texts within the limit, give one piece (null stays null). A missing source, a null
-limit or one below 8 means no limit. A null overlap is 0; one that leaves less than half of the limit is cut to half of it.
-The overlap starts at a character: where the wanted token starts inside one, it starts at the next that does not.
+limit or one below 1 means no limit; every limit from 1 on holds. A null or negative overlap is 0; as a piece holds at least one
+token of its own, one that is not below the limit is the limit less one. The overlap starts at a character: where the wanted
+token starts inside one, it starts at the next that does not. The smallest piece are the tokens up to the next end of a
+character (a character, or a space with one); one of more tokens than the limit is a piece by itself, the only kind above it.
 """
 
 from __future__ import annotations
@@ -76,9 +78,12 @@ def _classes(text: Column, limit: Column, path: str) -> Column:
             rows = []
             texts, limits = list(texts), limits.to_numpy()
             for part in spans(texts):
-                for t, most, ids in zip(texts[part], limits[part], enc(texts[part]), strict=True):
-                    big = most == most and most is not None and len(ids) > most
-                    rows.append((len(ids), *(boundary_classes(t, ids, sizes) if big else (None, None))))
+                split, known = enc.pieces(texts[part])
+                length = {w: len(known[w]) for w in {w for s in split for w in s}}
+                for t, most, words in zip(texts[part], limits[part], split, strict=True):
+                    n = sum(map(length.__getitem__, words))
+                    big = most == most and most is not None and n > most
+                    rows.append((n, *(boundary_classes(t, np.concatenate([known[w] for w in words]), sizes) if big else (None, None))))
             yield pd.DataFrame(rows, columns=["n", "clases", "fines"]).astype({"n": "int32"})
 
     return classes(text, limit)
@@ -91,7 +96,8 @@ def _pattern(limit: Column, body: Column) -> Column:
         most, less, half = n.cast("string"), (n - 1).cast("string"), F.floor(n / 2).cast("string")
         strong = [F.concat(F.lit(".{"), half, F.lit(","), less, F.lit("}" + c)) for c in "PLSC"]
         weak = [F.concat(F.lit(".{0,"), less, F.lit("}" + c)) for c in ("[PLSCW]", "c")]
-        return F.concat_ws("|", F.concat(F.lit(".{1,"), most, F.lit(r"}\z")), *strong, *weak)
+        # A character of more tokens than fit is taken whole.
+        return F.concat_ws("|", F.concat(F.lit(".{1,"), most, F.lit(r"}\z")), *strong, *weak, F.lit("x*[^x]"))
 
     return F.concat(F.lit(r"\A(?:"), alternatives(limit), F.lit(")|(?:"), alternatives(body), F.lit(")"))
 
@@ -106,8 +112,8 @@ def split_oversized(docs: DataFrame, limits: DataFrame, key: str = "doc_id", tex
     limits = limits.groupBy(group).agg(F.min("max_tokens").alias("_max"), F.max("solape_tokens").alias("_sol"))
     # Limits of a checked number are sent to the texts; more of them are joined by a shuffle, whose hot groups AQE splits.
     limits = F.broadcast(limits) if limits.limit(FEW + 1).count() <= FEW else limits
-    most = F.when(F.col("_max") >= 8, F.col("_max"))
-    docs = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.col(group).alias(group)).join(limits, group, "left").select("_k", "_t", most.alias("_max"), F.least(F.greatest(F.coalesce("_sol", F.lit(0)), F.lit(0)), F.floor(most / 2)).cast("int").alias("_sol"))
+    most = F.when(F.col("_max") >= 1, F.col("_max"))
+    docs = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.col(group).alias(group)).join(limits, group, "left").select("_k", "_t", most.alias("_max"), F.least(F.greatest(F.coalesce("_sol", F.lit(0)), F.lit(0)), most - 1).cast("int").alias("_sol"))
     sized = written(docs.withColumn("_c", _classes(F.col("_t"), F.col("_max"), path)))
     whole = sized.filter(F.col("_c.clases").isNull()).select(
         F.col("_k").alias(key), F.lit(0).alias("parte"), F.lit(1).alias("partes"), F.lit(0).alias("inicio"), F.coalesce(F.length("_t"), F.lit(0)).alias("fin"), F.col("_c.n").alias("n_tokens"), F.col("_t").alias("pieza")
@@ -115,24 +121,25 @@ def split_oversized(docs: DataFrame, limits: DataFrame, key: str = "doc_id", tex
     todo = sized.filter(F.col("_c.clases").isNotNull()).select("_k", "_t", "_max", "_sol", "_c.clases", "_c.fines", F.col("_max").alias("_now"))
     parts = [whole]
     while True:
-        sol = F.least(F.col("_sol"), F.floor(F.col("_now") / 2).cast("int"))
+        sol = F.least(F.col("_sol"), F.col("_now") - 1)
         bodies = F.regexp_extract_all("clases", _pattern(F.col("_now"), F.col("_now") - sol), F.lit(0))
         stops = F.expr("aggregate(_b, array(0), (a, x) -> array_append(a, element_at(a, -1) + length(x)))")
         cut = todo.withColumn("_b", bodies).withColumn("_e", stops).withColumn("_o", sol)
         # Start of the overlap: the first place from _o tokens back on where the token before ends a character.
-        look = F.expr("case when i = 0 then 0 else element_at(_e, i + 1) - _o + length(regexp_extract(substring(clases, greatest(element_at(_e, i + 1) - _o, 1), _o), '^x*', 0)) end")
+        look = F.expr("case when i = 0 or element_at(_e, i + 1) <= _o then 0 else element_at(_e, i + 1) - _o + length(regexp_extract(substring(clases, element_at(_e, i + 1) - _o, _o), '^x*', 0)) end")
         cut = cut.select("_k", "_t", "_max", "_sol", "clases", "fines", "_now", "_e", "_o", F.posexplode("_b").alias("i", "_body"), F.size("_b").alias("partes"))
         cut = cut.withColumn("_from", look).withColumn("_to", F.expr("element_at(_e, i + 2)"))
         offset = lambda c: F.expr(f"case when {c} = 0 then 0 else element_at(fines, {c}) end")
-        cut = cut.select("_k", "_max", F.col("i").alias("parte"), "partes", offset("_from").alias("inicio"), offset("_to").alias("fin"), F.expr("_to - _from").alias("_n"), "_t")
+        cut = cut.select("_k", "_max", "_now", F.col("i").alias("parte"), "partes", offset("_from").alias("inicio"), offset("_to").alias("fin"), F.expr("_to - _from").alias("_n"), "_t")
         cut = cut.withColumn("pieza", F.expr("substring(_t, inicio + 1, fin - inicio)")).drop("_t")
         cut = written(cut.withColumn("n_tokens", token_count(F.col("pieza"), path)))
-        over = cut.filter(F.col("n_tokens") > F.col("_max")).groupBy("_k").agg(F.max(F.col("n_tokens") - F.col("_max")).alias("_mas"))
+        # At a limit of one the bodies are single tokens or characters: nothing is left to cut.
+        over = cut.filter((F.col("n_tokens") > F.col("_max")) & (F.col("_now") > 1)).groupBy("_k").agg(F.max(F.col("n_tokens") - F.col("_max")).alias("_mas"))
         over = written(over)
         parts.append(cut.join(over, "_k", "left_anti").select(F.col("_k").alias(key), "parte", "partes", "inicio", "fin", "n_tokens", "pieza"))
         if over.isEmpty():
             break
-        todo = written(todo.join(over, "_k").withColumn("_now", F.greatest(F.lit(8), F.col("_now") - F.col("_mas"))).drop("_mas"))
+        todo = written(todo.join(over, "_k").withColumn("_now", F.greatest(F.lit(1), F.col("_now") - F.col("_mas"))).drop("_mas"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

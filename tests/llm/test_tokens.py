@@ -93,6 +93,27 @@ def test_split_limits_overlaps_and_wholeness(spark, library):
     assert split.split_oversized(df.limit(0), limits).count() == 0 and split.oversized(df, limits.limit(0)).count() == 0
 
 
+def test_every_limit_from_one_on(spark, library):
+    texts = {"p": "Uno dos, tres. Cuatro\n\ncinco seis siete ocho nueve diez once doce.", "e": "😀 汉字😀x", "l": "antidisestablishmentarianismo" * 3}
+    rows = [(f"{k}{n}-{o}", t, f"s{n}-{o}") for k, t in texts.items() for n in range(1, 9) for o in (0, 3, 50)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    limits = spark.createDataFrame([(f"s{n}-{o}", n, o) for n in range(1, 9) for o in (0, 3, 50)] + [("s0", 0, 0)], "source string, max_tokens int, solape_tokens int")
+    got = split.split_oversized(df, limits).toPandas()
+    for key, text, source in rows:
+        most, share = map(int, source[1:].split("-"))
+        own = got[got.doc_id == key].sort_values("parte")
+        at = 0
+        for r in own.itertuples():
+            # Whole and in order; only a character (with a space before it) that has more tokens by itself is above the limit.
+            assert r.inicio <= at < r.fin and text[r.inicio : r.fin] == r.pieza
+            assert r.n_tokens == len(library([r.pieza])[0]) and (r.n_tokens <= most or len(r.pieza.strip()) == 1), (key, r)
+            assert r.parte == 0 or share == 0 or most == 1 or r.inicio < at or len(library([text[at - 1 : r.fin]])[0]) > 2, (key, r)
+            at = r.fin
+        assert at == len(text) and (own.partes == len(own)).all()
+    over = {r.doc_id for r in split.oversized(df, limits).collect()}
+    assert over == {k for k, t, s in rows if len(library([t])[0]) > int(s[1:].split("-")[0])}
+
+
 def test_counts_column(spark, library):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
     assert [r.n for r in df.select(bpe.token_count(F.col("t")).alias("n")).collect()] == [len(x) for x in library(t or "" for t in TEXTS)]
