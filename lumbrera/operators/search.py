@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,13 @@ from pyspark.sql import functions as F
 from lumbrera import plugins
 from lumbrera.functions.sentences import split_sentences
 from lumbrera.functions.vectors import dot
+from lumbrera.operators.chunking import packed
 
 #: Constant of reciprocal rank fusion and depths of the rankings (fixed values).
 RRF_K = 60
 TOP_K, POOL_K = 30, 150
 TOP_DOCS, TOP_PASSAGES, PASSAGE_WORDS = 3, 10, 250
-#: Queries of a block; the blocks of queries are broadcast one block at a time.
+#: Queries that go along with a scan as one matrix; the size of the blocks of more of them.
 QUERY_BLOCK = 2048
 DECIMALS = 6
 
@@ -28,42 +30,59 @@ def ranked(df: DataFrame, group: str | list[str], order: list[Column], k: int, o
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
 
 
-def exact_topk(queries: DataFrame, base: DataFrame, k: int, decimals: int = DECIMALS) -> DataFrame:
+def _best(part: pd.DataFrame, ids: np.ndarray, q: np.ndarray, k: int | None, decimals: int) -> pd.DataFrame:
+    """Scores of rows (id, vector) against the queries; of each query those that reach its k-th best here."""
+    scores = np.round(np.stack(part["vector"].to_numpy()).astype(np.float64) @ q.T, decimals)
+    n = len(part)
+    bi, qi = np.nonzero(scores >= (np.partition(scores, n - k, axis=0)[n - k] if k is not None and n > k else -np.inf))
+    return pd.DataFrame({"query_id": ids[qi], "id": part["id"].to_numpy()[bi], "score": scores[bi, qi]})
+
+
+def _block_scores(queries: DataFrame, base: DataFrame, k: int | None, decimals: int, block: int, schema: str) -> DataFrame:
+    """Scores by blocks: queries are cut by hash into blocks of about `block` rows, base into larger ones, and every pair of blocks is one task."""
+    sides = {}
+    # Rows of base are wider spread: every query goes to all blocks of base.
+    for name, df, key, size in (("q", queries, "query_id", block), ("b", base, "id", 8 * block)):
+        n = max(1, -(-df.count() // size))
+        sides[name] = (df.withColumn(f"_{name}", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q, b = sides["q"][0].withColumn("_b", every(sides["b"][1])), sides["b"][0].withColumn("_q", every(sides["q"][1]))
+
+    def multiply(qs: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(part):
+            return pd.DataFrame({"query_id": qs["query_id"][:0], "id": part["id"][:0], "score": np.zeros(0)})
+        return _best(part, qs["query_id"].to_numpy(), np.stack(qs["vector"].to_numpy()).astype(np.float64), k, decimals)
+
+    return q.groupBy("_q", "_b").cogroup(b.groupBy("_q", "_b")).applyInPandas(multiply, schema)
+
+
+def exact_topk(queries: DataFrame, base: DataFrame, k: int, decimals: int = DECIMALS, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, id, score, rank): the k largest inner products of every query (query_id, vector) with base (id, vector).
 
-    The queries go out in blocks of bounded size as a matrix; a task multiplies it with its batches of base and hands on k rows
-    a query and batch. Ties: score rounded to `decimals` descending, then id. Null vectors take no part.
+    Up to `block` queries are one matrix that goes along with a single scan of base, without an exchange of it; more of them meet
+    base block by block, none through the driver. Every task hands on k rows a query and batch. Ties: score rounded to
+    `decimals` descending, then id. Null vectors take no part.
     """
     queries = queries.filter(F.col("vector").isNotNull()).select("query_id", "vector")
     base = base.filter(F.col("vector").isNotNull()).select("id", "vector")
     key, own = queries.schema["query_id"].dataType.simpleString(), base.schema["id"].dataType.simpleString()
     schema = f"query_id {key}, id {own}, score double"
-    found = None
-    block: list = []
-
-    def scan(rows: list) -> DataFrame:
-        ids = np.array([r["query_id"] for r in rows], dtype=object)
-        q = np.array([r["vector"] for r in rows], np.float64)
-
-        def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    few = queries.limit(block + 1).collect()
+    if not few:
+        found = base.sparkSession.createDataFrame([], schema)
+    elif len(few) > block:
+        found = _block_scores(queries, base, k, decimals, block, schema)
+    else:
+        ids = np.empty(len(few), dtype=object)
+        ids[:] = [r["query_id"] for r in few]
+        q = np.array([r["vector"] for r in few], np.float64)
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for s in range(0, len(pdf), 4096):
-                    part = pdf.iloc[s : s + 4096]
-                    scores = np.round(np.stack(part["vector"].to_numpy()).astype(np.float64) @ q.T, decimals)
-                    n = len(part)
-                    bi, qi = np.nonzero(scores >= (np.partition(scores, n - k, axis=0)[n - k] if n > k else -np.inf))
-                    yield pd.DataFrame({"query_id": ids[qi], "id": part["id"].to_numpy()[bi], "score": scores[bi, qi]})
-
-        return base.mapInPandas(multiply, schema)
-
-    for row in queries.toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            found = scan(block) if found is None else found.unionByName(scan(block))
-            block = []
-    if block or found is None:
-        part = scan(block) if block else base.sparkSession.createDataFrame([], schema)
-        found = part if found is None else found.unionByName(part)
+                    yield _best(pdf.iloc[s : s + 4096], ids, q, k, decimals)
+
+        found = base.mapInPandas(scan, schema)
     return ranked(found, "query_id", [F.desc("score"), F.asc("id")], k)
 
 
@@ -94,32 +113,14 @@ def pooled_documents(hits: DataFrame, group: str | list[str] = "query_id", doc:
 
 
 def passages_of(text: str | None, language: str | None = "es", limit: int = PASSAGE_WORDS) -> list[str]:
-    """A text within the limit of words untouched; a longer one by sentences, a sentence above the limit by words; nothing is repeated."""
-    if text is None:
-        return []
-    if len(text.split()) <= limit:
-        return [text]
+    """A text within the limit of words untouched; a longer one packed by sentences, a sentence above the limit by words; nothing is repeated."""
+    if text is None or len(text.split()) <= limit:
+        return [] if text is None else [text]
     out: list[str] = []
-    open_: list[str] = []
-    held = 0
-
-    def close() -> None:
-        nonlocal held
-        if open_:
-            out.append(" ".join(open_))
-            open_.clear()
-        held = 0
-
-    for s in split_sentences(text, language):
-        words = s.split()
-        if held + len(words) > limit:
-            close()
-        if len(words) > limit:
-            out.extend(" ".join(words[k : k + limit]) for k in range(0, len(words), limit))
-        else:
-            open_.append(s)
-            held += len(words)
-    close()
+    # Sentences above the limit stand between runs of others; neither is packed together with the other.
+    for oversized, run in groupby(split_sentences(text, language), key=lambda s: len(s.split()) > limit):
+        for units in ([s.split() for s in run] if oversized else [list(run)]):
+            out += [" ".join(units[a:b]) for a, b in packed([len(u.split()) for u in units], limit, 0)]
     return out
 
 
@@ -149,12 +150,15 @@ def encoded(df: DataFrame, text: str, out: str = "vector", name: str = "default"
     return df.withColumn(out, plugins.apply("encoder", "array<float>", text, name=name))
 
 
-def similarity_matrix(rows: DataFrame, key: str, vector: str, most: int = 1000) -> DataFrame:
-    """(a, b, score) of all pairs of a small set of vectors, whose size is checked; larger sets belong to a search."""
-    if rows.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} vectors; use a search for their neighbours")
-    a = rows.select(F.col(key).alias("a"), F.col(vector).alias("_a"))
-    b = rows.select(F.col(key).alias("b"), F.col(vector).alias("_b"))
+def similarity_matrix(rows: DataFrame, key: str, vector: str, block: int = 1000) -> DataFrame:
+    """(a, b, score) of all pairs of vectors. Up to `block` vectors by expressions; more of them pair by pair of blocks, as all pairs are what is asked for."""
+    if rows.limit(block + 1).count() > block:
+        kind = rows.schema[key].dataType.simpleString()
+        sides = [rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias(k), F.col(vector).alias("vector")) for k in ("query_id", "id")]
+        found = _block_scores(*sides, None, 15, block, f"query_id {kind}, id {kind}, score double")
+        return found.select(F.col("query_id").alias("a"), F.col("id").alias("b"), "score")
+    a = rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("a"), F.col(vector).alias("_a"))
+    b = rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("b"), F.col(vector).alias("_b"))
     return a.crossJoin(F.broadcast(b)).select("a", "b", dot(F.col("_a"), F.col("_b")).alias("score"))
 
 

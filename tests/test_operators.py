@@ -53,8 +53,8 @@ def test_reuse_vectors(spark):
 def test_search_variants_agree_with_ties_and_nulls(spark):
     base = spark.createDataFrame([(k, [float(k % 5), 1.0]) for k in range(40)] + [(99, None)], "id bigint, vector array<float>")
     q = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("n", None)], "query_id string, vector array<float>")
-    a, b = (rows(f(q, base, 7), "query_id", "rank", "id", "score") for f in (search.exact_topk, search.topk_by_expression))
-    assert a == b and len(a) == 14
+    a, b, c = (rows(f(q, base, 7), "query_id", "rank", "id", "score") for f in (search.exact_topk, search.topk_by_expression, lambda *x: search.exact_topk(*x, block=1)))
+    assert a == b == c and len(a) == 14
     assert [x[2] for x in a if x[0] == "b"] == list(range(7))
     assert search.exact_topk(q.limit(0), base, 3).count() == 0 and search.exact_topk(q, base.limit(0), 3).count() == 0
 
@@ -160,6 +160,5 @@ def test_default_encoder_and_rerank(spark):
 def test_projection_and_matrix(spark):
     df = spark.createDataFrame([(k, [float(k), 2.0 * k, 0.0]) for k in range(4)], "k int, v array<float>")
     assert search.projected(df, "k", "v").count() == 4
-    assert search.similarity_matrix(df, "k", "v").count() == 16
-    with pytest.raises(ValueError):
-        search.similarity_matrix(df, "k", "v", most=3)
+    whole, blocks = (rows(search.similarity_matrix(df, "k", "v", n), "a", "b", "score") for n in (1000, 3))
+    assert whole == blocks and len(whole) == 16
