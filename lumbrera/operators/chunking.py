@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -77,7 +78,29 @@ def chunk_corpus(corpus: DataFrame, max_tokens: int = MAX_TOKENS, overlap: int =
     return out.select("doc_id", chunk_id(F.col("doc_id"), F.col("posicion")).alias("chunk_id"), "fuente", "formato", "fenomeno", "posicion", plugins.apply("tokens", "int", "texto", name=tokens).alias("num_tokens"), "texto", "idioma")
 
 
-def token_budget_chunks(text: str, budget: int, overlap: int, count) -> list[str]:
-    """Chunks by a token count of every sentence, the repeated sentences counted again."""
-    units = split_sentences(text)
-    return [" ".join(units[a:b]) for a, b in packed([count(u) for u in units], budget, overlap)]
+def token_budget_chunks(text: str | None, budget: int, overlap: int, count: Callable[[str], int]) -> list[str]:
+    """Chunks of sentences (pieces after . ! or ? and white space) by a token count; what is repeated is counted again as one text."""
+    units = [u for u in re.split(r"(?<=[.!?])\s+", (text or "").strip()) if u]
+    out: list[str] = []
+    start = total = 0
+    for k, unit in enumerate(units):
+        n = count(unit)
+        if k > start and total + n > budget:
+            out.append(" ".join(units[start:k]))
+            start = max(k - overlap, start) if overlap else k
+            total = count(" ".join(units[start:k])) if start < k else 0
+        total += n
+    return [*out, " ".join(units[start:])] if units else []
+
+
+def chunk_by_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = 40, overlap: int = 1, tokens: str = "default") -> DataFrame:
+    """(key, posicion, texto): token_budget_chunks of every text with the count of a `tokens` plug-in. One narrow pass."""
+    make = plugins.factory("tokens", tokens)
+
+    @F.pandas_udf("array<string>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        call = make()
+        for s in batches:
+            yield pd.Series([token_budget_chunks(t, budget, overlap, lambda x: call([x])[0]) for t in s])
+
+    return docs.select(key, F.posexplode(cut.asNondeterministic()(text)).alias("posicion", "texto"))

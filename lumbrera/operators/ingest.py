@@ -9,7 +9,7 @@ from lumbrera.functions.text import not_blank, path_key, phenomenon_number, slas
 from lumbrera.session import written
 
 #: Formats that have an extractor, and which (fixed values).
-EXTRACTORS = {"html": "html", "htm": "html", "pdf": "pdf", "csv": "tabular", "xlsx": "tabular", "png": "image", "jpg": "image", "jpeg": "image", "txt": "text", "docx": "text", "json": "json"}
+EXTRACTORS = {"html": "html", "htm": "html", "pdf": "pdf", "csv": "tabular", "xlsx": "tabular", "png": "image", "jpg": "image", "jpeg": "image", "avif": "image", "txt": "text", "json": "json"}
 
 
 def extractor(formato: Column, path: Column) -> Column:
@@ -64,6 +64,12 @@ def build_corpus(registry_rows: DataFrame, texts: DataFrame, languages: DataFram
     return corpus, rows.join(official, "ruta", "left_anti").select("doc_id", "fuente")
 
 
+def seeded_sample(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows by the order of a hash of key and seed: a sampling operator, the same rows whatever the partitions; a top-k, no full sort."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return rows.orderBy(order, key).limit(n)
+
+
 def extension_counts(inventory: DataFrame) -> DataFrame:
     """Files by fenomeno and extension; files without either are not counted."""
     return inventory.filter("fenomeno is not null and extension is not null").groupBy("fenomeno", "extension").agg(F.count("*").alias("archivos"))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumbrera.functions import text as tx
+from lumbrera.functions.sentences import ABBREVIATIONS
 from lumbrera.functions import vectors as vx
 from lumbrera.functions.jsontext import flat_text
-from lumbrera.operators import chunking, graph, ingest, metrics, search
+from lumbrera.operators import chunking, extraction, graph, ingest, metrics, search
 from lumbrera.plans import pipelines
-from lumbrera.session import table, written
+from lumbrera.session import shared_dir, table, written
 from lumbrera.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,65 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+# --- SQL of the composites ---------------------------------------------------------------------------------------------------
+
+_SPACES = "\\s\\x{000b}\\x{001c}-\\x{001f}\\x{0085}\\x{00a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+_CLOSING = "[\"'”’»)\\]]*"
+
+
+def _trimmed(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^[{_SPACES}]+', ''), '[{_SPACES}]+$', '')"
+
+
+def _words_of(c: str) -> str:
+    return f"list_filter(regexp_split_to_array({c}, '[{_SPACES}]+'), lambda w: w <> '')"
+
+
+def _sentences_sql(source: str, out: str, key: str, text: str, language: str) -> str:
+    """CTEs that end in `out` (key, n, s): the sentences of `source`, each text cut after every end mark and joined again where the rules say that none ends."""
+    quoted = lambda of: "[" + ", ".join(f"'{w}'" for w in sorted(of)) + "]"
+    known = " ".join(f"WHEN '{lang}' THEN list_contains({quoted(words)}, rtrim(w, '.'))" for lang, words in ABBREVIATIONS.items() if lang != "es")
+    marks = _CLOSING.replace("'", "''")
+    return f"""{out}_p AS (SELECT {key}, {language} AS lang, unnest(p) AS p, generate_subscripts(p, 1) AS i FROM (SELECT {key}, {language}, string_split(regexp_replace({text}, '([.!?…]+{marks})([{_SPACES}])', '\\1' || chr(30) || '\\2', 'g'), chr(30)) AS p FROM {source} WHERE {text} IS NOT NULL)),
+{out}_w AS (SELECT *, lower(regexp_extract(p, '([^{_SPACES}(«“"¿¡]*?)([.!?…]+){marks}$', 1)) AS w, regexp_extract(p, '([^{_SPACES}(«“"¿¡]*?)([.!?…]+){marks}$', 2) AS d, regexp_matches(regexp_extract(lead(p) OVER o, '^[{_SPACES}]*(.)', 1), '^[\\p{{Ll}}ªº]$') AS low FROM {out}_p WINDOW o AS (PARTITION BY {key} ORDER BY i)),
+{out}_c AS (SELECT *, CASE WHEN d = '.' THEN low OR (CASE lang {known} ELSE list_contains({quoted(ABBREVIATIONS["es"])}, rtrim(w, '.')) END) OR regexp_full_match(w, '[\\p{{L}}\\p{{Nl}}\\p{{No}}]') OR regexp_full_match(w, '(?:\\p{{L}}{{1,2}}\\.)+\\p{{L}}{{1,2}}')
+  WHEN regexp_full_match(d, '[.…]+') THEN low ELSE false END AS goes_on FROM {out}_w),
+{out}_g AS (SELECT *, sum(CASE WHEN coalesce(prev, true) THEN 0 ELSE 1 END) OVER (PARTITION BY {key} ORDER BY i) AS g FROM (SELECT *, lag(goes_on) OVER (PARTITION BY {key} ORDER BY i) AS prev FROM {out}_c)),
+{out} AS (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY g) AS n, s FROM (SELECT {key}, g, {_trimmed("string_agg(p, '' ORDER BY i)")} AS s FROM {out}_g GROUP BY {key}, g) WHERE s <> '')"""
+
+
+_LIMIT, _BUDGET = int(chunking.MAX_TOKENS * tx.CHARS_PER_TOKEN * 0.5), chunking.MAX_TOKENS * tx.CHARS_PER_TOKEN
+_CHUNKED = f"""RECURSIVE c AS (SELECT row_number() OVER () AS r, *, coalesce(formato IN ('csv', 'xlsx', 'pbf'), false) AS tabla FROM (SELECT DISTINCT * FROM corpus_limpio)), prosa AS (SELECT r, texto_completo AS t, coalesce(idioma, 'es') AS lang FROM c WHERE NOT tabla),
+{_sentences_sql("prosa", "fr", "r", "t", "lang")},
+filas AS (SELECT r, i AS n, s FROM (SELECT r, {_trimmed("unnest(p)")} AS s, generate_subscripts(p, 1) AS i FROM (SELECT r, string_split(texto_completo, chr(10) || chr(10)) AS p FROM c WHERE tabla)) WHERE s <> ''),
+u AS (SELECT r, n, s FROM fr UNION ALL SELECT r, n, s FROM filas), lw AS (SELECT r, n, unnest(string_split(s, ' ')) AS w, generate_subscripts(string_split(s, ' '), 1) AS k FROM u WHERE length(s) > {_LIMIT}),
+wr AS (SELECT r, n, k, w, 0 AS g, length(w) + 1 AS total FROM lw WHERE k = 1 UNION ALL SELECT lw.r, lw.n, lw.k, lw.w, CASE WHEN wr.total + length(lw.w) + 1 > {_LIMIT} THEN wr.g + 1 ELSE wr.g END, CASE WHEN wr.total + length(lw.w) + 1 > {_LIMIT} THEN length(lw.w) + 1 ELSE wr.total + length(lw.w) + 1 END FROM wr JOIN lw ON lw.r = wr.r AND lw.n = wr.n AND lw.k = wr.k + 1),
+wp AS (SELECT r, n, g, string_agg(w, ' ' ORDER BY k) AS s FROM wr GROUP BY r, n, g), pz AS (SELECT r, n, 0 AS g, 0 AS h, s FROM u WHERE length(s) <= {_LIMIT} UNION ALL SELECT r, n, g, h, substr(s, (h * {_LIMIT} + 1)::BIGINT, {_LIMIT}) FROM (SELECT *, unnest(range(0, (length(s) + {_LIMIT - 1}) // {_LIMIT})) AS h FROM wp)),
+pk AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY n, g, h) AS k, s, length(s) AS z FROM pz),
+em AS (SELECT r, k, s, z, 0 AS g, z::DOUBLE AS total FROM pk WHERE k = 1 UNION ALL SELECT pk.r, pk.k, pk.s, pk.z, CASE WHEN em.total + pk.z > {_BUDGET} THEN em.g + 1 ELSE em.g END, CASE WHEN em.total + pk.z > {_BUDGET} THEN (CASE WHEN c.tabla THEN 0 ELSE em.z END) + pk.z ELSE em.total + pk.z END FROM em JOIN pk ON pk.r = em.r AND pk.k = em.k + 1 JOIN c ON c.r = em.r),
+mi AS (SELECT r, g, k, s FROM em UNION ALL SELECT r, g + 1, k, s FROM (SELECT em.*, max(g) OVER (PARTITION BY r) AS last, max(k) OVER (PARTITION BY r, g) AS mk, c.tabla FROM em JOIN c USING (r)) WHERE k = mk AND g < last AND NOT tabla),
+tr AS (SELECT r, g, CASE WHEN c.tabla THEN string_agg(s, chr(10) || chr(10) ORDER BY k) ELSE string_agg(s, ' ' ORDER BY k) END AS texto FROM mi JOIN c USING (r) GROUP BY r, g, c.tabla)"""
+
+_FINDER = "[A-ZÀ-ÖØ-Þ][\\p{L}\\p{N}_''’-]+(?: (?:(?:de|del|do|da|of|the|la|los) )?[A-ZÀ-ÖØ-Þ][\\p{L}\\p{N}_''’-]+)*"
+_TRIPLES = f"""ch AS (SELECT row_number() OVER (ORDER BY doc_id, posicion, chunk_id) - 1 AS ord, * FROM (SELECT DISTINCT * FROM chunks WHERE texto IS NOT NULL)), cl AS (SELECT ord, texto, coalesce(idioma, 'es') AS lang FROM ch),
+{_sentences_sql("cl", "gs", "ord", "texto", "lang")},
+ge AS (SELECT ord, n AS sn, regexp_extract_all(s, '{_FINDER}') AS e, regexp_split_to_array(s, '{_FINDER}') AS b FROM gs),
+gp AS (SELECT ord, sn, i AS en, e[i] AS a, e[i + 1] AS z, {_words_of("trim(b[i + 1], ' ,.;:()-' || chr(10) || chr(34) || chr(39))")} AS w FROM (SELECT *, unnest(range(1, len(e))) AS i FROM ge WHERE len(e) >= 2)),
+tri AS (SELECT ord, sn, en, lower(a) AS src, lower(z) AS dst, CASE WHEN len(w) BETWEEN 1 AND {graph.RELATION_WORDS} THEN lower(array_to_string(w, ' ')) ELSE '{graph.GENERIC_RELATION}' END AS relacion, a, z FROM gp WHERE lower(a) <> lower(z)),
+edges AS (SELECT src, dst, relacion, doc_id, chunk_id, fenomeno FROM tri JOIN ch USING (ord))"""
+
+
+def _passages_sql(source: str, key: str, text: str, language: str) -> str:
+    """CTEs that end in pas (key, n, text): the passages of `source`."""
+    n = search.PASSAGE_WORDS
+    return f"""{_sentences_sql(source, "ps", key, text, language)},
+pw AS (SELECT {key}, n AS k, s, {_words_of("s")} AS w FROM ps), pq AS (SELECT {key}, k, s, w, len(w) AS z, len(w) > {n} AS largo FROM pw),
+pg AS (SELECT {key}, k, s, w, largo, 0 AS g, z AS total FROM pq WHERE k = 1 UNION ALL SELECT q.{key}, q.k, q.s, q.w, q.largo, CASE WHEN q.largo OR p.largo OR p.total + q.z > {n} THEN p.g + 1 ELSE p.g END, CASE WHEN q.largo OR p.largo OR p.total + q.z > {n} THEN q.z ELSE p.total + q.z END FROM pg p JOIN pq q ON q.{key} = p.{key} AND q.k = p.k + 1),
+pl AS (SELECT {key}, 0 AS g, 0 AS h, {text} AS text FROM {source} WHERE {text} IS NOT NULL AND len({_words_of(text)}) <= {n} UNION ALL SELECT {key}, g, 0, string_agg(s, ' ' ORDER BY k) FROM pg WHERE NOT largo AND {key} IN (SELECT {key} FROM {source} WHERE len({_words_of(text)}) > {n}) GROUP BY {key}, g
+  UNION ALL SELECT {key}, g, h, array_to_string(w[h * {n} + 1 : h * {n} + {n}], ' ') FROM (SELECT *, unnest(range(0, (len(w) + {n - 1}) // {n})) AS h FROM pg WHERE largo)),
+pas AS (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY g, h) AS n, text FROM pl)"""
+
+
 # --- inputs shared by several queries ----------------------------------------------------------------------------------------
 
 
@@ -112,14 +173,14 @@ def phenomenon_number(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT path, CASE lower(formato) WHEN 'html' THEN 'html' WHEN 'htm' THEN 'html' WHEN 'pdf' THEN 'pdf' WHEN 'csv' THEN 'tabular' WHEN 'xlsx' THEN 'tabular' WHEN 'png' THEN 'image' WHEN 'jpg' THEN 'image'
-WHEN 'jpeg' THEN 'image' WHEN 'txt' THEN 'text' WHEN 'docx' THEN 'text' WHEN 'json' THEN 'json' WHEN 'pbf' THEN CASE WHEN contains(replace(path, '\\', '/'), '/tiles/') THEN 'tile' ELSE 'osm' END END AS extractor
+WHEN 'jpeg' THEN 'image' WHEN 'avif' THEN 'image' WHEN 'txt' THEN 'text' WHEN 'json' THEN 'json' WHEN 'pbf' THEN CASE WHEN contains(replace(path, '\\', '/'), '/tiles/') THEN 'tile' ELSE 'osm' END END AS extractor
 FROM (SELECT DISTINCT path, formato FROM registro)""")
 def format_dispatch(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "registro").select("path", "formato").distinct().select("path", ingest.extractor(F.col("formato"), F.col("path")).alias("extractor"))
 
 
 _STATUS = """e AS (SELECT DISTINCT doc_id, fuente, formato, texto FROM extraidos),
-st AS (SELECT *, CASE WHEN fuente IS NULL THEN 'invalid row' WHEN coalesce(lower(formato), '') NOT IN ('html','htm','pdf','csv','xlsx','png','jpg','jpeg','txt','docx','json','pbf') THEN 'no extractor for ' || coalesce(formato, 'null')
+st AS (SELECT *, CASE WHEN fuente IS NULL THEN 'invalid row' WHEN coalesce(lower(formato), '') NOT IN ('html','htm','pdf','csv','xlsx','png','jpg','jpeg','avif','txt','json','pbf') THEN 'no extractor for ' || coalesce(formato, 'null')
   WHEN NOT coalesce(regexp_matches(texto, '[^\\s\\x{00a0}]'), false) THEN 'empty text' END AS error FROM e)"""
 
 
@@ -183,15 +244,85 @@ def query_bank(spark: SparkSession, d: str) -> DataFrame:
     return files.query_bank(q.select(F.concat(F.lit("Banco de consultas\n\n"), F.array_join(lines, "\n\n")).alias("value")))
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/f-{uuid.uuid4().hex}"
+
+
+@query("SELECT doc_id, idioma, texto_completo AS texto FROM (SELECT DISTINCT doc_id, idioma, texto_completo FROM corpus_limpio)")
+def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """JSON lines, gzipped, written and read again."""
+    path = _folder(spark)
+    docs = table(spark, d, "corpus_limpio").select("doc_id", "idioma", F.col("texto_completo").alias("texto")).distinct()
+    docs.write.option("ignoreNullFields", "false").option("compression", "gzip").json(path)
+    return files.read_jsonl(spark, path, "doc_id string, idioma string, texto string")
+
+
+@query("SELECT DISTINCT doc_id, path, replace(formato, ' ', '') AS error FROM registro WHERE formato IS NOT NULL")
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """An error table as CSV, written and read again."""
+    path = _folder(spark)
+    files.write_csv(table(spark, d, "registro").filter("formato is not null").select("doc_id", "path", F.replace("formato", F.lit(" "), F.lit("")).alias("error")).distinct(), path)
+    return files.read_csv(spark, path, files.ERRORS)
+
+
+@query("SELECT vec_id, chunk_id, len(embedding) AS dimensiones, round(list_sum(embedding::DOUBLE[]), 4) AS suma FROM (SELECT DISTINCT vec_id, chunk_id, embedding FROM vectores WHERE embedding IS NOT NULL)")
+def vector_index(spark: SparkSession, d: str) -> DataFrame:
+    """The vectors as an index, written and read again."""
+    path = _folder(spark)
+    files.write_vectors(table(spark, d, "vectores").filter("embedding is not null").dropDuplicates(["vec_id"]).select("vec_id", "chunk_id", "embedding"), path)
+    return files.read_vectors(spark, path).select("vec_id", "chunk_id", F.size("embedding").alias("dimensiones"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("suma"))
+
+
+@query(f"WITH {_TRIPLES} SELECT * FROM edges")
+def graphml_edges(spark: SparkSession, d: str) -> DataFrame:
+    """The relations as GraphML, written and read again."""
+    path = _folder(spark)
+    nodes, edges = _graph(spark, d)
+    files.write_graphml(written(nodes), written(edges), path)
+    return files.read_graphml(spark, path)[1]
+
+
+_MIXED = """m AS (SELECT doc_id, t, (ascii(substr(md5(doc_id), 1, 1)) + ascii(substr(md5(doc_id), 2, 1))) % 7 AS k FROM (SELECT doc_id, min(regexp_replace(texto, '[<>&"\\\\\\s]+', ' ', 'g')) AS t FROM extraidos WHERE texto IS NOT NULL GROUP BY doc_id))"""
+
+
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Files (doc_id, path, formato, content) of seven kinds made of the texts: page, JSON, CSV, plain, a PDF that is a page, a broken JSON, an unknown format."""
+    docs = table(spark, d, "extraidos").filter("texto is not null").groupBy("doc_id").agg(F.min(F.regexp_replace("texto", r'[<>&"\\\s]+', " ")).alias("t"))
+    h = F.md5("doc_id")
+    k = (F.ascii(F.substring(h, 1, 1)) + F.ascii(F.substring(h, 2, 1))) % 7
+    page = F.concat(F.lit("<html><nav>menu</nav><p>"), "t", F.lit("</p><script>x</script></html>"))
+    body = F.when(k.isin(0, 4), page).when(k == 1, F.concat(F.lit('{"text": "'), "t", F.lit('"}'))).when(k == 2, F.concat(F.lit('a,b\n1,"'), "t", F.lit('"\n'))).when(k == 5, F.concat(F.lit('{"text": "'), "t")).otherwise(F.col("t"))
+    formato = F.element_at(F.array(*map(F.lit, ("html", "JSON", "csv", "txt", "pdf", "json", "zip"))), k + 1)
+    return docs.select("doc_id", F.concat(F.lit("data/raw/"), "doc_id").alias("path"), formato.alias("formato"), F.encode(body, "UTF-8").alias("content"))
+
+
+@query(f"""WITH {_MIXED}, b AS (SELECT *, regexp_matches(t, '[^{_SPACES}]') AS lleno, {_trimmed("t")} AS s FROM m)
+SELECT doc_id, CASE WHEN NOT lleno AND k IN (0, 1, 3, 4) OR k IN (5, 6) THEN NULL WHEN k = 2 THEN 'a: 1' || CASE WHEN lleno THEN ', b: ' || t ELSE '' END ELSE s END AS texto,
+CASE WHEN k = 6 THEN 'no extractor for zip' WHEN k = 5 THEN 'malformed' WHEN NOT lleno AND k IN (0, 1, 3, 4) THEN 'empty text' END AS error FROM b""")
+def extraction_run(spark: SparkSession, d: str) -> DataFrame:
+    """Mixed files through the extraction run: texts, and errors where there are none."""
+    out = extraction.extract(_mixed(spark, d))
+    return out.select("doc_id", "texto", F.when(F.col("error").rlike("delimiter|terminat"), "malformed").otherwise(F.col("error")).alias("error"))
+
+
+@query("SELECT doc_id, path FROM (SELECT doc_id, path, row_number() OVER (ORDER BY md5('42:' || path), path) AS n FROM (SELECT DISTINCT doc_id, path FROM registro)) WHERE n <= 20")
+def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Twenty rows of the registry by a seeded hash."""
+    return ingest.seeded_sample(table(spark, d, "registro").select("doc_id", "path").distinct(), "path", 20)
+
+
 # --- text --------------------------------------------------------------------------------------------------------------------
 
 _MONTHS = "|".join(tx.MONTHS)
 
 
+_STEPS = "t"
+for _pattern, _new in (("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]", "''"), ("(?i)\\b(?:página|pág|page)\\s+\\d+(?:\\s+(?:de|of)\\s+\\d+)?\\b", "''"), ("(?m)^\\s*\\d+\\s*$", "''"), ("https?://\\S+|www\\.\\S+", "''"), (f"(?i)\\b(?:{_MONTHS})\\s+\\d{{4}}\\b", "''"), ("[ \\t]+", "' '"), ("\\n{3,}", "chr(10) || chr(10)")):
+    _STEPS = f"regexp_replace({_STEPS}, '{_pattern}', {_new}, 'g')"
+
+
 @query(f"""WITH t AS (SELECT doc_id, nfc_normalize(texto) AS t FROM (SELECT DISTINCT doc_id, 'Página 4 de 30' || chr(10) || '  17  ' || chr(10) || texto_completo || chr(10) || 'enero 2018 https://orbita.example/a' AS texto FROM corpus_limpio WHERE texto_completo IS NOT NULL))
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '(?i)\\b(?:página|pág|page)\\s+\\d+(?:\\s+(?:de|of)\\s+\\d+)?\\b', '', 'g'),
-'(?m)^\\s*\\d+\\s*$', '', 'g'), 'https?://\\S+|www\\.\\S+', '', 'g'), '(?i)\\b(?:{_MONTHS})\\s+\\d{{4}}\\b', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g') AS t2,
-regexp_replace(regexp_replace(t2, '^[\\s\\x{{00a0}}]+', ''), '[\\s\\x{{00a0}}]+$', '') AS texto FROM t""".replace("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,", "SELECT doc_id, texto FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,") + ")")
+SELECT doc_id, {_trimmed(_STEPS)} AS texto FROM t""")
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
     """Cleaning of every text with a page mark, a lone number, a month stamp and a link added."""
     docs = table(spark, d, "corpus_limpio").filter("texto_completo is not null").select("doc_id", F.concat(F.lit("Página 4 de 30\n  17  \n"), "texto_completo", F.lit("\nenero 2018 https://orbita.example/a")).alias("t")).distinct()
@@ -222,12 +353,18 @@ def lang_normalise(spark: SparkSession, d: str) -> DataFrame:
     return _corpus(spark, d).groupBy("idioma", tx.supported_language(F.col("idioma")).alias("codigo")).agg(F.count("*").alias("n"))
 
 
-@query()
+_CLEANED = f"""WITH t AS (SELECT doc_id, nfc_normalize(texto) AS t FROM (SELECT DISTINCT doc_id, texto FROM extraidos)),
+c AS (SELECT doc_id, {_trimmed(_STEPS)} AS texto FROM t), w AS (SELECT *, regexp_split_to_array(lower(substr(texto, 1, 1000)), '[^\\p{{L}}]+') AS w FROM c),
+v AS (SELECT doc_id, texto, {", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in words)}))) AS {lang}" for lang, words in tx.VOTE_WORDS.items())} FROM w)
+SELECT doc_id, texto, CASE WHEN texto IS NULL OR length(texto) < 20 THEN 'es' WHEN es >= en AND es >= pt THEN 'es' WHEN en >= pt THEN 'en' ELSE 'pt' END AS idioma FROM v"""
+
+
+@query(_CLEANED)
 def clean_and_detect(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.clean_all(table(spark, d, "extraidos").select("doc_id", "texto").distinct())
 
 
-@query()
+@query(f"WITH {_CHUNKED} SELECT doc_id, printf('%s-chunk-%03d', doc_id, g::BIGINT) AS chunk_id, fuente, formato, fenomeno, g::INT AS posicion, ceil(length(texto) / 3.7::DOUBLE)::INT AS num_tokens, texto, coalesce(idioma, 'es') AS idioma FROM tr JOIN c USING (r)")
 def chunk_corpus(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_corpus(_corpus(spark, d))
 
@@ -303,7 +440,8 @@ def fused_documents(spark: SparkSession, d: str) -> DataFrame:
     return search.pooled_documents(hits, ["corrida_id", "query_id"]).withColumn("score", F.round("score", 9))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_FUSED}, hit AS (SELECT row_number() OVER () AS r, corrida_id, query_id, chunk_id, doc_id, rank, texto, coalesce(idioma, 'es') AS lang FROM fused JOIN (SELECT DISTINCT * FROM chunks) USING (chunk_id) WHERE rank <= 10),
+{_passages_sql("hit", "r", "texto", "lang")} SELECT corrida_id, query_id, chunk_id, doc_id, text, rank FROM (SELECT corrida_id, query_id, chunk_id, doc_id, text, row_number() OVER (PARTITION BY corrida_id, query_id ORDER BY rank, n)::INT AS rank FROM hit JOIN pas USING (r)) WHERE rank <= 10""")
 def passages_top10(spark: SparkSession, d: str) -> DataFrame:
     """The first ten passages of every query and run, by the fused ranking."""
     hits = _fused(spark, d).join(_chunks(spark, d).select("chunk_id", "doc_id", "texto", "idioma"), "chunk_id")
@@ -343,41 +481,31 @@ def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return graph.build_graph(_numbered(spark, d), stride=None)
 
 
-# Entities that SQL can find too: runs of capitals, pairs of neighbours in a chunk.
-_ACR = """e AS (SELECT chunk_id, doc_id, unnest(regexp_extract_all(texto, '[A-Z]{4,}')) AS t, generate_subscripts(regexp_extract_all(texto, '[A-Z]{4,}'), 1) AS p FROM (SELECT DISTINCT * FROM chunks WHERE texto IS NOT NULL)),
-ed AS (SELECT * FROM (SELECT lower(t) AS src, lower(lead(t) OVER (PARTITION BY chunk_id ORDER BY p)) AS dst, doc_id, chunk_id FROM e) WHERE dst IS NOT NULL AND src <> dst)"""
-
-
-def _acronym_edges(spark: SparkSession, d: str) -> DataFrame:
-    found = _chunks(spark, d).select("doc_id", "chunk_id", F.posexplode(F.regexp_extract_all("texto", F.lit("[A-Z]{4,}"), F.lit(0))).alias("p", "t"))
-    w = Window.partitionBy("chunk_id").orderBy("p")
-    pairs = found.select("doc_id", "chunk_id", tx.entity_key(F.col("t")).alias("src"), tx.entity_key(F.lead("t").over(w)).alias("dst"))
-    return pairs.filter("dst is not null and src <> dst")
-
-
-@query(f"WITH {_ACR} SELECT src, dst, count(*) AS n, count(DISTINCT chunk_id) AS chunks FROM ed GROUP BY ALL")
+@query(f"WITH {_TRIPLES} SELECT src, dst, count(*) AS n, count(DISTINCT chunk_id) AS chunks FROM edges GROUP BY ALL")
 def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return _acronym_edges(spark, d).groupBy("src", "dst").agg(F.count("*").alias("n"), F.countDistinct("chunk_id").alias("chunks"))
+    return _graph(spark, d)[1].groupBy("src", "dst").agg(F.count("*").alias("n"), F.countDistinct("chunk_id").alias("chunks"))
 
 
-@query(f"WITH {_ACR} SELECT id, count(*) AS grado FROM (SELECT unnest([src, dst]) AS id FROM ed) GROUP BY id")
+@query(f"WITH {_TRIPLES} SELECT id, count(*) AS grado FROM (SELECT unnest([src, dst]) AS id FROM edges) GROUP BY id")
 def entity_degree(spark: SparkSession, d: str) -> DataFrame:
-    return graph.degree(_acronym_edges(spark, d))
+    return graph.degree(_graph(spark, d)[1])
 
 
-@query(f"""WITH {_ACR}, seeds AS (SELECT DISTINCT 'q-' || src AS query_id, src AS id FROM ed), r AS (SELECT * FROM seeds UNION SELECT query_id, dst FROM seeds JOIN ed ON id = src UNION SELECT query_id, src FROM seeds JOIN ed ON id = dst)
-SELECT query_id, chunk_id, count(*) AS conteo FROM r JOIN (SELECT src AS id, chunk_id FROM ed UNION ALL SELECT dst, chunk_id FROM ed) USING (id) GROUP BY ALL""")
+@query(f"""WITH {_TRIPLES}, seeds AS (SELECT * FROM (SELECT query_id, lower(unnest(regexp_extract_all(text, '{_FINDER}'))) AS id FROM consultas) WHERE length(id) > 1 AND id NOT IN ({", ".join(f"'{w}'" for w in graph.GENERIC)})), r AS (SELECT * FROM seeds
+  UNION SELECT query_id, dst FROM seeds JOIN edges ON id = src UNION SELECT query_id, src FROM seeds JOIN edges ON id = dst)
+SELECT query_id, chunk_id, count(*) AS conteo FROM r JOIN (SELECT src AS id, chunk_id FROM edges UNION ALL SELECT dst, chunk_id FROM edges) USING (id) GROUP BY ALL""")
 def graph_evidence(spark: SparkSession, d: str) -> DataFrame:
-    edges = _acronym_edges(spark, d)
-    return graph.evidence(edges.select(F.concat(F.lit("q-"), "src").alias("query_id"), F.col("src").alias("id")).distinct(), edges)
+    """Edges at the entities of each query and their neighbours, by chunk."""
+    return graph.evidence(graph.query_entities(table(spark, d, "consultas")), written(_graph(spark, d)[1]))
 
 
-@query()
+@query(f"""WITH {_TRIPLES}, ends AS (SELECT src AS id, a AS label, [ord, sn, en, 0] AS pos FROM tri UNION ALL SELECT dst, z, [ord, sn, en, 1] FROM tri)
+SELECT id, label, CASE WHEN upper(label) = label AND lower(label) <> label THEN 'ORG' ELSE 'MISC' END AS tipo FROM (SELECT id, arg_min(label, pos) AS label FROM ends GROUP BY id)""")
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     return _graph(spark, d)[0]
 
 
-@query()
+@query(f"WITH {_TRIPLES} SELECT * FROM edges")
 def graph_relations(spark: SparkSession, d: str) -> DataFrame:
     return _graph(spark, d)[1]
 
@@ -386,16 +514,38 @@ def _pool(spark: SparkSession, d: str) -> DataFrame:
     return written(_lexical(spark, d, search.POOL_K).withColumnRenamed("id", "chunk_id"))
 
 
-@query()
+_HITS = f"""RECURSIVE {_LEX}, pool AS (SELECT query_id, id AS chunk_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM sc) WHERE rank <= {search.POOL_K}), base AS (SELECT * FROM pool WHERE rank <= {search.TOP_K}), {_TRIPLES},
+seeds AS (SELECT DISTINCT query_id, lower(e) AS id FROM (SELECT query_id, unnest(regexp_extract_all(text, '{_FINDER}')) AS e FROM consultas) WHERE length(e) > 1 AND lower(e) NOT IN ({", ".join(f"'{w}'" for w in graph.GENERIC)})),
+near AS (SELECT * FROM seeds UNION SELECT query_id, dst FROM seeds JOIN edges ON id = src UNION SELECT query_id, src FROM seeds JOIN edges ON id = dst),
+counts AS (SELECT query_id, chunk_id, count(*) AS conteo FROM near JOIN (SELECT src AS id, chunk_id FROM edges UNION ALL SELECT dst, chunk_id FROM edges) USING (id) JOIN (SELECT DISTINCT query_id, chunk_id FROM pool) USING (query_id, chunk_id) GROUP BY ALL),
+byg AS (SELECT query_id, chunk_id, rank FROM (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY conteo DESC, p.rank NULLS LAST, chunk_id) AS rank FROM counts LEFT JOIN pool p USING (query_id, chunk_id)) WHERE rank <= {graph.TOP_CANDIDATES}),
+ff AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_id, b.chunk_id) AS chunk_id, a.rank AS ra, coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0) AS score FROM base a FULL JOIN byg b ON a.query_id = b.query_id AND a.chunk_id = b.chunk_id),
+fz AS (SELECT query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ra NULLS LAST, chunk_id) AS rank FROM ff WHERE query_id IN (SELECT query_id FROM counts) UNION ALL SELECT query_id, chunk_id, score, rank FROM base WHERE query_id NOT IN (SELECT query_id FROM counts)),
+dc AS (SELECT chunk_id, doc_id, texto, coalesce(idioma, 'es') AS lang FROM (SELECT DISTINCT * FROM chunks))"""
+
+
+def _documents_sql(hits: str, out: str) -> str:
+    return f"{out} AS (SELECT query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, f) AS rank FROM (SELECT query_id, doc_id, max(score) AS s, min(rank) AS f FROM {hits} JOIN dc USING (chunk_id) GROUP BY ALL)) WHERE rank <= {search.TOP_DOCS})"
+
+
+@query(f"""WITH {_HITS}, {_documents_sql("fz", "docs")}, hit AS (SELECT row_number() OVER () AS r, * FROM fz JOIN dc USING (chunk_id) WHERE rank <= {search.TOP_PASSAGES}), {_passages_sql("hit", "r", "texto", "lang")},
+frag AS (SELECT query_id, chunk_id, doc_id, text, row_number() OVER (PARTITION BY query_id ORDER BY rank, n) AS rank FROM hit JOIN pas USING (r))
+SELECT query_id, 'documento' AS tipo, rank::INT AS rank, doc_id, NULL::VARCHAR AS chunk_id, NULL::VARCHAR AS text FROM docs UNION ALL SELECT query_id, 'fragmento', rank::INT, doc_id, chunk_id, text FROM frag WHERE rank <= {search.TOP_PASSAGES}""")
 def answers(spark: SparkSession, d: str) -> DataFrame:
-    """The query bank answered: documents and passages of each query, with the graph."""
+    """The query bank answered with the graph: documents and passages of each query, a row each."""
     _, docs, pieces = pipelines.answers(table(spark, d, "consultas"), _pool(spark, d), _chunks(spark, d), written(_graph(spark, d)[1]))
-    return pipelines.results(docs, pieces)
+    null = F.lit(None).cast("string")
+    out = docs.select("query_id", F.lit("documento").alias("tipo"), "rank", "doc_id", null.alias("chunk_id"), null.alias("text"))
+    return out.unionByName(pieces.select("query_id", F.lit("fragmento").alias("tipo"), "rank", "doc_id", "chunk_id", "text"))
+
+
+_LISTED = "(SELECT query_id, string_agg(doc_id, ',' ORDER BY rank) AS docs FROM {0} GROUP BY query_id)"
 
 
-@query()
+@query(f"""WITH {_HITS}, {_documents_sql("fz", "con")}, {_documents_sql("base", "sin")} SELECT coalesce(a.query_id, b.query_id) AS query_id, a.docs AS con_grafo, b.docs AS sin_grafo, a.docs IS DISTINCT FROM b.docs AS cambia FROM {_LISTED.format("con")} a FULL JOIN {_LISTED.format("sin")} b ON a.query_id = b.query_id""")
 def ablation_changed(spark: SparkSession, d: str) -> DataFrame:
-    return pipelines.ablation(table(spark, d, "consultas"), _pool(spark, d), _chunks(spark, d), written(_graph(spark, d)[1]))
+    out = pipelines.ablation(table(spark, d, "consultas"), _pool(spark, d), _chunks(spark, d), written(_graph(spark, d)[1]))
+    return out.select("query_id", F.array_join("con_grafo", ",").alias("con_grafo"), F.array_join("sin_grafo", ",").alias("sin_grafo"), "cambia")
 
 
 # --- evaluation --------------------------------------------------------------------------------------------------------------

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lumbrera.functions.text import clean_text, language_vote
 from lumbrera.operators import chunking, graph, ingest, metrics, search
+from lumbrera.operators.extraction import extract_registry
 from lumbrera.session import written
+from lumbrera.sources.files import write_jsonl
 
 
 def clean_all(docs: DataFrame, text: str = "texto") -> DataFrame:
@@ -55,6 +57,20 @@ def results(documents: DataFrame, passages: DataFrame) -> DataFrame:
     return d.join(p, "query_id", "full_outer")
 
 
+def run_bank(queries: DataFrame, pool: DataFrame, chunks: DataFrame, edges: DataFrame | None, path: str) -> DataFrame:
+    """Answers the bank and writes one JSON line a query, by ascending query_id; returns what was written."""
+    _, docs, pieces = answers(queries, pool, chunks, edges)
+    rows = written(results(docs, pieces))
+    write_jsonl(rows.repartitionByRange("query_id").sortWithinPartitions("query_id"), path)
+    return rows
+
+
+def extract_all(registry: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts, errors) of registry rows and file contents; the pass over the files is written once."""
+    done = written(extract_registry(registry, files))
+    return done.filter("error is null").select("doc_id", "path", "texto"), done.filter("error is not null").select("doc_id", "path", "error")
+
+
 def ablation(queries: DataFrame, pool: DataFrame, chunks: DataFrame, edges: DataFrame) -> DataFrame:
     """query_id, con_grafo, sin_grafo, cambia: the documents of each query with and without the graph."""
     pool = written(pool)

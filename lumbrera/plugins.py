@@ -18,9 +18,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumbrera.sources import decoders
+
 Batch = Callable[[list], list]
 _FACTORIES: dict[tuple[str, str], Callable[[], Batch]] = {}
-KINDS = ("encoder", "entities", "tokens", "rerank", "ocr", "pdf", "osm", "tile", "language", "sentences")
+KINDS = ("encoder", "entities", "tokens", "rerank", "ocr", "pdf", "osm", "tile", "language", "sentences", "token_vectors")
 
 
 def register(kind: str, name: str, factory: Callable[[], Batch]) -> None:
@@ -66,6 +68,37 @@ def apply(kind: str, returns: str, *columns: Column | str, name: str = "default"
     return (run_one if len(columns) == 1 else run).asNondeterministic()(*columns)
 
 
+def attempt(kind: str, returns: str, *columns: Column | str, name: str = "default") -> Column:
+    """STRUCT<value, error> of a plug-in over one or more columns: where it raises, the row gets the message and the others their values."""
+    make, several = factory(kind, name), len(columns) > 1
+
+    @F.pandas_udf(f"struct<value:{returns},error:string>")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        call = make()
+
+        def one(r: Any) -> tuple[Any, str | None]:
+            try:
+                return call([r])[0], None
+            except Exception as e:  # noqa: BLE001 - whatever a plug-in raises is the row's error
+                return None, str(e) or type(e).__name__
+
+        for parts in batches:
+            rows = list(zip(*parts, strict=True))
+            full = [k for k, r in enumerate(rows) if all(x is not None for x in r)]
+            given = [rows[k] if several else rows[k][0] for k in full]
+            try:
+                got = [(v, None) for v in call(given)] if given else []
+            except Exception:  # noqa: BLE001 - row by row, to find which one it is
+                got = [one(r) for r in given]
+            out: list[tuple[Any, str | None]] = [(None, None)] * len(rows)
+            for k, v in zip(full, got, strict=True):
+                out[k] = v
+            yield pd.DataFrame({"value": pd.Series([v for v, _ in out], dtype=object), "error": pd.Series([e for _, e in out], dtype=object)})
+
+    # A single column would come as a series by itself; an empty literal beside it keeps one form for both.
+    return run.asNondeterministic()(*columns, *([F.lit("")] if len(columns) == 1 else ()))
+
+
 _WORD = re.compile(r"[^\W_]+")
 #: Dimensions of the default encoder.
 DIMENSIONS = 256
@@ -104,6 +137,26 @@ def _capitalised_entities() -> Batch:
     return find
 
 
+def _token_vectors() -> Batch:
+    """Vector of a word in its sentence: (sentence, word) pairs to the hashed word, leaned towards the words around its first occurrence; null where it does not occur."""
+    encode = _hashing_encoder()
+
+    def vectors(pairs: list[tuple[str, str]]) -> list[Any]:
+        out: list[Any] = []
+        for sentence, word in pairs:
+            words = _WORD.findall(sentence.lower())
+            if word.lower() not in words:
+                out.append(None)
+                continue
+            k = words.index(word.lower())
+            own, near = encode([words[k], " ".join(words[max(0, k - 3) : k] + words[k + 1 : k + 4])])
+            v = own + np.float32(0.5) * near
+            out.append(v / max(float(np.linalg.norm(v)), 1e-12))
+        return out
+
+    return vectors
+
+
 def _estimated_tokens() -> Batch:
     return lambda texts: [math.ceil(len(t) / 3.7) for t in texts]
 
@@ -123,8 +176,8 @@ def _nothing() -> Batch:
     return lambda items: ["" for _ in items]
 
 
-def _no_elements() -> Batch:
-    return lambda items: [[] for _ in items]
+def _each(decode: Callable[[bytes], Any]) -> Callable[[], Batch]:
+    return lambda: lambda items: [decode(bytes(b)) for b in items]
 
 
 register("encoder", "default", _hashing_encoder)
@@ -132,6 +185,7 @@ register("entities", "default", _capitalised_entities)
 register("tokens", "default", _estimated_tokens)
 register("rerank", "default", _overlap_rerank)
 register("ocr", "default", _nothing)
-register("pdf", "default", _nothing)
-register("osm", "default", _no_elements)
-register("tile", "default", _no_elements)
+register("pdf", "default", _each(decoders.pdf_text))
+register("osm", "default", _each(decoders.osm_elements))
+register("tile", "default", _each(decoders.tile_elements))
+register("token_vectors", "default", _token_vectors)

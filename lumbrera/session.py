@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -40,13 +41,41 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, kept when executors are lost, lineage cut."""
+    """df as a Parquet table in the shared folder: computed once, kept when executors are lost, lineage cut.
+
+    The tables of an application are deleted when it ends, or by discard_written() once no result that reads them is needed.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    if len(_WRITTEN) == 1:
+        atexit.register(_at_exit)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def discard_written(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables of written(), from the since-th on; results already collected or stored elsewhere stay. Gives how many are left."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN[since:]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    del _WRITTEN[since:]
+    return len(_WRITTEN)
+
+
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _WRITTEN:
+        try:
+            discard_written(spark)
+        except Exception:  # noqa: BLE001 - the session may be gone already
+            pass
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint; unlike written() it keeps the partitioning."""
     shared_dir(df.sparkSession)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import zlib
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
@@ -13,6 +14,7 @@ from lumbrera import plugins
 from lumbrera.functions.html import from_html
 from lumbrera.functions.jsontext import from_json_text
 from lumbrera.functions.text import collapse_spaces, not_blank, row_text, slashes, strip
+from lumbrera.sources import decoders
 
 ERRORS = "doc_id string, path string, error string"
 CHUNK = "doc_id string, chunk_id string, fuente string, formato string, fenomeno int, posicion int, num_tokens int, texto string, idioma string"
@@ -47,10 +49,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str, limit: int | None = None, order: str | None = None) -> DataFrame:
-    """JSON lines, plain or .gz; blank lines are skipped. limit takes the first rows by `order`."""
-    df = spark.read.schema(schema).json(path)
-    return df.orderBy(order).limit(limit) if limit is not None and order else df.limit(limit) if limit is not None else df
+def read_jsonl(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
+    """JSON lines, plain or .gz; blank lines are skipped. limit takes the first raw lines, blank ones counted, in the order of files and of their lines."""
+    if limit is None:
+        return spark.read.schema(schema).json(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.monotonically_increasing_id().alias("_n"))
+    # Ids grow along a file within a partition, and the partitions of a file in its order: a top-k, no global sort.
+    lines = lines.orderBy("_f", "_n").limit(limit).filter(not_blank(F.col("value")))
+    return lines.select(F.from_json("value", schema).alias("_j")).select("_j.*")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -98,21 +104,29 @@ def document_of_rows(rows: DataFrame, key: str, order: str, text: str = "texto")
 def pdf_of(content: Column) -> Column:
     """STRUCT<texto, error> of PDF bytes: the header decides; HTML named .pdf is read as HTML, anything else is an error."""
     head = F.lower(F.regexp_replace(F.decode(F.substring(content, 1, 2048), "ISO-8859-1"), r"^\s+", ""))
-    is_pdf, is_html = F.startswith(head, F.lit("%pdf")), F.startswith(head, F.lit("<!doctype html")) | F.startswith(head, F.lit("<html"))
-    pdf = plugins.apply("pdf", "string", F.when(is_pdf, content))
-    web = html_of(F.when(is_html, content))
-    return F.struct(F.when(is_pdf, pdf).when(is_html, web).alias("texto"), F.when(content.isNotNull() & ~is_pdf & ~is_html, F.lit("neither a PDF nor HTML")).alias("error"))
+    is_pdf, is_html = F.startswith(head, F.lit("%pdf")), F.contains(head, F.lit("<!doctype html")) | F.contains(head, F.lit("<html"))
+    pdf = plugins.attempt("pdf", "string", F.when(is_pdf, content))
+    web = html_of(F.when(~is_pdf & is_html, content))
+    return F.struct(F.when(is_pdf, pdf["value"]).when(is_html, web).alias("texto"), F.when(content.isNotNull() & ~is_pdf & ~is_html, F.lit("neither a PDF nor HTML")).otherwise(pdf["error"]).alias("error"))
 
 
 def image_text(content: Column) -> Column:
     """Text of an image by the ocr plug-in; "" where it fails."""
-    return F.coalesce(plugins.apply("ocr", "string", content), F.lit(""))
+    return F.coalesce(plugins.attempt("ocr", "string", content)["value"], F.lit(""))
 
 
 def gunzipped(content: Column) -> Column:
+    """Bytes without their gzip wrapping, if any; null where it is damaged."""
+
     @F.pandas_udf("binary")
     def inflate(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: b if b is None or bytes(b[:2]) != b"\x1f\x8b" else gzip.decompress(bytes(b)))
+        def one(b: bytes | None) -> bytes | None:
+            try:
+                return b if b is None or bytes(b[:2]) != b"\x1f\x8b" else gzip.decompress(bytes(b))
+            except (OSError, EOFError, zlib.error):
+                return None
+
+        return s.map(one)
 
     return inflate(content)
 
@@ -120,6 +134,13 @@ def gunzipped(content: Column) -> Column:
 ELEMENTS = "array<struct<tipo:string,id:bigint,tags:map<string,string>>>"
 
 
+def elements_text(elements: list[dict], kind: str) -> str:
+    """Elements with tags as "kind: ..., key: value" by blank lines; for kind tipo each (tipo, id) once."""
+    once = {(e["tipo"], e["id"]): e for e in reversed(elements)} if kind == "tipo" else dict(enumerate(elements))
+    order = reversed(once.values()) if kind == "tipo" else once.values()
+    return "\n\n".join(", ".join([f"{kind}: {e['tipo']}", *(f"{k}: {v}" for k, v in e["tags"].items())]) for e in order if e["tags"])
+
+
 def element_text(elements: DataFrame, kind: str = "tipo") -> DataFrame:
     """(path, texto) of map elements (path, tipo, id, tags): each (path, tipo, id) once, those without tags dropped."""
     pairs = F.array_join(F.transform(F.map_entries("tags"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), ", ")
@@ -127,13 +148,41 @@ def element_text(elements: DataFrame, kind: str = "tipo") -> DataFrame:
     return once.filter(F.size("tags") > 0).select("path", F.concat(F.lit(f"{kind}: "), F.col("tipo"), F.lit(", "), pairs).alias("texto"))
 
 
+def _elements(files: DataFrame, kind: str, content: Column) -> DataFrame:
+    return files.select("path", F.explode(plugins.attempt(kind, ELEMENTS, content)["value"]).alias("e")).select("path", "e.*")
+
+
 def osm_text(files: DataFrame) -> DataFrame:
-    return element_text(files.select("path", F.explode(plugins.apply("osm", ELEMENTS, "content")).alias("e")).select("path", "e.*"))
+    """Elements of map files; a damaged file gives none here (the extraction run gives its error)."""
+    return element_text(_elements(files, "osm", F.col("content")))
 
 
 def tile_text(files: DataFrame) -> DataFrame:
     """Features of vector tiles, gunzipped where needed; tipo holds the layer."""
-    return element_text(files.select("path", F.explode(plugins.apply("tile", ELEMENTS, gunzipped(F.col("content")))).alias("e")).select("path", "e.*"), "capa")
+    return element_text(_elements(files, "tile", gunzipped(F.col("content"))), "capa")
+
+
+def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
+    """(path, fila, celdas MAP<STRING, STRING>) of the rows of XLSX files, one file a row of the read; null cells left out."""
+
+    @F.pandas_udf("array<map<string,string>>")
+    def rows(s: pd.Series) -> pd.Series:
+        def one(b: bytes) -> list[dict] | None:
+            try:
+                df = decoders.xlsx_frame(bytes(b))
+            except Exception:  # noqa: BLE001 - a damaged workbook has no rows
+                return None
+            return [{str(c): str(v) for c, v in zip(df.columns, r, strict=True) if v is not None and v == v} for r in df.itertuples(index=False, name=None)]
+
+        return s.map(one)
+
+    return read_files(spark, path, "*.xlsx").select("path", F.posexplode(rows.asNondeterministic()("content")).alias("fila", "celdas"))
+
+
+def official_index(rows: DataFrame, folder: str = "Carpeta", name: str = "Nombre estandarizado", key: str = "DOC_ID") -> DataFrame:
+    """(carpeta, nombre, doc_id, ord) of an inventory sheet read by read_xlsx, for official_ids."""
+    cell = lambda c: F.try_element_at("celdas", F.lit(c))
+    return rows.select(cell(folder).alias("carpeta"), cell(name).alias("nombre"), cell(key).alias("doc_id"), F.col("fila").alias("ord"))
 
 
 def official_ids(index: DataFrame, order: str = "ord") -> DataFrame:
@@ -159,6 +208,11 @@ def write_vectors(vectors: DataFrame, path: str, buckets: int | None = None) ->
     (vectors.repartition(buckets, "vec_id") if buckets else vectors).write.mode("overwrite").parquet(path)
 
 
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """(vec_id, chunk_id, embedding) of an index written by write_vectors."""
+    return spark.read.schema("vec_id bigint, chunk_id string, embedding array<float>").parquet(path)
+
+
 def write_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "texto") -> None:
     """Extracted texts as one Parquet table partitioned by format where there is one, in place of a file each document."""
     keep = [c for c in (key, text, "formato") if c in docs.columns]
@@ -195,6 +249,32 @@ def graphml(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return head.unionByName(node).unionByName(edge)
 
 
+def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """One GraphML document as text parts that follow each other in the order of their names."""
+    graphml(nodes, edges).repartitionByRange("parte").sortWithinPartitions("parte").select("value").write.mode("overwrite").text(path)
+
+
+def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of GraphML whose nodes and edges stand each on a line of its own, as write_graphml puts them; the lines of a document may lie in any number of files.
+
+    Keys are known by their attr.name where the head declares it. Elements are read line by line, so no document is held whole.
+    """
+    lines = spark.read.text(path)
+    heads = lines.filter(F.col("value").contains("<key ")).select(F.explode(F.regexp_extract_all("value", F.lit("(<key [^>]*>)"), F.lit(1))).alias("k"))
+    names = {r["id"]: r["n"] for r in heads.select(F.regexp_extract("k", r'\bid="([^"]*)"', 1).alias("id"), F.regexp_extract("k", r'attr\.name="([^"]*)"', 1).alias("n")).distinct().limit(1000).collect()}
+    plain = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&quot;"), F.lit('"')), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+    attribute = lambda a: plain(F.regexp_extract("value", rf'^\s*<\w+[^>]*\b{a}="([^"]*)"', 1))
+
+    def data(name: str) -> Column:
+        ids = [i for i, n in names.items() if n == name] or [name]
+        got = [F.regexp_extract("value", rf'<data key="{i}">([^<]*)</data>', 1) for i in ids]
+        return plain(F.coalesce(*[F.nullif(g, F.lit("")) for g in got], F.lit("")))
+
+    nodes = lines.filter(F.ltrim("value").startswith("<node ")).select(attribute("id").alias("id"), data("label").alias("label"), data("tipo").alias("tipo"))
+    edges = lines.filter(F.ltrim("value").startswith("<edge ")).select(attribute("source").alias("src"), attribute("target").alias("dst"), data("relacion").alias("relacion"), data("doc_id").alias("doc_id"), data("chunk_id").alias("chunk_id"), data("fenomeno").try_cast("int").alias("fenomeno"))
+    return nodes, edges
+
+
 def last_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.desc(order))
     return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")

@@ -30,7 +30,7 @@ def test_jsonl_and_csv_round_trip(spark, tmp_path):
     files.write_csv(df.fillna(""), f"{tmp_path}/c")
     assert files.read_csv(spark, f"{tmp_path}/c", files.ERRORS).first().path == 'ñ "x", y\nz'
     (tmp_path / "g.json.gz").write_bytes(gzip.compress(b'{"doc_id": "A"}\n\n{"doc_id": "B"}\n'))
-    assert [r.doc_id for r in files.read_jsonl(spark, f"{tmp_path}/g.json.gz", files.ERRORS, 1, "doc_id").collect()] == ["A"]
+    assert [r.doc_id for r in files.read_jsonl(spark, f"{tmp_path}/g.json.gz", files.ERRORS, 2).collect()] == ["A"]
     assert [r.idioma for r in files.languages_or_unknown(spark, None, df).collect()] == ["unknown"]
 
 
