@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,23 +60,26 @@ COMMON = {
     "fr": "an année mois jour date nom type total lieu niveau commune département province région pays ville valeur donnée données registre note cas bas moyen haut population numéro code zone état indice source titre auteur janvier février mai juillet",
 }
 #: Texts whose paragraphs teach, about (at most twice as many), how many paragraphs of a text at most, and the longest that does.
-SAMPLE, PARAGRAPHS, PARAGRAPH = 4_000, 50, 5_000
+SAMPLE, PARAGRAPHS, PARAGRAPH = 2_000, 50, 5_000
 #: Clear function words: by how many those of a language exceed those of any other.
 CLEAR = 2
 SWITCH_WORD, SWITCH_PARAGRAPH = 12.0, 3.0
 #: Lowest score of a word in a language; occurrences that speak against nothing yet.
 FLOOR, DOUBT = -4.0, 0.5
 _WORD = regex.compile(r"[\p{Hiragana}\p{Katakana}ー]+|\p{Han}+|[\p{Thai}]+|[\p{Arabic}\p{M}]+|[\p{Devanagari}\p{M}]+|[\p{Latin}\p{M}]+|[^\W\d_]+")
-_SCRIPTS = ((regex.compile(r"[\p{Hiragana}\p{Katakana}]"), {"ja": 0.0}), (regex.compile(r"\p{Han}"), {"zh": 0.0, "ja": -0.7}), (regex.compile(r"\p{Arabic}"), {"ar": 0.0}), (regex.compile(r"\p{Devanagari}"), {"hi": 0.0}), (regex.compile(r"\p{Thai}"), {"th": 0.0}))
+_LATIN = regex.compile(r"\p{Latin}")
+_SCRIPTS = tuple(
+    (regex.compile(rx), tuple(of.get(c, -8.0) for c in LANGUAGES))
+    for rx, of in ((r"[\p{Hiragana}\p{Katakana}]", {"ja": 0.0}), (r"\p{Han}", {"zh": 0.0, "ja": -0.7}), (r"\p{Arabic}", {"ar": 0.0}), (r"\p{Devanagari}", {"hi": 0.0}), (r"\p{Thai}", {"th": 0.0}))
+)
 _ENDS = tuple(".!?…»”\"।؟。")
 _LEAD = " «“\"'(¿¡—–-[{"
 #: Strings between white space that a worker keeps, and the longest of them.
 KEPT, KEPT_LENGTH = 400_000, 40
 _N = len(LANGUAGES)
-
-
-def _vector(of: dict[str, float], rest: float) -> tuple[float, ...]:
-    return tuple(of.get(c, rest) for c in LANGUAGES)
+# LATIN stands first in LANGUAGES.
+_OTHERS = (1.1 * FLOOR,) * (_N - len(LATIN))
+_AS_NAME = (0.0,) * len(LATIN) + (-0.5,) * (_N - len(LATIN))
 
 
 def _relative(counts: list[dict[str, int]], keys: list[str], floor: float, doubt: float) -> dict[str, tuple[float, ...]]:
@@ -218,10 +221,11 @@ class Labeller:
         self.table = np.zeros((0, 2 * _N + 2))
 
     def _scores(self, word: str, name: bool) -> tuple[float, ...]:
-        for rx, of in _SCRIPTS:
-            if rx.match(word):
-                return _vector(of, -8.0)
-        return _vector(dict.fromkeys(LATIN, 0.0), -0.5) if name else _vector(dict(zip(LATIN, self.model.score(word), strict=True)), 1.1 * FLOOR)
+        if not _LATIN.match(word):
+            for rx, of in _SCRIPTS:
+                if rx.match(word):
+                    return of
+        return _AS_NAME if name else (*self.model.score(word), *_OTHERS)
 
     def _id(self, token: str) -> int:
         at = self.ids.get(token)
@@ -229,8 +233,7 @@ class Labeller:
 
     def _add(self, token: str) -> int:
         words = _WORD.findall(token)
-        low = [w.lower() for w in words]
-        sums = [[sum(x) for x in zip(*(self._scores(w, name) for w in low))] or [0.0] * _N for name in (False, True)]  # noqa: B905
+        sums = [[sum(x) for x in zip(*(self._scores(w.lower(), name) for w in words))] if len(words) > 1 else self._scores(words[0].lower(), name) if words else (0.0,) * _N for name in (False, True)]  # noqa: B905
         bare = token.lstrip(_LEAD)
         marks = (bare[:1].isupper()) + 2 * token.endswith(_ENDS) + 4 * (len(token) > 1 and token.isupper()) + 8 * (len(token) <= 3 and token.isalpha() and token.islower()) + 16 * token[-1].isalpha()
         self.rows.append((*sums[0], *sums[1], len(words), marks))
@@ -299,9 +302,12 @@ class Labeller:
                 out.append([])
             else:
                 full = np.flatnonzero(w)
-                if split[at : at + n].any():
-                    lo, hi = starts[at], starts[at] + lengths[at : at + n].sum()
-                    lang = self._word_path(v[lo:hi], self.table[ids[lo:hi], -2], lengths[at : at + n])
+                if (few := split[at : at + n]).any():
+                    # Words one by one where a switch may pay, the other paragraphs in one step each.
+                    cut = [starts[at + k] + np.arange(lengths[at + k]) for k in range(n)]
+                    steps = np.concatenate([v[c] if x else t[k : k + 1] for k, (c, x) in enumerate(zip(cut, few, strict=True))])
+                    weight = np.concatenate([self.table[ids[c], -2] if x else w[k : k + 1] for k, (c, x) in enumerate(zip(cut, few, strict=True))])
+                    lang = self._word_path(steps, weight, np.where(few, lengths[at : at + n], 1))
                 elif (b[full] == b[full[0]]).all():
                     lang = b
                 else:
@@ -380,16 +386,19 @@ def _labelled(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
     some = some.select(F.filter(F.split("_t", "\n\n"), lambda p: F.length(p) <= PARAGRAPH).alias("p")).select(F.explode(F.slice("p", 1, PARAGRAPHS)).alias("p")).distinct()
     model = learn_words(sorted(r["p"] for r in some.toLocalIterator()))
 
-    @F.pandas_udf("array<struct<parrafo:int,inicio:int,largo:int,idioma:string,confianza:double>>")
-    def label_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def label_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model)
-        for s in batches:
-            texts = list(s)
-            rows = [r for part in spans(texts, 500_000) for r in labeller.batch(texts[part])]
-            yield pd.Series([[dict(zip(("parrafo", "inicio", "largo", "idioma", "confianza"), x, strict=True)) for x in r] for r in rows])
-
-    # Marked as not deterministic, so that the filter that goes with an explode does not make it run twice.
-    return docs.withColumn("_p", label_all.asNondeterministic()("_t"))
+        for batch in batches:
+            texts = batch.column("_t").to_pylist()
+            found = [r for part in spans(texts, 500_000) for r in labeller.batch(texts[part])]
+            flat = list(zip(*(x for r in found for x in r), strict=True)) or [()] * 5
+            columns = [pa.array(c, t) for c, t in zip(flat, (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64()), strict=True)]
+            offsets = pa.array(np.r_[0, np.cumsum([len(r) for r in found], dtype=np.int64)], pa.int32())
+            rows = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, ["parrafo", "inicio", "largo", "idioma", "confianza"]))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("_l"), rows], [key, "_l", "_p"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.mapInArrow(label_all, f"`{key}` {kind}, _l string, _p array<struct<parrafo:int,inicio:int,largo:int,idioma:string,confianza:double>>")
 
 
 def paragraph_languages(docs: DataFrame, key: str = "doc_id", text: str = "texto_completo", label: str = "idioma") -> DataFrame:
