@@ -36,8 +36,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SHIFT = 0x10000
 _SPLIT = regex.compile(PATTERN)
 _NONE = np.int64(1) << 40
-#: Words kept encoded by a Python worker at most.
-CACHE_WORDS = 200_000
+#: Strings and characters kept encoded by a Python worker, about.
+CACHE_WORDS, CACHE_CHARACTERS = 200_000, 8_000_000
 
 
 class Merges:
@@ -124,28 +124,54 @@ def merge_rounds(words: list[bytes], m: Merges) -> list[np.ndarray]:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of words it has met, up to CACHE_WORDS."""
+    """Encodes batches of texts; keeps the ids of pieces and of the strings between single spaces it has met, up to CACHE_WORDS and CACHE_CHARACTERS.
+
+    No piece goes on over a space that stands alone, so what lies between two of them is split and merged once; a text with
+    other white space beside a space is split as a whole.
+    """
 
     def __init__(self, m: Merges):
-        self.m, self.known = m, {}
-
-    def pieces(self, texts: list[str]) -> tuple[list[list[str]], dict[str, np.ndarray]]:
-        split = [_SPLIT.findall(t) if t else [] for t in texts]
-        new = [w for w in dict.fromkeys(w for s in split for w in s) if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(dict.fromkeys(w for s in split for w in s))
+        self.m = m
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, np.ndarray] = {}
+        # Strings at the start of a text and after a space: their ids and number of ids; strings that cannot stand alone.
+        self.ids: tuple[dict[str, np.ndarray], dict[str, np.ndarray]] = ({}, {})
+        self.sizes: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.odd: set[str] = set()
+        self.held = 0
+
+    def _learn(self, pieces: list[list[str]]) -> list[np.ndarray]:
+        new = list(set().union(*pieces) - self.known.keys())
         self.known.update(zip(new, merge_rounds([w.encode("utf-8", "surrogatepass") for w in new], self.m), strict=True))
-        return split, self.known
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split, known = self.pieces(texts)
-        return [np.concatenate([known[w] for w in s]) if s else np.zeros(0, np.int32) for s in split]
-
-    def counts(self, texts: list[str]) -> list[int]:
-        split, known = self.pieces(texts)
-        size = {w: len(known[w]) for w in {w for s in split for w in s}}
-        return [sum(map(size.__getitem__, s)) for s in split]
+        return [np.concatenate([self.known[w] for w in p]) if len(p) > 1 else self.known[p[0]] for p in pieces]
+
+    def _read(self, texts: list[str | None]) -> tuple[list[list[str]], dict[int, np.ndarray]]:
+        """The strings between single spaces of every text, all of them known, and the ids of the texts that are not made of such."""
+        if len(self.ids[1]) > CACHE_WORDS or self.held > CACHE_CHARACTERS:
+            self._forget()
+        split = [t.split(" ") if t else [] for t in texts]
+        new = ({s[0] for s in split if s} - self.ids[0].keys() - self.odd, set().union(*(s[1:] for s in split)) - self.ids[1].keys() - self.odd)
+        for lead, strings, ids, sizes in zip(("", " "), new, self.ids, self.sizes, strict=True):
+            good = [c for c in strings if c and not c[0].isspace() and not c[-1].isspace()]
+            self.odd |= strings.difference(good)
+            self.held += sum(map(len, strings))
+            found = dict(zip(good, self._learn([_SPLIT.findall(lead + c) for c in good]), strict=True))
+            ids.update(found)
+            sizes.update((c, len(x)) for c, x in found.items())
+        whole = [k for k, s in enumerate(split) if not self.odd.isdisjoint(s)]
+        return split, dict(zip(whole, self._learn([_SPLIT.findall(texts[k]) for k in whole]), strict=True))
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        split, whole = self._read(texts)
+        first, after = self.ids
+        return [whole[k] if k in whole else np.concatenate([first[s[0]], *map(after.__getitem__, s[1:])]) if s else np.zeros(0, np.int32) for k, s in enumerate(split)]
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        split, whole = self._read(texts)
+        first, after = self.sizes
+        return [len(whole[k]) if k in whole else first[s[0]] + sum(map(after.__getitem__, s[1:])) if s else 0 for k, s in enumerate(split)]
 
 
 def spans(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:

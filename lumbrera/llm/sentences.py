@@ -48,6 +48,10 @@ _LIST = regex.compile(r"\n[^\S\n]*(?=(?:\d{1,3}[.)]|[-•*·–—‣▪]|[a-z]\
 _LIST_HEAD = regex.compile(r"[^\S\n]*(?:\d{1,3}[.)]|[-•*·‣▪]|[a-zA-Z]\))")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}ªº°§’'.·-]*$")
 _GLUED = regex.compile(r"(?:\p{Ll}{3}|\p{Lu}{4}|\d{2})\.(\p{Lu}\p{L}*)$")
+_INK = re.compile(r"\S")
+_FIRST = regex.compile(rf"[^{regex.escape(_OPENERS)}\s]")
+_DOTTED = regex.compile(r"(?:\p{L}{1,2}\.)+\p{L}{1,2}")
+_QUOTE_MARK = re.compile('[«»“”「」『』„"]')
 _QUOTES = {"«": "»", "“": "”", "「": "」", "『": "』", "„": "”"}
 _SPACELESS = regex.compile(r"[\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
@@ -57,13 +61,18 @@ _LATINISH = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}\p{Armenian}]")
 def _quote_spans(s: str) -> list[tuple[int, int]]:
     """Balanced quotations (start of the opening mark, end after the closing one); marks that are never closed are ignored."""
     spans, open_at, straight = [], [], -1
-    for i, c in enumerate(s):
+    waiting = dict.fromkeys(_QUOTES.values(), 0)
+    for m in _QUOTE_MARK.finditer(s):
+        c, i = m.group(), m.start()
         if c in _QUOTES:
             open_at.append((c, i))
-        elif open_at and any(_QUOTES[o] == c for o, _ in open_at):
-            while open_at and _QUOTES[open_at[-1][0]] != c:
-                open_at.pop()
-            o, at = open_at.pop()
+            waiting[_QUOTES[c]] += 1
+        elif waiting.get(c):
+            while True:
+                o, at = open_at.pop()
+                waiting[_QUOTES[o]] -= 1
+                if _QUOTES[o] == c:
+                    break
             if not open_at:
                 spans.append((at, i + 1))
         elif c == '"':
@@ -76,28 +85,40 @@ def _quote_spans(s: str) -> list[tuple[int, int]]:
     return sorted(spans)
 
 
-def _cost(s: str, start: int, end: int, after: int, quotes: list[tuple[int, int]], opened: int) -> float:
-    """Cost of cutting minus cost of not cutting after the mark s[start:end] whose closing marks reach to `after`; below 0 it ends a sentence."""
-    mark, closers, rest = s[start:end], s[end:after], s[after:]
-    nxt = rest.lstrip()
-    gap = len(rest) - len(nxt)
-    if not nxt:
+def _list_head(s: str, start: int, end: int) -> bool:
+    """Whether s[start:end] is a list mark, white space after it aside."""
+    m = _LIST_HEAD.match(s, start, end)
+    return bool(m) and _INK.search(s, m.end(), end) is None
+
+
+def _cost(s: str, start: int, end: int, after: int, at: int, quotes: list[tuple[int, int]], opened: int, line: int) -> float:
+    """Cost of cutting minus cost of not cutting after the mark s[start:end] whose closing marks reach to `after`; below 0 it ends a sentence.
+
+    at: the first place with ink from `after` on; quotes: those around `start`; line: where its line starts.
+    """
+    if at >= len(s):
         return -9.0
+    nxt, gap = s[at], at - after
     for a, b in quotes:
-        if a < start and after < b:
+        if after < b:
             return 9.0  # inside a quotation
-        if a < start and end < b <= after and (a == opened or _LIST_HEAD.fullmatch(s[opened:a].rstrip())):
+        if end < b <= after and (a == opened or _list_head(s, opened, a)):
             # The quotation opens the sentence: a clause that names its speaker may follow.
-            if nxt[0].islower() or nxt[0] in ",，、،—–-;；:":
+            if nxt.islower() or nxt in ",，、،—–-;；:":
                 return 9.0
-            if (_CJK.match(nxt) and not gap) or (gap == 0 and not nxt[0].isupper() and nxt[0] not in _OPENERS):
+            if (_CJK.match(nxt) and not gap) or (gap == 0 and not nxt.isupper() and nxt not in _OPENERS):
                 return 4.0
-    first = next((c for c in nxt if c not in _OPENERS and not c.isspace()), " ")
-    if nxt[0] in ",;:，；：、،%)" or (nxt[0] in "»”’\"" and not gap):
+    if nxt in ",;:，；：、،%)" or (nxt in "»”’\"" and not gap):
         return 9.0
+    mark, closers = s[start:end], s[end:after]
     if any(c in _CJK_END or c in _HARD for c in mark):
         return -4.0
-    word = _WORD.search(s[max(0, start - 24) : start]).group()
+    m = _FIRST.search(s, at)
+    first = m.group() if m else " "
+    # The marks that may stand alone come after a word; no listed one is nearly as long.
+    word = _WORD.search(s, max(0, start - 24), start).group()
+    if mark == "." and gap and not closers and first.isupper() and len(word) > 8 and word.isalpha():
+        return -3.0
     glued = _GLUED.search(word)
     before = (glued.group(1) if glued else word).lstrip("(«“\"'¿¡-")
     low = before.lower().strip(".-'’")
@@ -118,12 +139,12 @@ def _cost(s: str, start: int, end: int, after: int, quotes: list[tuple[int, int]
             return -1.0 if first.isupper() or not cased and not first.isdigit() else 4.0
         # A missing space: a whole word, a capital and a small letter.
         whole = len(low) >= 3 and "." not in low and (low.isalpha() or low.isdigit()) or before.isupper() and len(before) >= 3 or s[start - 1 : start] in "%)»”"
-        follows = nxt[0] in "¿¡«“—" or (nxt[0].isupper() and len(nxt) > 1 and (nxt[1].islower() or nxt[1] in " '’"))
+        follows = nxt in "¿¡«“—" or (nxt.isupper() and at + 1 < len(s) and (s[at + 1].islower() or s[at + 1] in " '’"))
         return -1.5 if whole and follows and low not in TITLES and low not in REFERENCES else 6.0
     if first.islower():
         return 6.0
     digit = first.isdigit()
-    if _LIST_HEAD.fullmatch(s[opened:end]) or _LIST_HEAD.fullmatch(s[s.rfind("\n", 0, start) + 1 : end]) and before.isdigit() and len(before) <= 3:
+    if _LIST_HEAD.fullmatch(s, opened, end) or before.isdigit() and len(before) <= 3 and _LIST_HEAD.fullmatch(s, line, end):
         return 9.0  # a list number is part of its item
     if not cased and not digit and not before.isascii() and len(regex.sub(r"\p{M}", "", low)) <= 2 and not low.isdigit() and not _CJK.search(low):
         return 5.0  # abbreviated titles of scripts without case
@@ -137,48 +158,73 @@ def _cost(s: str, start: int, end: int, after: int, quotes: list[tuple[int, int]
         return 5.0
     if len(before) == 1 and before.isalpha() and before.isupper() and not digit:
         return 3.0  # an initial
-    if low in OPEN_ENDED or regex.fullmatch(r"(?:\p{L}{1,2}\.)+\p{L}{1,2}", before):
+    if low in OPEN_ENDED or _DOTTED.fullmatch(before):
         return -1.0
     return -3.0
 
 
+def _ink(s: str, at: int) -> int:
+    m = _INK.search(s, at)
+    return m.start() if m else len(s)
+
+
 def _spaced(s: str) -> list[int]:
-    """Starts of the sentences of a paragraph with terminators."""
+    """Starts of the sentences of a paragraph with terminators; the paragraph is read once, whatever its length."""
     quotes = _quote_spans(s)
-    lists = {m.end() for m in _LIST.finditer(s)}
-    gaps = []
-    for m in _MARK.finditer(s):
-        after = m.end()
-        inside = [b for a, b in quotes if a < m.start() < b]
-        while after < len(s) and s[after] in _CLOSERS and (s[after] not in "\"'" or s[after] == '"' and after + 1 in inside or s[after] == "'" and (after + 1 == len(s) or s[after + 1].isspace())):
-            after += 1
-        gaps.append((m.start(), m.end(), after))
+    lists = [(m.start(), m.end()) for m in _LIST.finditer(s)]
+    lines = [-1, *(m.start() for m in re.finditer("\n", s))]
+    first = _ink(s, 0)
+    if first == len(s):
+        return []
+    todo = sorted([(m.start(), 0, m.end()) for m in _MARK.finditer(s)] + [(end - 1, 1, end) for _, end in lists if end > first])
     # Cheapest path: the states are the places where the current sentence may have opened; as a gap's cost depends on the
-    # opening only through quotations and list numbers, the best path into each opening is kept.
-    first = len(s) - len(s.lstrip())
-    paths = {first: (0.0, [first])}
-    todo = sorted([(x[0], 0, x) for x in gaps] + [(at - 1, 1, at) for at in lists if at > first])
-    for _, kind, x in todo:
+    # opening only through quotations and list numbers, the best path into each opening is kept, as a chain of places.
+    paths: dict[int, tuple[float, tuple]] = {first: (0.0, (first, None))}
+    live: list[tuple[int, int]] = []
+    quote = line = 0
+    for start, kind, end in todo:
+        while quote < len(quotes) and quotes[quote][0] < start:
+            live.append(quotes[quote])
+            quote += 1
+        if live:
+            live = [q for q in live if q[1] > start]
         if kind:
-            best = min(paths.values(), key=lambda p: p[0])
-            at = x + len(s[x:]) - len(s[x:].lstrip())
-            paths = {at: (best[0], [*best[1], at] if best[1][-1] != at else best[1])}
+            cost, chain = min(paths.values(), key=lambda p: p[0])
+            at = _ink(s, start)
+            paths = {at: (cost, (at, chain) if chain[0] != at else chain)}
             continue
-        start, end, after = x
-        at = after + len(s[after:]) - len(s[after:].lstrip())
-        moved = {}
-        for opened, (cost, cuts) in paths.items():
-            c = _cost(s, start, end, after, quotes, opened) if opened < end else 9.0
-            options = [(opened, cost + max(0.0, -c), cuts)]
+        while line + 1 < len(lines) and lines[line + 1] < start:
+            line += 1
+        after = end
+        while after < len(s) and s[after] in _CLOSERS and (s[after] not in "\"'" or s[after] == '"' and any(after + 1 == b for _, b in live) or s[after] == "'" and (after + 1 == len(s) or s[after + 1].isspace())):
+            after += 1
+        at = _ink(s, after)
+        moved: dict[int, tuple[float, tuple]] = {}
+        shared = None
+        for opened, (cost, chain) in paths.items():
+            # Without a quotation around, only an opening so near that a list mark can lie between makes a difference.
+            if opened >= end:
+                c = 9.0
+            elif live or end - opened <= 8:
+                c = _cost(s, start, end, after, at, live, opened, lines[line] + 1)
+            else:
+                if shared is None:
+                    shared = _cost(s, start, end, after, at, live, opened, lines[line] + 1)
+                c = shared
+            options = [(opened, cost + max(0.0, -c), chain)]
             if c < 9.0 and at < len(s):
-                options.append((at, cost + max(0.0, c), [*cuts, at]))
+                options.append((at, cost + max(0.0, c), (at, chain)))
             for o, k, p in options:
                 if o not in moved or k < moved[o][0]:
                     moved[o] = (k, p)
         # Only the paths near the best matter for what follows.
         least = min(k for k, _ in moved.values())
-        paths = {o: v for o, v in sorted(moved.items(), key=lambda kv: kv[1][0])[:4] if v[0] <= least + 9}
-    return min(paths.values(), key=lambda p: p[0])[1] if first < len(s) else []
+        paths = moved if len(moved) == 1 else {o: v for o, v in sorted(moved.items(), key=lambda kv: kv[1][0])[:4] if v[0] <= least + 9}
+    chain, out = min(paths.values(), key=lambda p: p[0])[1], []
+    while chain:
+        out.append(chain[0])
+        chain = chain[1]
+    return out[::-1]
 
 
 # --- scripts without full stops -------------------------------------------------------------------------------------------
@@ -186,7 +232,6 @@ def _spaced(s: str) -> list[int]:
 #: Thai words for the lattice (fixed values): words that open a sentence, final particles, units and words that go on.
 THAI_OPENING = (
     "นอกจากนี้ อย่างไรก็ตาม ดังนั้น ในทางกลับกัน ขณะเดียวกัน ในขณะเดียวกัน แต่ ต่อมา จากนั้น หลังจากนั้น อย่างไรก็ดี ทั้งนี้ อีกทั้ง เมื่อ หาก ถ้า แม้ว่า เนื่องจาก สำหรับ ตามที่ ไม่มี จะ ผม ฉัน เรา เขา เธอ พวกเขา มัน นี่ นั่น ใคร ทำไม อะไร "
-    "ศูนย์ สถานี สภา ทีม เครือข่าย คณะกรรมการ คณะ ดัชนี กระทรวง สำนักงาน องค์กร หน่วยงาน รัฐบาล โครงการ บริษัท กลุ่ม สมาคม มหาวิทยาลัย สถาบัน กองทัพ ตำรวจ นาย นาง นางสาว ดร คุณ ประชาชน ชาวบ้าน"
 ).split()
 THAI_FINAL = "ครับ ค่ะ คะ นะ แล้ว เลย ด้วย อยู่ กัน ไหม หรือไม่ มั้ย เถอะ จ้ะ จ๊ะ สิ ล่ะ".split()
 THAI_UNITS = "เปอร์เซ็นต์ ร้อยละ อำเภอ เดือน ปี วัน ชั่วโมง นาที บาท ล้าน แสน หมื่น พัน ร้อย คน ครั้ง แห่ง หมู่บ้าน ตำบล จังหวัด ประเทศ กิโลเมตร เมตร กิโลกรัม ตัน ราย ชิ้น ดวง ลำ คัน หน้า ข้อ ฉบับ เท่า องศา หน่วย เครื่อง ตัว".split()
@@ -215,8 +260,10 @@ _PREDICATES, _FINALS = frozenset(THAI_PREDICATES), frozenset(THAI_FINAL)
 #: Characters of a stretch no dictionary word covers from which on it can hold a predicate, so can be a clause.
 UNKNOWN_CLAUSE = 12
 #: Characters of a learned opening, and the share of the documents with it after a space that it must open paragraphs in.
-HEAD, OPENS = 6, 0.5
+HEAD, OPENS = 6, 0.4
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
+_COUNTED = regex.compile(r"([\p{L}\p{M}]+)\s*[\d.,]+\s*[\p{L}\p{M}]+$")
+_NUMBER = regex.compile(r"[\d.,]*$")
 _GOES_ON = regex.compile(r"[\p{M}ะาำๆ]")
 
 
@@ -267,20 +314,28 @@ def _spaceless(s: str, openings: frozenset[str]) -> list[int]:
     cuts = set(_spaced(s))
     depth = _quote_spans(s)
     runs = {m.end(): m.group() for m in _RUN.finditer(s)}
+    reach = quote = line = 0
     for m in re.finditer(r"\s+", s):
         a, b = m.span()
-        if a == 0 or b == len(s) or any(x < a and b < y for x, y in depth):
+        while quote < len(depth) and depth[quote][0] < a:
+            reach = max(reach, depth[quote][1])
+            quote += 1
+        start, line = line, b if "\n" in m.group() else line
+        if a == 0 or b == len(s) or b < reach:
             continue
         left, right = s[a - 1], s[b]
         if not _is_spaceless(right):
             continue  # numbers, Latin names and marks belong to their clause
-        if _LIST_HEAD.fullmatch(s[s.rfind("\n", 0, a) + 1 : a]):
+        if _LIST_HEAD.fullmatch(s, start, a):
             continue
         run = _RUN.match(s, b).group()
         kind, particle, _, clause = _run_cues(run)
         if particle and _is_spaceless(left):
             continue  # particles belong to the clause before them
         final, before = _run_cues(runs[a])[2:] if _is_spaceless(left) and a in runs else (None, True)
+        # After what a number counts the clause is what stands before the number.
+        if not before and _run_cues(runs[a])[0] == "u" and (counted := _COUNTED.search(s, 0 if a < 80 else a - 80, a)):
+            before = _run_cues(counted[1])[3]
         if run[:HEAD] in openings:
             kind = "s"
         if kind == "s" or final in THAI_CLOSING:
@@ -290,11 +345,19 @@ def _spaceless(s: str, openings: frozenset[str]) -> list[int]:
         elif _is_spaceless(left):
             if final or before and clause:
                 cuts.add(b)
-        elif left in "%)”»\"ๆฯ" :
+        elif left in "%)”»\"ๆฯ" or left.isdigit() and clause and _measures(s, runs, a):
             cuts.add(b)
     return sorted(cuts)
 
 
+def _measures(s: str, runs: dict[int, str], end: int) -> bool:
+    """Whether the number that ends at `end` is a value (after a word like "to", "from" or "about"): it ends its clause unless what it counts follows."""
+    at = _NUMBER.search(s, max(0, end - 40), end).start()
+    while at and s[at - 1].isspace():
+        at -= 1
+    return at in runs and _THAI.get(word_lattice(runs[at])[-1]) == "g"
+
+
 def sentence_starts(text: str | None, rows: bool = False, openings: frozenset[str] = frozenset()) -> list[int]:
     """Offsets of the first characters of the sentences of a text."""
     if not text or not text.strip():
