@@ -3,6 +3,7 @@
 Index: spherical k-means partitions and a product codebook of 16 centres for every two dimensions are fitted on a bounded
 sample; every vector is encoded. Codes minimise |e|^2 + (eta - 1) (e.x)^2, e being the residual and x the unit vector: the
 residual parallel to x, which shifts the scores that matter, costs eta times as much.
+Cells of partitions come in where the partitions alone would grow with the data.
 Search: a query adds up table entries by code for all vectors of a block. As q.x = c implies that the scanned score is at
 least c - c |e_par| - sqrt(1 - c^2) |e_perp|, the vectors that can reach the wanted cosine are known without loss; they are
 scored exactly. The only loss is in partitions that are not probed.
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 
 from lumbrera.session import written
 
-#: Vectors on which the index is fitted, about; at most twice as many.
-SAMPLE = 10_000
-#: Partitions at most; their centres are broadcast, 4096 of 64 floats are 1 MB.
-PARTITIONS = 4096
+#: Vectors on which the index is fitted, about: SAMPLE, or PER_CENTRE for each centre if that is more; at most twice as many.
+SAMPLE, PER_CENTRE = 10_000, 50
+#: Centres of the first level at most; 4096 of 64 floats are 1 MB. Where they are not enough, every partition is cut into cells
+#: of about CELL vectors by a second level of centres of the residuals, which all partitions share.
+PARTITIONS, CELL = 4096, 16_384
+#: Cells whose table of block numbers may be broadcast.
+FEW = 100_000
 #: Rows of a block of vectors and of a block of queries in one task.
 BLOCK = 8192
 CENTRES = 16
@@ -39,6 +43,7 @@ THRESHOLD = 0.2
 @dataclass
 class Index:
     centres: np.ndarray  # (partitions, d)
+    fine: np.ndarray  # (cells of a partition, d), of the residuals
     codebook: np.ndarray  # (d / 2, 16, 2)
     eta: float
 
@@ -54,6 +59,42 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     return c.astype(np.float32)
 
 
+def _plain_kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
+    c = x[rng.choice(len(x), k, replace=False)]
+    for _ in range(rounds):
+        a = _nearest_of(x, c)
+        n = np.bincount(a, minlength=k)[:, None]
+        s = np.zeros_like(c)
+        np.add.at(s, a, x)
+        c = np.where(n > 0, s / np.maximum(n, 1), c)
+    return c.astype(np.float32)
+
+
+def _nearest_of(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return np.argmax(x @ c.T - 0.5 * (c * c).sum(1), axis=1) if len(c) > 1 else np.zeros(len(x), np.int64)
+
+
+def cells_of(x: np.ndarray, index: Index) -> np.ndarray:
+    """Number of the cell of each unit vector: its partition and, within it, the nearest centre of its residual."""
+    a = np.argmax(x @ index.centres.T, 1)
+    return a * len(index.fine) + _nearest_of(x - index.centres[a], index.fine)
+
+
+def probed_cells(q: np.ndarray, index: Index, probes: int) -> np.ndarray:
+    """(queries, cells): of the nearest `probes` partitions the cells nearest to each query, half of them and four at least."""
+    s = q @ index.centres.T
+    m, f = min(probes, s.shape[1]), len(index.fine)
+    top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+    if f == 1:
+        return top
+    # Distance of q to c + r for centre c and residual centre r, without what all cells of a query share.
+    near = np.take_along_axis(s, top, 1)[:, :, None] + (q @ index.fine.T - 0.5 * (index.fine**2).sum(1))[:, None, :] - (index.centres @ index.fine.T)[top]
+    near = near.reshape(len(q), m * f)
+    keep = min(m * f, max(4, m * f // 2))
+    best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
+    return np.take_along_axis(top, best // f, 1) * f + best % f
+
+
 def _assign(x: np.ndarray, codebook: np.ndarray, eta: float, rounds: int = 3) -> np.ndarray:
     """Codes by coordinate descent on the anisotropic loss; x are unit vectors."""
     n, d = x.shape
@@ -72,12 +113,15 @@ def _assign(x: np.ndarray, codebook: np.ndarray, eta: float, rounds: int = 3) ->
     return codes
 
 
-def fit(x: np.ndarray, partitions: int, seed: int = 5, rounds: int = 4) -> Index:
+def fit(x: np.ndarray, partitions: int, seed: int = 5, rounds: int = 4, cells: int = 1) -> Index:
     """Index from a sample of unit vectors."""
     rng = np.random.default_rng(seed)
     d = x.shape[1]
     eta = max(1.0, (d - 1) * THRESHOLD**2 / (1 - THRESHOLD**2))
     centres = _kmeans(x, min(partitions, len(x)), rng)
+    fine = _plain_kmeans(x - centres[np.argmax(x @ centres.T, 1)], min(cells, len(x)), rng) if cells > 1 else np.zeros((1, d), np.float32)
+    # The product codes are of a few parameters: a part of a large sample is enough for them.
+    x = x[: 2 * SAMPLE]
     parts = x.reshape(len(x), d // 2, 2)
     pick = rng.choice(len(x), CENTRES, replace=len(x) < CENTRES)
     book = parts[pick].transpose(1, 0, 2).copy()
@@ -97,11 +141,11 @@ def fit(x: np.ndarray, partitions: int, seed: int = 5, rounds: int = 4) -> Index
                 own = codes[:, m] == k
                 if own.any():
                     book[m, k] = np.linalg.solve(left[own].sum(0), right[own].sum(0))
-    return Index(centres, book.astype(np.float32), eta)
+    return Index(centres, fine, book.astype(np.float32), eta)
 
 
 def encode(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Partition, packed codes (two in a byte), parallel and perpendicular residual of unit vectors."""
+    """Cell, packed codes (two in a byte), parallel and perpendicular residual of unit vectors."""
     out = []
     for s in range(0, len(x), 4096):
         b = x[s : s + 4096]
@@ -109,7 +153,7 @@ def encode(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndar
         e = b - np.concatenate([index.codebook[m, codes[:, m]] for m in range(codes.shape[1])], 1)
         par = (e * b).sum(1)
         perp = np.sqrt(np.maximum((e * e).sum(1) - par * par, 0))
-        out.append((np.argmax(b @ index.centres.T, 1), (codes[:, 0::2] << 4 | codes[:, 1::2]).astype(np.uint8), np.abs(par), perp))
+        out.append((cells_of(b, index), (codes[:, 0::2] << 4 | codes[:, 1::2]).astype(np.uint8), np.abs(par), perp))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -200,12 +244,16 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, probes: int | None, lea
     n = base.count()
     if not n:
         return base.sparkSession.createDataFrame([], _SCHEMA)
-    # Rows whose hash is 0 modulo n / SAMPLE: about SAMPLE of them, so that no partition sends more than its share to the driver.
-    sample = base.select("unidad").filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(max(1, n // SAMPLE))) == 0).limit(2 * SAMPLE)
+    partitions = 1 if probes is None else max(1, min(PARTITIONS, int(n**0.5)))
+    cells = 1 if probes is None or partitions < PARTITIONS else -(-n // (partitions * CELL))
+    size = max(SAMPLE, PER_CENTRE * max(partitions, min(cells, PARTITIONS)))
+    # Rows whose hash is 0 modulo n / size: about that many of them, so that no partition sends more than its share to the driver.
+    sample = base.select("unidad").filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(max(1, n // size))) == 0)
     sample = _matrix(sample.toPandas().unidad.sort_values())
     if not len(sample):
         sample = _matrix(base.select("unidad").limit(1).toPandas().unidad)
-    index = fit(sample, 1 if probes is None else max(1, min(PARTITIONS, int(n**0.5))), seed)
+    sample = sample[np.random.default_rng(seed).permutation(len(sample))]
+    index = fit(sample, partitions, seed, cells=cells)
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -216,16 +264,15 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, probes: int | None, lea
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                s = _matrix(pdf.unidad) @ index.centres.T
-                m = min(probes or 1, s.shape[1])
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                yield pd.DataFrame({"vec_id": pdf.vec_id.repeat(m), "unidad": pdf.unidad.repeat(m), "parte": top.ravel().astype(np.int32)})
+                top = probed_cells(_matrix(pdf.unidad), index, probes or 1)
+                yield pd.DataFrame({"vec_id": pdf.vec_id.repeat(top.shape[1]), "unidad": pdf.unidad.repeat(top.shape[1]), "parte": top.ravel().astype(np.int32)})
 
     db = written(base.select("vec_id", "unidad").mapInPandas(encoded, "vec_id bigint, unidad binary, parte int, codigo binary, par float, perp float"))
     qs = written(queries.select("vec_id", "unidad").mapInPandas(probed, "vec_id bigint, unidad binary, parte int"))
-    # One row a partition, at most PARTITIONS: small enough to broadcast at any size of the data.
+    # One row a cell; broadcast if they are few.
     blocks = db.groupBy("parte").agg(F.ceil(F.count("*") / BLOCK).alias("bd")).join(qs.groupBy("parte").agg(F.ceil(F.count("*") / BLOCK).alias("bq")), "parte")
-    blocks = F.broadcast(written(blocks))
+    blocks = written(blocks)
+    blocks = F.broadcast(blocks) if partitions * cells <= FEW else blocks
     spread = lambda own, other: (F.pmod(F.xxhash64("vec_id"), own).alias(own + "_"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other + "_"))
     db = db.join(blocks, "parte").select("parte", "vec_id", "unidad", "codigo", "par", "perp", *spread("bd", "bq"))
     qs = qs.join(blocks, "parte").select("parte", "vec_id", "unidad", *spread("bq", "bd"))

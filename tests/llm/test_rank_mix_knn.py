@@ -145,6 +145,23 @@ def test_similar_pairs_are_those_of_brute_force(spark):
     assert got <= want | {p for p in got if 500 <= max(p) < 563} and len(got & want) >= 0.99 * len(want)
 
 
+def test_cells_keep_recall(spark, monkeypatch):
+    # As with more vectors than partitions can hold: few partitions, each cut into cells.
+    monkeypatch.setattr(knn, "PARTITIONS", 6)
+    monkeypatch.setattr(knn, "CELL", 40)
+    x = vectors()
+    got = {tuple(r) for r in knn.similar_pairs(frame(spark, x)).collect()}
+    want = pairs_of(x, 0.9, 5)
+    assert len(got & want) >= 0.95 * len(want)
+    u = x[np.linalg.norm(x, axis=1) > 0]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    index = knn.fit(u, 6, cells=7)
+    cells = knn.cells_of(u, index)
+    assert len(index.fine) == 7 and len(set(cells.tolist())) > 20 and cells.max() < 42
+    probed = knn.probed_cells(u, index, 4)
+    assert probed.shape == (len(u), 14) and (probed == cells[:, None]).any(1).mean() > 0.95
+
+
 def test_all_partitions_lose_nothing(spark):
     x = vectors(600, 12, 3)[:480]
     got = knn.top_neighbours(frame(spark, x), 5, 10).collect()
