@@ -1,9 +1,12 @@
 """Main body of web pages by minimum-cut labelling of their lines.
 
-Every line has a cost for being called body and one for being called boilerplate, from its form (sentences, separators, dates),
-from phrases sites use around articles, and from the share of all documents that hold the same line. These costs are the
-capacities from source and to sink; edges between neighbouring lines, and between lines beside an insertion, carry smoothness
-by likeness of form. The minimum cut, found by maximum flow, separates the body from the rest.
+Every line has a cost for being called body and one for being called boilerplate: the log-odds of a line classifier over
+features of no language (length, end mark, separators, capitals, digits, place in the page, neighbours, share of all documents
+that hold the same line), and the evidence of phrases sites use around articles in some languages. The classifier is a logistic
+regression fitted on a bounded sample of pages whose lines these phrases and plain sentences label, so it also judges pages of
+languages without phrases. The costs are the capacities from source and to sink; edges between neighbouring lines, and between
+lines beside an insertion, carry smoothness by likeness of form. The minimum cut, found by maximum flow, separates the body
+from the rest.
 
 Defined results: null, empty and blank texts have no lines; scanned texts are not pages; a text with hardly any line of a site
 is not a page, and all of it is body. A page without any body sentence is boilerplate throughout. Documents delivered again
@@ -12,10 +15,14 @@ count once. Lines are split at "\\n" and counted from 0, blank ones included; on
 
 from __future__ import annotations
 
+import math
+import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -29,6 +36,10 @@ from lumbrera.session import written
 #: lines of a document, there are at most a thousand times that many frequent lines: a bounded table to broadcast.
 FREQUENT = 0.001
 LEAST_DOCS = 3
+#: Texts on which the line classifier is fitted, about (at most twice as many), and the longest of them.
+SAMPLE, LONGEST = 2_000, 50_000
+#: Weight of the classifier's log-odds of short lines around the article beside the phrases' evidence, on pages where phrases are met; elsewhere it is 1.
+BESIDE = 0.1
 
 _I = regex.IGNORECASE
 #: What sites put around articles, as whole short lines (fixed values).
@@ -58,19 +69,23 @@ _NOTICE = regex.compile(r"\bcookies?\b|\btrackers?\b|\btracking\b|rastreador|tec
 _ADDRESS = regex.compile(r"\b(?:we|our|us|you|your|you agree)\b|\b(?:su|sus|usted|nuestr[oa]s?|tu|tus|nos|usamos|valoramos|guardamos|acepta|desactive)\b|\b(?:seu|sua|seus|suas|voc[eê]|noss[oa]s?)\b|\b(?:votre|vos|nous|vous|notre)\b|\b(?:est[ea]|nuestra|nossa|this|our) (?:sitio|site|portal|p[aá]gina|website|plataforma|platform)\b|\b(?:the|la|a) (?:\S+ ){0,4}(?:platform|plataforma|website|portal)\b", _I)
 _SELF = regex.compile(r"^(?:the |la |el |o |a |le )?(?:plataforma |portal |platform |sitio |site |p[aá]gina )?(?:de )?(?:\p{Lu}\S+ ){1,4}(?:platform |portal |site )?(?:uses|use|usa|stores|relies|shares|guarda|emplea|emprega|comparte|compartilha|recuerda|lembra|utiliza|recurre|recorre|keeps|collects)\b")
 _ENDS = regex.compile(r"[.!?…。！？।؟][\"'”’»)\]]*$")
-_SEPARATED = regex.compile(r"\S+\s*(?:\s[|·•»›>/]\s|\s{2,})\s*\S+")
+_SEPARATED = re.compile(r"\S\s+[|·•»›>/]\s+\S|\S\s{2,}\S")
 _DATED = regex.compile(r"^\W*\d{1,2}[./-]\d{1,2}(?:[./-]\d{2,4})?\s*[·|–—:-]\s*\S")
 _PAGER = regex.compile(r"^\W*(?:\d{1,3}\W+){2,}(?:\.{2,}|…)?\W*\d*\W*$|^[«<‹].{0,40}[»>›]$")
 _RELATED = regex.compile(r"^\W*(?:read (?:next|also|more)|lea tambi|leia tamb|lire aussi|most (?:read|viewed|popular)|lo m[aá]s|mais lidas|les plus|related|art[ií]culos rel|artigos rel|you may also|te puede|voc[eê] tamb[eé]m pode|vous aimerez|latest|[uú]ltimas|derniers)", _I)
 #: Entries of menus, for menus without separators (fixed values).
 _MENU = regex.compile(r"\b(?:home|inicio|in[ií]cio|accueil|contacto?|contato|contact us|about us|about|qui[eé]nes somos|quem somos|news|noticias|not[ií]cias|press|prensa|imprensa|careers|calendar|agenda|projects|proyectos|projetos|library|biblioteca|search|buscar|data|datos|dados|reports|relat[oó]rios|informes|publications|publicaciones|publica[cç][oõ]es|multimedia|convocatorias|observatorio|observat[oó]rio|transparencia|transpar[eê]ncia|sign in|log in|iniciar sesi[oó]n|entrar|mapa del sitio|mapa do site|site map|menu|men[uú]|blog|servicios|servi[cç]os|services|ayuda|ajuda|help)\b", _I)
 _SHARE = regex.compile(r"^\W*(?:share|compart|partager|follow us|s[ií]ga|siga-?nos|suivez|send by e-?mail|enviar p[oe]r|envoyer par|copy link|print$|imprimir$|listen to|escuchar este|ou[cç]a |[eé]couter|advertis|publici|sponsored|contenido patroc|conte[uú]do patroc|contenu spons)", _I)
+_SPACE, _DIGITS, _INK = re.compile(r"[^\S\n]"), re.compile(r"\d+"), re.compile(r"\w")
+_WIDE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+_SPLIT = re.compile(r"\s[|·•»›>/]\s|\s{2,}")
+_SMALL = re.compile(r"\b(?:en|in|em|à|de|del|do|da|of)\b")
 _CAPITAL = regex.compile(r"^\W*[\p{Lu}\p{Lo}\d]")
 
 
 def mask(line: str) -> str:
     """A line with its digits masked and its white space collapsed, to be counted over documents."""
-    return regex.sub(r"\s+", " ", regex.sub(r"\d+", "0", line)).strip().casefold()
+    return " ".join(_DIGITS.sub("0", line).split()).casefold()
 
 
 def line_key(line: str) -> int:
@@ -147,46 +162,111 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
             a = to[e]
 
 
+def _flat(line: str) -> str:
+    t = line.strip()
+    return t if t.isascii() and "\t" not in t else _SPACE.sub(" ", t)
+
+
 def line_costs(line: str, share: float) -> tuple[float, str]:
-    """Evidence for boilerplate (negative: for body) and the form of a line: p sentence(s), n notice, w widget or navigation, s short."""
-    t = regex.sub(r"[^\S\n]", " ", line.strip())
+    """line_evidence, kept for the short lines that pages repeat."""
+    return _kept_evidence(line, share) if len(line) <= 80 else line_evidence(line, share)
+
+
+def line_evidence(line: str, share: float) -> tuple[float, str]:
+    """Evidence of the phrases and the plain form for boilerplate (negative: for body) and the form of a line: p sentence(s), n notice, w widget or navigation, s short."""
+    t = _flat(line)
     words = len(t.split())
-    wide = len(regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]", t))
-    ended = bool(_ENDS.search(t))
+    wide = 0 if t.isascii() else len(_WIDE.findall(t))
+    ended = bool(_ENDS.search(t, max(0, len(t) - 12)))
     sentence = ended and (words >= 6 or wide >= 12)
-    if _PAGER.search(t) or _DATED.search(t):
+    if _PAGER.match(t) or _DATED.match(t):
         return 7.0, "w"
-    if _IMPRINT.search(t) and words <= 22:
+    if words <= 22 and _IMPRINT.search(t):
         return 8.0, "w"
     if sentence:
-        if _NOTICE.search(t) and words <= 30:
+        if words <= 30 and _NOTICE.search(t):
             own = bool(_ADDRESS.search(t)) or bool(_SELF.search(t))
             if own or (share >= 0.01 and words <= 14):
                 return 7.0, "n"
             return -3.0, "p"
-        if _CUE.search(t) and words <= 9:
+        if words <= 9 and _CUE.search(t):
             return 5.0, "n"
         return (-6.0 if words >= 12 or wide >= 25 else -3.5), "p"
-    if _CUE.search(t) and words <= 16:
+    if words <= 16 and _CUE.search(t):
         return 7.0, "w"
-    if _SEPARATED.search(t) and not ended:
-        parts = [p for p in regex.split(r"\s[|·•»›>/]\s|\s{2,}", t) if p.strip()]
+    if not ended and _SEPARATED.search(t):
+        parts = [p for p in _SPLIT.split(t) if p.strip()]
         if len(parts) >= 2 and all(len(p.split()) <= 4 for p in parts):
             return 6.0, "w"
     if words > 25 or wide > 40:
         return -2.0, "p"
-    if not ended and not regex.search(r"\w", _MENU.sub("", t)):
+    if not ended and not _INK.search(_MENU.sub("", t)):
         return 6.0, "w"
     frequent = min(1.5, 0.5 * max(0.0, share / 0.01)) if words <= 8 else 0.0
     # Rows of capitalised words without any small function word are menus.
-    caps = [w for w in t.split() if w[:1].isupper()]
-    if words >= 3 and len(caps) >= 0.6 * words and share >= 0.005 and not regex.search(r"\b(?:en|in|em|à|de|del|do|of)\b", t):
+    if words >= 3 and share >= 0.005 and sum(w[:1].isupper() for w in t.split()) >= 0.6 * words and not _SMALL.search(t):
         return 4.0, "w"
     if words <= 3 and share >= 0.1:
         return 4.0, "w"
     return frequent, "s"
 
 
+_kept_evidence = lru_cache(50_000)(line_evidence)
+
+
+def line_features(lines: list[str], shares: list[float]) -> np.ndarray:
+    """Features of no language of the non-blank lines of a page, one row a line."""
+    n = len(lines)
+    rows = []
+    for t in map(_flat, lines):
+        words = t.split()
+        wide = 0 if t.isascii() else len(_WIDE.findall(t))
+        # A line of a script without spaces has a word in about two letters.
+        size = len(words) + wide / 2
+        ended = float(bool(_ENDS.search(t, max(0, len(t) - 12))))
+        rows.append((math.log1p(size), float(size <= 3), ended, ended * float(size >= 6), sum(map(str.isdigit, t)) / len(t), float(bool(_SEPARATED.search(t))), sum(w[:1].isupper() for w in words) / len(words)))
+    own = np.array(rows).reshape(n, 7)
+    share = np.log1p(1000 * np.array(shares))
+    size, ended = own[:, 0], own[:, 2]
+    place = np.arange(n)
+    side = lambda x: (np.r_[0.0, x[:-1]], np.r_[x[1:], 0.0])
+    return np.column_stack([np.ones(n), own, share, share * own[:, 1], np.maximum(0, 1 - place / 8), np.maximum(0, 1 - (n - 1 - place) / 8), *side(size), *side(ended), *side(share)])
+
+
+#: Number of features.
+WIDTH = 18
+
+
+def fit_lines(x: np.ndarray, boilerplate: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic regression (Newton steps, ridge penalty), either class weighing the same."""
+    w = np.zeros(x.shape[1])
+    y = boilerplate.astype(float)
+    if not 0 < y.sum() < len(y):
+        return w
+    weight = np.where(y > 0, 0.5 * len(y) / y.sum(), 0.5 * len(y) / (len(y) - y.sum()))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (weight * (y - p)) - ridge * w)
+        w = w + step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def learn_lines(texts: list[str], shares: dict[int, float]) -> np.ndarray:
+    """Classifier fitted on the lines that phrases or plain sentences label clearly; pages of which no phrase is met teach nothing."""
+    xs, ys = [np.zeros((0, WIDTH))], [np.zeros(0, bool)]
+    for t in texts:
+        lines = [s for s in t.split("\n") if s.strip()]
+        own = [shares.get(line_key(s), 0.0) for s in lines]
+        cost = np.array([line_costs(s, h)[0] for s, h in zip(lines, own, strict=True)])
+        if (cost >= 5.0).sum() >= 2:
+            sure = (cost >= 5.0) | (cost <= -3.0)
+            xs.append(line_features(lines, own)[sure])
+            ys.append(cost[sure] > 0)
+    return fit_lines(np.concatenate(xs), np.concatenate(ys))
+
+
 def is_scan(text: str, image: bool, shares: dict[int, float]) -> bool:
     """Whether a text is a scan rather than a page: wrapped to a width, or an image without several lines of a site."""
     if read_lines(text, False):
@@ -194,32 +274,48 @@ def is_scan(text: str, image: bool, shares: dict[int, float]) -> bool:
     return image and sum(line_costs(s, shares.get(line_key(s), 0.0))[0] >= 5.0 for s in text.split("\n") if s.strip() and not _PAGER.search(s)) < 3
 
 
-def label_lines(text: str, shares: dict[int, float], html: bool) -> list[tuple[int, bool]]:
+def label_lines(text: str, shares: dict[int, float], html: bool, weights: np.ndarray | None = None) -> list[tuple[int, bool]]:
     """(line, whether it is body) for the non-blank lines of a page; an empty list if the text is no web page."""
     lines = [(k, s) for k, s in enumerate(text.split("\n")) if s.strip()]
-    seen = [line_costs(s, shares.get(line_key(s), 0.0)) for _, s in lines]
-    score, form = [x for x, _ in seen], [f for _, f in seen]
-    site = sum(x >= 4.0 for x in score)
-    if site < (1 if html else 2):
-        return []
     n = len(lines)
+    # A share counts for short lines only; longer ones need not be looked up.
+    share = [shares.get(line_key(s), 0.0) if len(s) <= 400 and s.count(" ") <= 40 else 0.0 for _, s in lines]
+    seen = [line_costs(s, h) for (_, s), h in zip(lines, share, strict=True)]
+    score, form = [x for x, _ in seen], [f for _, f in seen]
+    beside = [0.0] * n
+    if weights is not None and n:
+        odds = np.clip(line_features([s for _, s in lines], share) @ weights, -4.0, 4.0)
+        known = sum(x >= 4.0 for x in score) >= 2
+        for k, z in enumerate(odds.tolist()):
+            if not known and abs(score[k]) < 3.0:
+                # Without phrases the classifier alone tells a line of the site from others, among those that recur on other pages.
+                score[k] += z if share[k] else min(z, 1.0)
+                form[k] = "w" if z >= 2.0 and share[k] and form[k] == "s" else form[k]
+            elif form[k] == "p" and score[k] > -3.0 and not share[k]:
+                # A long line without an end mark, as in scripts without one.
+                score[k] += min(0.0, z)
+            elif form[k] == "s":
+                beside[k] = BESIDE * max(-1.0, min(1.0, z))
     body = [k for k in range(n) if form[k] == "p" and score[k] <= -3.0]
-    if not body:
-        return [(k, False) for k, _ in lines]
+    site = sum(x >= 4.0 for x, _ in seen)
+    # What the classifier alone takes for lines of a site must also stand where a site puts them: behind the last sentence too.
+    told = [k for k in range(n) if score[k] >= 2.0 and form[k] == "w"]
+    if site < (1 if html else 2) and (len(told) < 3 or sum(k > max(body, default=-1) for k in told) < 2):
+        return []
     edges = []
-    text_of = [regex.sub(r"[^\S\n]", " ", s.strip()) for _, s in lines]
+    text_of = [_flat(s) for _, s in lines]
     # Short lines below a bare heading of links, up to the next sentence or widget, belong to it.
     linked: dict[int, int] = {}
     for k in range(n):
-        if form[k] == "w" and _RELATED.search(text_of[k]) and ":" not in text_of[k] and len(text_of[k].split()) <= 6:
+        if form[k] == "w" and _RELATED.match(text_of[k]) and ":" not in text_of[k] and len(text_of[k].split()) <= 6:
             j = k + 1
-            while j < n and (form[j] == "s" or _DATED.search(text_of[j])):
+            while j < n and (form[j] == "s" or _DATED.match(text_of[j])):
                 linked[j] = k
                 j += 1
     # The title: the first of the short lines before the first sentence, insertions for sharing aside.
-    title, k = None, body[0] - 1
-    lead = []
-    while k >= 0 and (form[k] == "s" and k not in linked or _SHARE.search(text_of[k])):
+    title, lead = None, []
+    k = body[0] - 1 if body else -1
+    while k >= 0 and (form[k] == "s" and k not in linked or _SHARE.match(text_of[k])):
         if form[k] == "s":
             lead.append(k)
         k -= 1
@@ -230,7 +326,7 @@ def label_lines(text: str, shares: dict[int, float], html: bool) -> list[tuple[i
         del linked[k]
     for k in lead:
         score[k] -= 1.5
-    if title is not None and _CAPITAL.search(text_of[title]):
+    if title is not None and _CAPITAL.match(text_of[title]):
         score[title] -= 2.0
     edges += [(k, j, 3.0) for j, k in linked.items()]
     for k in range(n - 1):
@@ -254,16 +350,17 @@ def label_lines(text: str, shares: dict[int, float], html: bool) -> list[tuple[i
     for k in range(n - 2):
         if form[k + 1] in "wn" and form[k] in "ps" and form[k + 2] in "ps" and k not in linked and k + 2 not in linked:
             edges.append((k, k + 2, 1.5 if "p" in (form[k], form[k + 2]) else 0.7))
-    # Past the last and before the first sentence short lines lean to the site.
-    first, last = body[0], body[-1]
+    # Past the last and before the first sentence short lines lean to the site; without any sentence there is no article, and
+    # every line leans to it more than anything else can hold.
+    first, last = (body[0], body[-1]) if body else (n, -1)
     for k in range(n):
-        if form[k] == "s" and k != title and k not in lead:
-            score[k] += 1.2 if k < first or k > last else 0.0
+        if not body:
+            score[k] = max(score[k], 0.0) + 8.0
+        elif form[k] == "s" and k != title and k not in lead:
+            score[k] += 1.2 + beside[k] if k < first or k > last else 0.0
             if k in linked:
                 score[k] += 1.0
     side = minimum_cut([max(0.0, -x) for x in score], [max(0.0, x) for x in score], edges)
-    if not any(side):
-        return [(k, False) for k, _ in lines]
     return [(k, s) for (k, _), s in zip(lines, side, strict=True)]
 
 
@@ -292,13 +389,16 @@ def _labelled(docs: DataFrame, key: str, text: str, formato: str) -> DataFrame:
     """key, _t and _l, the labels of the non-blank lines, for every row that is a page; no shuffle."""
     docs = _texts(docs, key, text, formato)
     shares = frequent_lines(docs, key, "_t")
+    # Texts whose hash is 0 modulo n / SAMPLE, each once, up to a length: a sample of bounded size.
+    some = docs.filter((F.pmod(F.xxhash64("_t", F.lit(3)), F.lit(max(1, docs.count() // SAMPLE))) == 0) & (F.length("_t") <= LONGEST)).select("_t").distinct()
+    weights = learn_lines(sorted(r["_t"] for r in some.toLocalIterator()), shares)
 
     @F.pandas_udf("array<struct<linea:int,cuerpo:boolean>>")
     def labels(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, images, htmls in batches:
             out = []
             for t, i, h in zip(texts, images, htmls, strict=True):
-                rows = [] if is_scan(t, bool(i), shares) else label_lines(t, shares, bool(h))
+                rows = [] if is_scan(t, bool(i), shares) else label_lines(t, shares, bool(h), weights)
                 out.append([{"linea": k, "cuerpo": b} for k, b in rows])
             yield pd.Series(out)
 
