@@ -2,7 +2,7 @@
 
 A text becomes its class string, one letter a token: what boundary follows that token. One regular expression of bounded
 quantifiers, alternatives ordered by the strength of the boundary, consumes the class string body by body; every piece then
-looks back `solape` tokens for its overlap. Cuts, offsets and pieces are SQL array expressions; Python only tokenises.
+looks back `solape` tokens for its overlap. Cuts and offsets are SQL array expressions; Python tokenises and takes the pieces.
 
 Defined results: null and empty texts, and texts within the limit, give one piece (null stays null). A missing source, a null
 limit or one below 1 means no limit; every limit from 1 on holds. A null or negative overlap is 0; as a piece holds at least one
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbrera.llm.bpe import VOCABULARY, load_merges, spans, token_count, worker_encoder
+from lumbrera.llm.bpe import VOCABULARY, load_merges, spans, worker_encoder
 from lumbrera.session import written
 
 #: Strongest boundary first: after a blank line, a line, a sentence, a clause, a word, a character; x is inside a character.
@@ -30,6 +30,7 @@ _ENDS, _CLAUSE, _CLOSE = (np.array([ord(c) for c in s], np.uint32) for s in (".!
 _SPACELESS = np.array([ord(c) for c in "。！？、，；：」』"], np.uint32)
 #: Groups whose limits may be broadcast.
 FEW = 10_000
+_PIECE = T.StructType([T.StructField("inicio", T.IntegerType()), T.StructField("fin", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("pieza", T.StringType())])
 _CLASSES = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("clases", T.StringType()), T.StructField("fines", T.ArrayType(T.IntegerType()))])
 
 
@@ -78,17 +79,32 @@ def _classes(text: Column, limit: Column, path: str) -> Column:
             rows = []
             texts, limits = list(texts), limits.to_numpy()
             for part in spans(texts):
-                split, known = enc.pieces(texts[part])
-                length = {w: len(known[w]) for w in {w for s in split for w in s}}
-                for t, most, words in zip(texts[part], limits[part], split, strict=True):
-                    n = sum(map(length.__getitem__, words))
-                    big = most == most and most is not None and n > most
-                    rows.append((n, *(boundary_classes(t, np.concatenate([known[w] for w in words]), sizes) if big else (None, None))))
+                own, most = texts[part], limits[part]
+                counts = enc.counts(own)
+                big = [k for k, n in enumerate(counts) if most[k] is not None and most[k] == most[k] and n > most[k]]
+                found = dict(zip(big, enc([own[k] for k in big]), strict=True))
+                rows += [(n, *(boundary_classes(own[k], found[k], sizes) if k in found else (None, None))) for k, n in enumerate(counts)]
             yield pd.DataFrame(rows, columns=["n", "clases", "fines"]).astype({"n": "int32"})
 
     return classes(text, limit)
 
 
+def _pieces(text: Column, start: Column, stop: Column, path: str) -> Column:
+    """The stretches of a text from `start` to `stop` (arrays of offsets) with their numbers of tokens; a text is cut where it stands, in one go."""
+
+    @F.pandas_udf(T.ArrayType(_PIECE))
+    def pieces(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        enc = worker_encoder(path)
+        for texts, starts, stops in batches:
+            own = [[t[a:z] for a, z in zip(x, y, strict=True)] for t, x, y in zip(texts, starts, stops, strict=True)]
+            flat = [p for o in own for p in o]
+            counts = iter([n for part in spans(flat) for n in enc.counts(flat[part])])
+            yield pd.Series([[{"inicio": int(a), "fin": int(z), "n_tokens": next(counts), "pieza": p} for a, z, p in zip(x, y, o, strict=True)] for x, y, o in zip(starts, stops, own, strict=True)])
+
+    # Marked as not deterministic, so that the explode does not make it run twice.
+    return pieces.asNondeterministic()(text, start, stop)
+
+
 def _pattern(limit: Column, body: Column) -> Column:
     """Bodies of at most `limit` tokens for the first piece and `body` for the others, strongest boundary in their last half first."""
 
@@ -124,15 +140,11 @@ def split_oversized(docs: DataFrame, limits: DataFrame, key: str = "doc_id", tex
         sol = F.least(F.col("_sol"), F.col("_now") - 1)
         bodies = F.regexp_extract_all("clases", _pattern(F.col("_now"), F.col("_now") - sol), F.lit(0))
         stops = F.expr("aggregate(_b, array(0), (a, x) -> array_append(a, element_at(a, -1) + length(x)))")
-        cut = todo.withColumn("_b", bodies).withColumn("_e", stops).withColumn("_o", sol)
-        # Start of the overlap: the first place from _o tokens back on where the token before ends a character.
-        look = F.expr("case when i = 0 or element_at(_e, i + 1) <= _o then 0 else element_at(_e, i + 1) - _o + length(regexp_extract(substring(clases, element_at(_e, i + 1) - _o, _o), '^x*', 0)) end")
-        cut = cut.select("_k", "_t", "_max", "_sol", "clases", "fines", "_now", "_e", "_o", F.posexplode("_b").alias("i", "_body"), F.size("_b").alias("partes"))
-        cut = cut.withColumn("_from", look).withColumn("_to", F.expr("element_at(_e, i + 2)"))
-        offset = lambda c: F.expr(f"case when {c} = 0 then 0 else element_at(fines, {c}) end")
-        cut = cut.select("_k", "_max", "_now", F.col("i").alias("parte"), "partes", offset("_from").alias("inicio"), offset("_to").alias("fin"), F.expr("_to - _from").alias("_n"), "_t")
-        cut = cut.withColumn("pieza", F.expr("substring(_t, inicio + 1, fin - inicio)")).drop("_t")
-        cut = written(cut.withColumn("n_tokens", token_count(F.col("pieza"), path)))
+        cut = todo.withColumn("_b", bodies).select("_k", "_t", "_max", "_now", "fines", sol.alias("_o"), stops.alias("_e"))
+        # The end of a token inside a character is given as that of the character, so any token can start an overlap.
+        start = F.expr("transform(slice(_e, 1, size(_e) - 1), x -> if(x <= _o, 0, get(fines, x - _o - 1)))")
+        cut = cut.select("_k", "_max", "_now", _pieces(F.col("_t"), start, F.expr("transform(slice(_e, 2, size(_e) - 1), x -> get(fines, x - 1))"), path).alias("_p"))
+        cut = written(cut.select("_k", "_max", "_now", F.size("_p").alias("partes"), F.posexplode("_p").alias("parte", "_x")).select("_k", "_max", "_now", "partes", "parte", "_x.*"))
         # At a limit of one the bodies are single tokens or characters: nothing is left to cut.
         over = cut.filter((F.col("n_tokens") > F.col("_max")) & (F.col("_now") > 1)).groupBy("_k").agg(F.max(F.col("n_tokens") - F.col("_max")).alias("_mas"))
         over = written(over)
