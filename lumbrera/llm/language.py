@@ -382,7 +382,7 @@ def _labelled(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
     texts = docs.select("_t").filter(F.col("_t").rlike(r"(?U)\S"))
     # Texts whose hash is 0 modulo n / SAMPLE, each once: about SAMPLE of them, however many copies one has; paragraphs of a
     # bounded length, so what comes to the driver is bounded in bytes too.
-    some = texts.filter(F.pmod(F.xxhash64("_t"), F.lit(max(1, texts.count() // SAMPLE))) == 0).distinct().limit(2 * SAMPLE)
+    some = texts.filter(F.pmod(F.xxhash64("_t"), F.lit(max(1, texts.count() // SAMPLE))) == 0).distinct()
     some = some.select(F.filter(F.split("_t", "\n\n"), lambda p: F.length(p) <= PARAGRAPH).alias("p")).select(F.explode(F.slice("p", 1, PARAGRAPHS)).alias("p")).distinct()
     model = learn_words(sorted(r["p"] for r in some.toLocalIterator()))
 
