@@ -3,8 +3,8 @@
 Per document, digits are masked and letters reduced to strokes to find lines that repeat as heads or feet; the wrapping shows
 which lines were put between the lines of a paragraph. Over the corpus, words are grouped by the skeleton of strokes that
 confusable glyphs share (rn and m, cl and d, 1 and l, @ and a ...); in each group a form far rarer than the most frequent one
-is a misreading of it if it holds a foreign sign, or if the frequent form is at home among its neighbours. Windows over the
-lines reflow the text into paragraphs.
+is a misreading of it if it holds a foreign sign, or if the frequent form is at home among its neighbours; of several frequent
+forms the likeliest is taken (frequency against letters that differ). Windows over the lines reflow the text into paragraphs.
 
 Defined results: null, empty and blank texts have no lines. A text is taken for scanned if its lines are wrapped to a width,
 whatever formato says, or if formato is an image format. Documents delivered again (same texto) count once.
@@ -15,7 +15,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,26 +26,27 @@ from lumbrera.llm.labels import format_name
 from lumbrera.session import written
 
 IMAGES = ("png", "jpg", "tif", "bmp", "gif", "webp")
-#: Strokes of confusable glyphs; every glyph is spelled out, so that equal strings of strokes may be misread for each other (fixed values).
+#: Strokes of confusable glyphs; every glyph is spelled out, so that equal strings of strokes may be misread for each other. Glyphs
+#: that one sign can stand for share a stroke, so every word has one skeleton (fixed values).
 STROKES = {
-    **dict.fromkeys("ec", "c"), **dict.fromkeys("lr1|iI", "i"), **dict.fromkeys("o0ó", "o"), **dict.fromkeys("nuh", "ii"), "m": "iii", "d": "ci", "w": "vv", "@": "a", "†": "t", "8": "b", "9": "g",
-    **dict.fromkeys("áé", "á"), **dict.fromkeys("íf", "f"), **dict.fromkeys("çq", "q"),
+    **dict.fromkeys("ec", "c"), **dict.fromkeys("lr1|iI", "i"), **dict.fromkeys("o0ó6b8", "o"), **dict.fromkeys("nuh", "ii"), "m": "iii", "d": "ci", "w": "vv", "@": "a", "†": "t",
+    **dict.fromkeys("áé", "á"), **dict.fromkeys("íf", "f"), **dict.fromkeys("çqg9", "q"), **dict.fromkeys("sã5", "s"),
 }
-#: Signs that can stand for letters of different strokes (fixed values).
-DOUBTFUL = {"5": "sã", "6": "ob"}
-#: Misreadings as (letters, what is read for them), to check a pair of forms of one skeleton (fixed values).
-CONFUSIONS = tuple(
-    x.split(">") for x in "e>c c>e m>rn rn>m n>ri ri>n u>ii ii>u d>cl cl>d h>li li>h in>m m>in í>f á>é é>á ç>q ã>5 o>0 ó>6 o>6 b>6 g>9 q>9 l>1 i>1 l>| i>| i>l l>i t>† a>@ v>\\/ s>5 b>8 w>vv vv>w u>ll n>11".split()
-)
 #: A form is suspect if the most frequent form of its skeleton is this much more frequent; with a foreign sign in it the lower factor does.
 RATIO, RATIO_SIGN = 12, 2
 #: Foreign signs in a word.
 SIGN = r"[@†|\\]|\p{L}\d|\d\p{L}"
 #: From this factor on the neighbours need not agree; words of two letters are only suspect from it on, and then they must.
 RATIO_ALONE = 60
+#: Log-likelihood a differing letter costs.
+EDIT = 2.4
 #: Share of a suspect form's occurrences whose neighbours the frequent form must be known with.
 CONTEXT = 0.5
 HYPHENS = "-‐¬­"
+#: Widths of the wrapping of a scan without an image format, widest width of an image that is wrapped at all, and the share of the line pairs that must fill it.
+NARROW, WIDE, WIDE_IMAGE, FILLED = 30, 120, 200, 0.6
+#: Longest page number in characters, and longest head in words.
+FOLIO, HEAD_WORDS = 16, 14
 _TOKEN = regex.compile(r"(?:[^\W_]|[@†|]|\\/)+")
 _LETTER = regex.compile(r"\p{L}")
 _MEASURE = regex.compile(r"\d+(?:h\d*|º|ª|km|kg|m|s)")
@@ -58,37 +61,9 @@ _ENDS = tuple(".,;:!?…»”\"'’)")
 _TABLE = str.maketrans(STROKES)
 
 
-def skeletons(word: str) -> list[str]:
-    """Strokes of a word in small letters, in every reading of the doubtful signs."""
-    word = word.replace("\\/", "v")
-    if "5" not in word and "6" not in word:
-        return [word.translate(_TABLE)]
-    out = [""]
-    for c in word:
-        reads = DOUBTFUL.get(c) or (c,)
-        out = [x + STROKES.get(r, r) for x in out for r in reads][:8]
-    return sorted(set(out))
-
-
 def skeleton(word: str) -> str:
-    return skeletons(word)[0]
-
-
-def misreads(form: str, seen: str) -> bool:
-    """Whether `seen` comes of `form` by one or more of CONFUSIONS."""
-    reach = {(0, 0)}
-    while reach:
-        nxt = set()
-        for i, j in reach:
-            if i == len(form) and j == len(seen):
-                return form != seen
-            if i < len(form) and j < len(seen) and form[i] == seen[j]:
-                nxt.add((i + 1, j + 1))
-            for a, b in CONFUSIONS:
-                if form.startswith(a, i) and seen.startswith(b, j):
-                    nxt.add((i + len(a), j + len(b)))
-        reach = nxt
-    return False
+    """Strokes of a word in small letters."""
+    return word.replace("\\/", "v").translate(_TABLE)
 
 
 def _key(text: str) -> str:
@@ -113,11 +88,11 @@ def read_lines(text: str, image: bool) -> list[dict]:
     width = sizes[int(0.9 * (len(sizes) - 1))] if len(sizes) >= 10 else max(len(lines[k].rstrip()) for k in full)
     fills = lambda a, b: len(lines[a].rstrip()) + 1 + len(first[b]) >= width - 1 or lines[a].rstrip()[-1:] in HYPHENS
     wrapped = sum(fills(a, b) for a, b in pairs)
-    if not image and (width > 120 or sizes[-1] > 1.4 * width or width < 30 or wrapped < 2 or wrapped < 0.6 * len(pairs)):
+    if not image and (width > WIDE or sizes[-1] > 1.4 * width or width < NARROW or wrapped < 2 or wrapped < FILLED * len(pairs)):
         return []
-    if image and width > 200 and not pairs:
+    if image and width > WIDE_IMAGE and not pairs:
         width = 10**6
-    folio = {k for k in full if len(lines[k].strip()) <= 16 and _FOLIO.fullmatch(lines[k].strip()) and _roman_or_number(lines[k].strip())}
+    folio = {k for k in full if len(lines[k].strip()) <= FOLIO and _FOLIO.fullmatch(lines[k].strip()) and _roman_or_number(lines[k].strip())}
     for k in list(folio):
         t = lines[k].strip()
         # The rest of a paragraph can be a number with a full stop: the line before runs on and leaves no room for it.
@@ -130,7 +105,7 @@ def read_lines(text: str, image: bool) -> list[dict]:
         # A number stands apart from a head by two spaces or a sign.
         m = _HEAD.fullmatch(t) if "  " in t or _APART.search(t) else None
         inner = (m.group(1) if m else t).strip()
-        if k == start or inner and inner[0].isupper() and inner[-1] not in _ENDS and inner[-1] not in HYPHENS and len(inner.split()) <= 14:
+        if k == start or inner and inner[0].isupper() and inner[-1] not in _ENDS and inner[-1] not in HYPHENS and len(inner.split()) <= HEAD_WORDS:
             text_of[k], key[k] = inner, _key(inner)
             numbered[k] = bool(m) and inner != t and bool(regex.search(r"\d|\b[ivxl]+\b", t.replace(inner, "", 1)))
     alone = lambda k: k - 1 not in first and k + 1 not in first
@@ -173,21 +148,24 @@ def tokens_of(line: str) -> list[tuple[int, int, str]]:
 
 
 def _once(docs: DataFrame, key: str = "doc_id", text: str = "texto", formato: str = "formato") -> DataFrame:
-    """(key, _t, _i): every text with a letter or sign once, and whether its format is an image; the only shuffle of texts."""
+    """(key, _t, _i): every text with a letter or sign once (known by its hash), and whether its format is an image; the only shuffle of texts."""
     docs = docs.select(F.col(key).alias(key), F.col(text).alias("_t"), F.coalesce(format_name(F.col(formato)).isin(*IMAGES), F.lit(False)).alias("_i")).filter(F.col("_t").rlike(r"(?U)\S"))
-    return docs.groupBy(key, "_t").agg(F.max("_i").alias("_i"))
+    return docs.groupBy(key, F.xxhash64("_t").alias("_x")).agg(F.first("_t").alias("_t"), F.max("_i").alias("_i")).drop("_x")
 
 
 def scanned_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, linea, texto, tipo) of texts as _once gives them: the lines of scanned texts; tipo is cabecera, folio, cuerpo or vacia."""
 
-    # Functions here are marked as not deterministic, so that filters that go with an explode do not make them run twice.
-    @F.pandas_udf("array<struct<linea:int,texto:string,clase:string,clave:string>>")
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, images in batches:
-            yield pd.Series([read_lines(t, bool(i)) for t, i in zip(texts, images, strict=True)])
+    kind = docs.schema[key].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [read_lines(t, bool(i)) for t, i in zip(batch.column("_t").to_pylist(), batch.column("_i").to_pylist(), strict=True)]
+            rows = [r for own in found for r in own]
+            keys = batch.column(key).take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
+            yield pa.RecordBatch.from_arrays([keys, *(pa.array([r[c] for r in rows], t) for c, t in (("linea", pa.int32()), ("texto", pa.string()), ("clase", pa.string()), ("clave", pa.string())))], [key, "linea", "texto", "clase", "clave"])
 
-    rows = written(docs.select(key, F.explode(read.asNondeterministic()("_t", "_i")).alias("l")).select(key, "l.*"))
+    rows = written(docs.select(key, "_t", "_i").mapInArrow(read, f"`{key}` {kind}, linea int, texto string, clase string, clave string"))
     # A line that may be a head is one if another document has its text more often as a head than in the body: keys are compared over the corpus.
     sure = rows.filter("clase in ('c', 'b')").groupBy("clave").agg(F.count_if(F.col("clase") == "c").alias("c"), F.count_if(F.col("clase") == "b").alias("b")).filter("c > b").select("clave", F.lit(True).alias("_sure"))
     rows = rows.filter("clase <> 'd'").withColumn("_sure", F.lit(None).cast("boolean")).unionByName(rows.filter("clase = 'd'").join(sure, "clave", "left").select(*rows.columns, "_sure"))
@@ -195,30 +173,48 @@ def scanned_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.select(key, "linea", "texto", tipo.alias("tipo"))
 
 
-_WORDS = "array<struct<k:int,ini:int,fin:int,w:string,roto:string>>"
+def _line_words(here: list[str], after: list[str | None], before: list[str | None]) -> Iterator[tuple[int, int, int, int, str, str | None, str | None, str | None]]:
+    """(index of the line, place, start, end, word, roto, word before, word after) of the words of lines given with the lines after and before them."""
+    known: dict[str | None, list] = {None: []}
+
+    def tokens(s: str | None) -> list[tuple[int, int, str]]:
+        if s not in known:
+            known[s] = tokens_of(s)
+        return known[s]
+
+    for i, (s, n, p) in enumerate(zip(here, after, before, strict=True)):
+        toks = tokens(s)
+        if not toks:
+            continue
+        open_, goes_on = _broken(s, n), _broken(p, s) and s.lstrip()[:1] == s[toks[0][0] : toks[0][0] + 1]
+        start, stop = int(goes_on), len(toks) - int(open_)
+        if goes_on and stop:
+            yield (i, 0, *toks[0], "b", None, None)
+        above, below = tokens(p), tokens(n)
+        above, below = above[:-1] if goes_on else above, below[1:] if open_ else below
+        last = above[-1][2] if above else None
+        for k in range(start, stop):
+            yield (i, k, *toks[k], None, last, toks[k + 1][2] if k + 1 < stop else below[0][2] if below else None)
+            last = toks[k][2]
+        if open_:
+            head = tokens_of(n.lstrip())
+            a, b, w = toks[-1]
+            yield (i, len(toks) - 1, a, b, w + "-" + (head[0][2] if head and head[0][0] == 0 else ""), "a", None, None)
 
 
 def _body_words(lines: DataFrame, key: str) -> DataFrame:
-    """Words of the body lines; a word broken over two lines is one row of its first line (roto a: with the rest joined) and one of the second (roto b)."""
+    """Words of the body lines with the words before and after (a, z); a word broken over two lines is one row of its first line (roto a: with the rest joined) and one of the second (roto b), and no neighbour. arriba is the body line above."""
     w = Window.partitionBy(key).orderBy("linea")
-    body = lines.filter("tipo = 'cuerpo'").withColumn("sigue", F.lead("texto").over(w)).withColumn("previa", F.lag("texto").over(w))
-
-    @F.pandas_udf(_WORDS)
-    def words(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for here, after, before in batches:
-            out = []
-            for s, n, p in zip(here, after, before, strict=True):
-                toks = tokens_of(s)
-                rows = [{"k": k, "ini": a, "fin": b, "w": x, "roto": None} for k, (a, b, x) in enumerate(toks)]
-                if rows and _broken(s, n):
-                    head = tokens_of(n.lstrip())
-                    rows[-1] |= {"roto": "a", "w": rows[-1]["w"] + "-" + (head[0][2] if head and head[0][0] == 0 else "")}
-                if rows and _broken(p, s) and s.lstrip()[:1] == s[rows[0]["ini"] : rows[0]["ini"] + 1]:
-                    rows[0]["roto"] = "b" if rows[0]["roto"] is None else rows[0]["roto"]
-                out.append(rows)
-            yield pd.Series(out)
-
-    return body.select(key, "linea", "texto", F.posexplode(words.asNondeterministic()("texto", "sigue", "previa")).alias("_k", "p")).select(key, "linea", "texto", "p.*")
+    body = lines.filter("tipo = 'cuerpo'").select(key, "linea", F.lag("linea").over(w).alias("arriba"), "texto", F.lead("texto").over(w).alias("sigue"), F.lag("texto").over(w).alias("previa"))
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string())
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, *columns = list(zip(*_line_words(*(batch.column(c).to_pylist() for c in ("texto", "sigue", "previa"))), strict=True)) or [()] * 8
+            own = [batch.column(c).take(pa.array(at, pa.int32())) for c in (key, "linea", "arriba")]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], [key, "linea", "arriba", "k", "ini", "fin", "w", "roto", "a", "z"])
+
+    return body.mapInArrow(words, f"`{key}` {lines.schema[key].dataType.simpleString()}, linea int, arriba int, k int, ini int, fin int, w string, roto string, a string, z string")
 
 
 def _broken(line: str | None, after: str | None) -> bool:
@@ -229,47 +225,48 @@ def _broken(line: str | None, after: str | None) -> bool:
     return len(t) >= 2 and t[-1] in HYPHENS and (t[-2].isalnum() or t[-2] in "@†|/") and bool(regex.match(r"[\p{Ll}@†|\\\d]", after.lstrip()))
 
 
-def _skeletons(word: Column | str) -> Column:
-    @F.pandas_udf("array<string>")
-    def strokes(words: pd.Series) -> pd.Series:
-        return words.map(skeletons)
-
-    return strokes.asNondeterministic()(word)
-
+def _skeleton(word: Column | str) -> Column:
+    """skeleton() in the JVM."""
+    out = F.replace(F.col(word) if isinstance(word, str) else word, F.lit("\\/"), F.lit("v"))
+    one = "".join(c for c, t in STROKES.items() if len(t) == 1)
+    # Glyphs of several strokes first: their strokes are not glyphs to be read again.
+    for glyphs, strokes in ((c, t) for c, t in STROKES.items() if len(t) > 1):
+        out = F.replace(out, F.lit(glyphs), F.lit(strokes.upper()))
+    return F.lower(F.translate(out, one, "".join(STROKES[c] for c in one)))
 
-def _confused(form: Column | str, seen: Column | str) -> Column:
-    @F.pandas_udf("boolean")
-    def test(f: pd.Series, s: pd.Series) -> pd.Series:
-        return pd.Series([misreads(a, b) for a, b in zip(f, s, strict=True)])
 
-    return test.asNondeterministic()(form, seen)
+def _likely(n: Column, form: Column, seen: Column) -> Column:
+    """How likely a frequent form is what was misread (noisy channel): its frequency, and a factor for every letter that differs."""
+    return F.log(n) - EDIT * F.levenshtein(form, seen)
 
 
 def lexicon(docs: DataFrame) -> DataFrame:
-    """(w, n): words and words with hyphens inside a line, in small letters, counted over all documents."""
+    """(w, n): words and words with hyphens inside a line, in small letters, counted over all documents; a batch hands on each word once."""
 
-    @F.pandas_udf("array<string>")
-    def words(s: pd.Series) -> pd.Series:
-        def one(t: str) -> list[str]:
-            out = []
-            for line in t.split("\n"):
-                toks = tokens_of(line)
-                stop = len(line.rstrip())
-                out += [x for a, b, x in toks if not (b == stop - 1 and line[b] in HYPHENS)]
-                out += [line[a:d].lower() for (a, b, _), (c, d, _) in zip(toks, toks[1:], strict=False) if c == b + 1 and line[b] in "-‐"]
-            return out
+    def one(t: str) -> Iterator[str]:
+        for line in t.split("\n"):
+            toks = tokens_of(line)
+            stop = len(line.rstrip())
+            yield from (x for a, b, x in toks if not (b == stop - 1 and line[b] in HYPHENS))
+            if "-" in line or "‐" in line:
+                yield from (line[a:d].lower() for (a, b, _), (c, d, _) in zip(toks, toks[1:], strict=False) if c == b + 1 and line[b] in "-‐")
 
-        return s.map(one)
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for t in batch.column("_t").to_pylist():
+                counts.update(one(t))
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["w", "n"])
 
-    return docs.select(F.explode(words.asNondeterministic()("_t")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    return docs.select("_t").mapInArrow(words, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def misread_forms(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """(w, forma): forms taken for misreadings and the form they stand for.
+    """(w, forma): forms taken for misreadings and the form they stand for; words (w, and where known its neighbours a and z).
 
     Every form is compared with all those of its skeleton that are at least RATIO_SIGN times as frequent; the context is checked by joins on bigrams.
     """
-    forms = counts.filter(~F.col("w").contains("-")).withColumn("sk", F.explode(_skeletons("w")))
+    forms = counts.filter(~F.col("w").contains("-")).withColumn("sk", _skeleton("w"))
     # All forms of a skeleton that can be right; the ratio is a condition of the join, so only pairs it admits come out.
     best = forms.filter((F.length("w") >= 2) & (F.col("n") >= RATIO_SIGN)).select("sk", F.struct("n", F.col("w").alias("c")).alias("b"))
 
@@ -279,10 +276,11 @@ def misread_forms(words: DataFrame, counts: DataFrame) -> DataFrame:
     plain = lambda c: F.translate(c, "áéíóúàèìòùâêîôûãõäëïöüç", "aeiouaeiouaeiouaoaeiouc")
     pairs = pairs.filter((plain(F.col("w")) != plain(F.col("c"))) & (F.length("c") >= 2))
     pairs = pairs.filter(F.when(sign, F.col("cn") >= RATIO_SIGN * F.col("n")).otherwise(F.col("cn") >= F.when(F.length("c") >= 3, RATIO).otherwise(RATIO_ALONE) * F.col("n"))).withColumn("sign", sign)
-    pairs = pairs.filter(_confused("c", "w")).groupBy("w", "n", "sign").agg(F.max(F.struct("cn", "c")).alias("b"))
+    pairs = pairs.groupBy("w", "n", "sign").agg(F.max(F.struct(_likely(F.col("cn"), F.col("c"), F.col("w")).alias("l"), "cn", "c")).alias("b"))
     pairs = written(pairs.select("w", "n", "sign", "b.cn", "b.c"))
-    w = Window.partitionBy("doc_id").orderBy("linea", "k")
-    near = words.select("w", F.lag("w").over(w).alias("a"), F.lead("w").over(w).alias("z"))
+    # Only the neighbours of suspects and of the forms they may stand for are looked at.
+    near = words.select("w", *(F.col(c) if c in words.columns else F.lit(None).cast("string").alias(c) for c in ("a", "z")))
+    near = written(near.join(pairs.select(F.explode(F.array("w", "c")).alias("w")).distinct(), "w", "left_semi"))
     left, right = (near.filter(F.col(c).isNotNull()).groupBy(c, "w").agg(F.count("*").alias("m")) for c in ("a", "z"))
     doubt = near.join(pairs.filter(~F.col("sign")).select("w", "c"), "w")
     at_home = doubt.join(left.select("a", F.col("w").alias("c"), F.col("m").alias("ma")), ["a", "c"], "left").join(right.select("z", F.col("w").alias("c"), F.col("m").alias("mz")), ["z", "c"], "left")
@@ -291,16 +289,16 @@ def misread_forms(words: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def scan_words(docs: DataFrame, lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Words of the body lines with what is wrong: forma (the right form of a misread word), union (whether a broken word loses its hyphen)."""
+    """Words of the body lines that are misread or broken, with what is wrong: forma (the right form of a misread word), union (whether a broken word loses its hyphen)."""
     counts = written(lexicon(docs))
     words = written(_body_words(lines, key))
     # Broken words: the joined form and the compound are looked up by skeleton, so that misread parts do not hide them.
     broken = words.filter("roto = 'a'").select(key, "linea", "k", F.split("w", "-").alias("x")).select(key, "linea", "k", F.element_at("x", 1).alias("w1"), F.element_at("x", 2).alias("w2"))
-    by_sk = counts.withColumn("sk", F.explode(_skeletons(F.regexp_replace("w", "‐", "-")))).select("sk", "n", F.col("w").alias("c"))
+    by_sk = counts.withColumn("sk", _skeleton(F.regexp_replace("w", "‐", "-"))).select("sk", "n", F.col("w").alias("c"))
     joined = broken.select("w1", "w2").distinct().withColumn("_s", F.concat("w1", "w2"))
-    # Every reading of the doubtful signs counts; of the forms that explain the joined word the most frequent is taken.
-    met = joined.withColumn("sk", F.explode(_skeletons("_s"))).join(by_sk, "sk").withColumn("_e", _confused("c", "_s")).groupBy("w1", "w2").agg(F.max("n").alias("nj"), F.max(F.when(F.col("_e"), F.struct("n", "c"))).alias("b"))
-    apart = joined.withColumn("sk", F.explode(_skeletons(F.concat_ws("-", "w1", "w2")))).join(by_sk, "sk").groupBy("w1", "w2").agg(F.max("n").alias("nc"))
+    # Of the forms of its skeleton the likeliest is taken.
+    met = joined.withColumn("sk", _skeleton("_s")).join(by_sk, "sk").groupBy("w1", "w2").agg(F.max("n").alias("nj"), F.max(F.when(F.col("c") != F.col("_s"), F.struct(_likely(F.col("n"), F.col("c"), F.col("_s")).alias("l"), "n", "c"))).alias("b"))
+    apart = joined.withColumn("sk", _skeleton(F.concat_ws("-", "w1", "w2"))).join(by_sk, "sk").groupBy("w1", "w2").agg(F.max("n").alias("nc"))
     broken = broken.join(met, ["w1", "w2"], "left").join(apart, ["w1", "w2"], "left")
     broken = broken.join(counts.select(F.col("w").alias("_j"), F.col("n").alias("nx")), F.concat("w1", "w2") == F.col("_j"), "left")
     for part in ("w1", "w2"):
@@ -313,18 +311,16 @@ def scan_words(docs: DataFrame, lines: DataFrame, key: str = "doc_id") -> DataFr
     stands = F.col("nx").isNotNull() & (F.col("nx") * ratio > F.coalesce("b.n", F.lit(0)))
     form = F.when(stands, F.col("_j")).otherwise(F.col("b.c"))
     broken = broken.select(key, "linea", "k", whole.alias("union"), F.when(whole, form).alias("junta"), "w1", "w2")
-    wrong = misread_forms(words.filter("roto is null").select(F.col(key).alias("doc_id"), "linea", "k", "w"), counts)
+    wrong = misread_forms(words.filter("roto is null").select("w", "a", "z"), counts)
     plain = words.filter("roto is null").join(wrong, "w", "left")
     number = F.col("w").rlike(r"^(?=.*\d)(?=.*[lo|sbzi])[\dlo|sbzi]+$") | F.col("w").isin("ll", "lo0", "l1", "1l")
-    plain = plain.select(key, "linea", "k", "ini", "fin", "w", "roto", F.coalesce("forma", F.when(number, F.translate("w", "lo|sbzi", "1015821"))).alias("forma"), F.lit(None).cast("boolean").alias("union"), F.lit(None).cast("string").alias("junta"))
+    plain = plain.select(key, "linea", "k", "ini", "fin", "w", "roto", F.coalesce("forma", F.when(number, F.translate("w", "lo|sbzi", "1015821"))).alias("forma"), F.lit(None).cast("boolean").alias("union"), F.lit(None).cast("string").alias("junta")).filter("forma is not null")
     first = words.filter("roto = 'a'").select(key, "linea", "k", "ini", "fin", "roto").join(broken, [key, "linea", "k"])
     first = first.select(key, "linea", "k", "ini", "fin", F.col("w1").alias("w"), "roto", F.when(~F.startswith(F.col("junta"), F.col("w1")), F.col("junta")).alias("forma"), "union", "junta")
-    rest = words.filter("roto = 'b'").select(key, "linea", "k", "ini", "fin", "w", "roto")
-    # The second part belongs to the nearest broken word above.
-    nxt = Window.partitionBy(key).orderBy("linea")
-    of = words.select(key, "linea").distinct().withColumn("_up", F.lag("linea").over(nxt))
-    joined = broken.select(key, F.col("linea").alias("_up"), "junta")
-    rest = rest.join(of, [key, "linea"]).join(joined, [key, "_up"], "left").select(key, "linea", "k", "ini", "fin", "w", "roto", F.when(~F.endswith(F.col("junta"), F.col("w")), F.col("junta")).alias("forma"), F.lit(None).cast("boolean").alias("union"), "junta")
+    # The second part belongs to the broken word of the body line above.
+    joined = broken.select(key, F.col("linea").alias("arriba"), "junta")
+    rest = words.filter("roto = 'b'").select(key, "linea", "arriba", "k", "ini", "fin", "w", "roto").join(joined, [key, "arriba"], "left")
+    rest = rest.select(key, "linea", "k", "ini", "fin", "w", "roto", F.when(~F.endswith(F.col("junta"), F.col("w")), F.col("junta")).alias("forma"), F.lit(None).cast("boolean").alias("union"), "junta")
     return plain.unionByName(first).unionByName(rest)
 
 
