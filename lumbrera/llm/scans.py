@@ -12,6 +12,7 @@ whatever formato says, or if formato is an image format. Documents delivered aga
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -47,7 +48,11 @@ HYPHENS = "-‐¬­"
 NARROW, WIDE, WIDE_IMAGE, FILLED = 30, 120, 200, 0.6
 #: Longest page number in characters, and longest head in words.
 FOLIO, HEAD_WORDS = 16, 14
-_TOKEN = regex.compile(r"(?:[^\W_]|[@†|]|\\/)+")
+_TOKEN = regex.compile(r"(?:[^\W_]+|[@†|]|\\/)+")
+_RUN = regex.compile(r"[^\W_]+")
+#: What makes a line more than words between white space and marks.
+_ODD = re.compile(r"[@†|\\\d]|[./][^\W_]")
+_JOINTS = re.compile("[-‐¬­]")
 _LETTER = regex.compile(r"\p{L}")
 _MEASURE = regex.compile(r"\d+(?:h\d*|º|ª|km|kg|m|s)")
 _N = r"(?:[\dOolIS|]{1,4}|[ivxlIVXL]{1,6})"
@@ -135,6 +140,8 @@ def read_lines(text: str, image: bool) -> list[dict]:
 
 def tokens_of(line: str) -> list[tuple[int, int, str]]:
     """(start, end, word in small letters) of the words of a line; parts of addresses and file names are left out."""
+    if not _ODD.search(line):
+        return [(*m.span(), w.lower()) for m in _RUN.finditer(line) if (w := m.group()).isalpha() or _LETTER.search(w)]
     out, n = [], len(line)
     for m in _TOKEN.finditer(line):
         a, b = m.span()
@@ -245,6 +252,9 @@ def lexicon(docs: DataFrame) -> DataFrame:
 
     def one(t: str) -> Iterator[str]:
         for line in t.split("\n"):
+            if not _JOINTS.search(line) and not _ODD.search(line):
+                yield from (w for w in map(str.lower, _RUN.findall(line)) if w.isalpha() or _LETTER.search(w))
+                continue
             toks = tokens_of(line)
             stop = len(line.rstrip())
             yield from (x for a, b, x in toks if not (b == stop - 1 and line[b] in HYPHENS))
