@@ -16,12 +16,14 @@ ordinary text; every code point is encoded, white space included.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +39,7 @@ SHIFT = 0x10000
 _SPLIT = regex.compile(PATTERN)
 _NONE = np.int64(1) << 40
 #: Strings and characters kept encoded by a Python worker, about.
-CACHE_WORDS, CACHE_CHARACTERS = 200_000, 8_000_000
+CACHE_WORDS, CACHE_CHARACTERS = 100_000, 4_000_000
 
 
 class Merges:
@@ -63,6 +65,20 @@ def _printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def ship_vocabulary(spark: SparkSession, path: str) -> None:
+    """Sends the vocabulary file to the executors, so that only the driver needs it at `path`; a file sent before is not sent again."""
+    spark.sparkContext.addFile(path)
+
+
+def shipped(path: str) -> str:
+    """Where a worker finds a vocabulary file: the one sent to it, or else the path itself."""
+    try:
+        own = SparkFiles.get(os.path.basename(path))
+    except Exception:  # noqa: BLE001 - outside of a task and without a session there are no sent files
+        return path
+    return own if os.path.exists(own) else path
+
+
 @lru_cache(maxsize=4)
 def load_merges(path: str = VOCABULARY) -> Merges:
     """Merge table of a byte-level BPE file in the `tokenizers` JSON format."""
@@ -174,7 +190,7 @@ class Encoder:
         return [len(whole[k]) if k in whole else first[s[0]] + sum(map(after.__getitem__, s[1:])) if s else 0 for k, s in enumerate(split)]
 
 
-def spans(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
+def spans(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
     """Slices of a batch that hold about `most` characters, so that long texts do not pile up in one array."""
     start = total = 0
     for k, t in enumerate(texts):
@@ -189,11 +205,12 @@ def spans(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
 @lru_cache(maxsize=2)
 def worker_encoder(path: str) -> Encoder:
     """One encoder a Python worker, kept between batches and tasks."""
-    return Encoder(load_merges(path))
+    return Encoder(load_merges(shipped(path)))
 
 
 def encode(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, keep: tuple[str, ...] = ()) -> DataFrame:
     """keep columns of df and the ids of `text` as ARRAY<INT>. Narrow: no shuffle; texts pass once to Python in Arrow batches."""
+    ship_vocabulary(df.sparkSession, path)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -206,7 +223,7 @@ def encode(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, k
 
 
 def token_count(text: Column, path: str = VOCABULARY) -> Column:
-    """Number of tokens of a text column, 0 for null."""
+    """Number of tokens of a text column, 0 for null; ship_vocabulary() sends the file to the executors."""
 
     @F.pandas_udf(T.IntegerType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -237,7 +254,7 @@ def symbol_segments(piece: Column, path: str) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.StringType(), False))
     def segments(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = load_merges(path)
+        m = load_merges(shipped(path))
         symbol = np.array([chr(SHIFT + int(i)) for i in m.byte_ids])
         for s in batches:
             out = []
@@ -267,6 +284,7 @@ def piece_counts(pieces: DataFrame, path: str = VOCABULARY, rounds_per_cut: int
     finished segments leave it. The number of rounds is bounded by the bytes of the longest segment.
     """
     spark = pieces.sparkSession
+    ship_vocabulary(spark, path)
     merges = F.broadcast(merge_table(spark, load_merges(path)))
     own = written(pieces.select("pieza").filter(F.length("pieza") > 0).distinct().select("pieza", symbol_segments(F.col("pieza"), path).alias("_s")))
     own = own.select("pieza", F.explode("_s").alias("tramo"))
@@ -286,4 +304,4 @@ def piece_counts(pieces: DataFrame, path: str = VOCABULARY, rounds_per_cut: int
     return own.join(sizes, "tramo").groupBy("pieza").agg(F.sum("n").cast("int").alias("n_tokens"))
 
 
-__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "spans", "split_pieces", "symbol_segments", "token_count"]
+__all__ = ["Encoder", "Merges", "encode", "load_merges", "merge_rounds", "merge_table", "piece_counts", "ship_vocabulary", "shipped", "spans", "split_pieces", "symbol_segments", "token_count"]

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbrera.llm.bpe import VOCABULARY, token_count
+from lumbrera.llm.bpe import VOCABULARY, ship_vocabulary, token_count
 from lumbrera.session import written
 
 #: Records a block; bounds what one task holds of any source.
@@ -78,6 +78,7 @@ def _block(last: bool, seed: int):
 
 def draw_mix(docs: DataFrame, profile: DataFrame, path: str = VOCABULARY, seed: int = 7, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(drawn, report): drawn has (doc_id, source, tokens, copias) of the records drawn; report one row per source of the profile."""
+    ship_vocabulary(docs.sparkSession, path)
     sized = written(docs.select("doc_id", "source", token_count(F.col("text"), path).alias("tokens")))
     own = sized.groupBy("source").agg(F.sum("tokens").cast("long").alias("tokens_propios"), F.count("*").alias("documentos"))
     own = written(own)
@@ -110,6 +111,8 @@ def draw_mix(docs: DataFrame, profile: DataFrame, path: str = VOCABULARY, seed:
     mixed = drawn.agg(F.coalesce(F.sum(F.col("tokens") * F.col("copias")), F.lit(0)).alias("t")).first()["t"]
     report = plan.join(got, "source", "left").fillna(0, ["tokens_mezcla", "registros_mezcla", "copias_max"]).withColumn("tokens_mezcla_total", F.lit(mixed).cast("long"))
     report = report.withColumn("cuota_real", F.coalesce(F.try_divide("tokens_mezcla", "tokens_mezcla_total"), F.lit(0.0)))
+    # What the draw misses of the tokens it could reach: less than the size of a record, if the sampling keeps its totals.
+    report = report.withColumn("desvio", F.col("tokens_mezcla") - F.least(F.col("tokens_objetivo"), F.col("max_repeticiones") * F.col("tokens_propios")))
     return drawn, report.withColumn("cuota_del_total", F.coalesce(F.try_divide("tokens_mezcla", "tokens_total"), F.lit(0.0)))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbrera.llm.bpe import VOCABULARY, load_merges, spans, worker_encoder
+from lumbrera.llm.bpe import VOCABULARY, load_merges, ship_vocabulary, shipped, spans, worker_encoder
 from lumbrera.session import written
 
 #: Strongest boundary first: after a blank line, a line, a sentence, a clause, a word, a character; x is inside a character.
@@ -71,7 +71,7 @@ def boundary_classes(text: str, ids: np.ndarray, sizes: np.ndarray) -> tuple[str
 def _classes(text: Column, limit: Column, path: str) -> Column:
     @F.pandas_udf(_CLASSES)
     def classes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        enc, m = worker_encoder(path), load_merges(path)
+        enc, m = worker_encoder(path), load_merges(shipped(path))
         sizes = np.zeros(max(int(m.byte_ids.max()), int(m.joined.max())) + 1, np.int64)
         sizes[m.byte_ids] = 1
         sizes[m.joined] = [len(t) for t in m.tokens]
@@ -125,6 +125,7 @@ def split_oversized(docs: DataFrame, limits: DataFrame, key: str = "doc_id", tex
     A text cut inside a pre-split piece can have more tokens when the piece is tokenised by itself. After the cut all pieces
     are therefore counted again; documents with a piece above the limit are cut anew with a limit lower by the excess.
     """
+    ship_vocabulary(docs.sparkSession, path)
     limits = limits.groupBy(group).agg(F.min("max_tokens").alias("_max"), F.max("solape_tokens").alias("_sol"))
     # Limits of a checked number are sent to the texts; more of them are joined by a shuffle, whose hot groups AQE splits.
     limits = F.broadcast(limits) if limits.limit(FEW + 1).count() <= FEW else limits

@@ -1,4 +1,5 @@
 import itertools
+import os
 from math import comb
 
 import numpy as np
@@ -100,6 +101,23 @@ def test_mix(spark):
     assert {r.source: r.tokens_mezcla for r in mix.draw_mix(df, profile, block=50)[1].collect()} == {s: r.tokens_mezcla for s, r in rep.items()}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_shares_and_repetitions_of_the_tables(spark):
+    docs, profile = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "perfil_fuentes"))
+    drawn, report = mix.draw_mix(docs, profile)
+    drawn, report = drawn.toPandas(), report.toPandas().set_index("source")
+    assert drawn.doc_id.is_unique and (drawn.copias >= 1).all()
+    for source, r in report.iterrows():
+        own = drawn[drawn.source == source]
+        assert (own.copias <= r.max_repeticiones).all() and (own.tokens * own.copias).sum() == r.tokens_mezcla
+        assert abs(r.desvio) <= (own.tokens.max() if len(own) else 0), source
+        # What cannot reach its share is used in full.
+        assert r.alcanza or r.tokens_mezcla == r.max_repeticiones * r.tokens_propios
+        # The number of records is kept as the number of tokens is.
+        assert not r.tokens_propios or abs(r.registros_mezcla - r.documentos * r.veces) <= 2
+    assert report.cuota_real.sum() == pytest.approx(1) and 0 < (~report.alcanza).sum() < len(report)
+
+
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     profile = spark.createDataFrame([("a", 1.0, 1)], PROFILE)
