@@ -163,12 +163,12 @@ class Encoder:
         self.known.update(zip(new, merge_rounds([w.encode("utf-8", "surrogatepass") for w in new], self.m), strict=True))
         return [np.concatenate([self.known[w] for w in p]) if len(p) > 1 else self.known[p[0]] for p in pieces]
 
-    def _read(self, texts: list[str | None]) -> tuple[list[list[str]], dict[int, np.ndarray]]:
-        """The strings between single spaces of every text, all of them known, and the ids of the texts that are not made of such."""
+    def _read(self, texts: list[str | None]) -> tuple[list[tuple[bool, list[str]]], dict[int, np.ndarray]]:
+        """Whether each text starts with a space, and its strings between single spaces, all of them known; and the ids of the texts that are not made of such."""
         if len(self.ids[1]) > CACHE_WORDS or self.held > CACHE_CHARACTERS:
             self._forget()
-        split = [t.split(" ") if t else [] for t in texts]
-        new = ({s[0] for s in split if s} - self.ids[0].keys() - self.odd, set().union(*(s[1:] for s in split)) - self.ids[1].keys() - self.odd)
+        split = [(False, []) if not t else (True, t[1:].split(" ")) if t[0] == " " else (False, t.split(" ")) for t in texts]
+        new = ({s[0] for spaced, s in split if s and not spaced} - self.ids[0].keys() - self.odd, set().union(*(s if spaced else s[1:] for spaced, s in split)) - self.ids[1].keys() - self.odd)
         for lead, strings, ids, sizes in zip(("", " "), new, self.ids, self.sizes, strict=True):
             good = [c for c in strings if c and not c[0].isspace() and not c[-1].isspace()]
             self.odd |= strings.difference(good)
@@ -176,18 +176,22 @@ class Encoder:
             found = dict(zip(good, self._learn([_SPLIT.findall(lead + c) for c in good]), strict=True))
             ids.update(found)
             sizes.update((c, len(x)) for c, x in found.items())
-        whole = [k for k, s in enumerate(split) if not self.odd.isdisjoint(s)]
+        whole = [k for k, (_, s) in enumerate(split) if not self.odd.isdisjoint(s)]
         return split, dict(zip(whole, self._learn([_SPLIT.findall(texts[k]) for k in whole]), strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         split, whole = self._read(texts)
         first, after = self.ids
-        return [whole[k] if k in whole else np.concatenate([first[s[0]], *map(after.__getitem__, s[1:])]) if s else np.zeros(0, np.int32) for k, s in enumerate(split)]
+
+        def joined(spaced: bool, s: list[str]) -> np.ndarray:
+            return np.concatenate([*([] if spaced else [first[s[0]]]), *map(after.__getitem__, s if spaced else s[1:])]) if s else np.zeros(0, np.int32)
+
+        return [whole[k] if k in whole else joined(*x) for k, x in enumerate(split)]
 
     def counts(self, texts: list[str | None]) -> list[int]:
         split, whole = self._read(texts)
         first, after = self.sizes
-        return [len(whole[k]) if k in whole else first[s[0]] + sum(map(after.__getitem__, s[1:])) if s else 0 for k, s in enumerate(split)]
+        return [len(whole[k]) if k in whole else 0 if not s else sum(map(after.__getitem__, s)) if spaced else first[s[0]] + sum(map(after.__getitem__, s[1:])) for k, (spaced, s) in enumerate(split)]
 
 
 def spans(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
