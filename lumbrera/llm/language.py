@@ -76,6 +76,8 @@ _ENDS = tuple(".!?…»”\"।؟。")
 _LEAD = " «“\"'(¿¡—–-[{"
 #: Strings between white space that a worker keeps, and the longest of them.
 KEPT, KEPT_LENGTH = 400_000, 40
+#: Strings whose scores are held at a time, about; paragraphs stay whole.
+BLOCK = 100_000
 _N = len(LANGUAGES)
 # LATIN stands first in LANGUAGES.
 _OTHERS = (1.1 * FLOOR,) * (_N - len(LATIN))
@@ -277,19 +279,16 @@ class Labeller:
         name = cap & (~before | (marks & 4 > 0))
         inner = ~first & ~np.r_[first[1:], True]
         name |= inner & (marks & 8 > 0) & np.r_[False, cap[:-1]] & np.r_[cap[1:], False] & np.r_[False, (marks & 16 > 0)[:-1]]
-        v = np.where(name[:, None], self.table[ids, _N : 2 * _N], self.table[ids, :_N])
+        values = lambda at: np.where(name[at][:, None], self.table[ids[at], _N : 2 * _N], self.table[ids[at], :_N])
         words = np.add.reduceat(self.table[ids, -2], starts)
-        total = np.add.reduceat(v, starts, axis=0)
+        total, gain = np.empty((len(lengths), _N)), np.empty(len(lengths))
+        lo = 0
+        while lo < len(lengths):
+            hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + BLOCK)))
+            part = slice(starts[lo], starts[hi - 1] + lengths[hi - 1])
+            total[lo:hi], gain[lo:hi] = self._sums(values(part), lengths[lo:hi], first[part])
+            lo = hi
         best = total.argmax(1)
-        # Whether a stretch inside a paragraph could be worth a switch: the best sum of consecutive words of any other language
-        # over the paragraph's. Up to SWITCH_PARAGRAPH no path over the words can beat one that keeps to the paragraph.
-        par = np.repeat(np.arange(len(lengths)), lengths)
-        over = np.cumsum(v - v[np.arange(len(ids)), best[par]][:, None], axis=0)
-        base = np.r_[np.zeros((1, _N)), over][starts]
-        over -= base[par]
-        span = 1.0 + 2 * np.abs(over).max()
-        low = np.minimum.accumulate(np.r_[np.zeros((1, _N)), over[:-1]] * ~first[:, None] - (span * par)[:, None], axis=0) + (span * par)[:, None]
-        gain = np.maximum.reduceat((over - low).max(1), starts)
         split = gain > SWITCH_PARAGRAPH
         out, at = [], 0
         slope, offset = self.model.slope, self.model.offset
@@ -304,8 +303,8 @@ class Labeller:
                 full = np.flatnonzero(w)
                 if (few := split[at : at + n]).any():
                     # Words one by one where a switch may pay, the other paragraphs in one step each.
-                    cut = [starts[at + k] + np.arange(lengths[at + k]) for k in range(n)]
-                    steps = np.concatenate([v[c] if x else t[k : k + 1] for k, (c, x) in enumerate(zip(cut, few, strict=True))])
+                    cut = [slice(starts[at + k], starts[at + k] + lengths[at + k]) for k in range(n)]
+                    steps = np.concatenate([values(c) if x else t[k : k + 1] for k, (c, x) in enumerate(zip(cut, few, strict=True))])
                     weight = np.concatenate([self.table[ids[c], -2] if x else w[k : k + 1] for k, (c, x) in enumerate(zip(cut, few, strict=True))])
                     lang = self._word_path(steps, weight, np.where(few, lengths[at : at + n], 1))
                 elif (b[full] == b[full[0]]).all():
@@ -327,6 +326,22 @@ class Labeller:
             at += n
         return out
 
+    @staticmethod
+    def _sums(v: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each paragraph the sums of its words' scores, and whether a stretch inside it could be worth a switch: the best sum of consecutive words of any other language over the paragraph's.
+
+        Up to SWITCH_PARAGRAPH no path over the words can beat one that keeps to the paragraph.
+        """
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        total = np.add.reduceat(v, starts, axis=0)
+        par = np.repeat(np.arange(len(lengths)), lengths)
+        over = np.cumsum(v - v[np.arange(len(v)), total.argmax(1)[par]][:, None], axis=0)
+        over -= np.r_[np.zeros((1, _N)), over][starts][par]
+        # Every paragraph lies lower than the one before, so the running minimum starts anew in each.
+        shift = ((1.0 + 2 * np.abs(over).max()) * par)[:, None]
+        low = np.minimum.accumulate(np.r_[np.zeros((1, _N)), over[:-1]] * ~first[:, None] - shift, axis=0) + shift
+        return total, np.maximum.reduceat((over - low).max(1), starts)
+
     @staticmethod
     def _paragraph_path(total: np.ndarray, words: np.ndarray) -> list[int]:
         """Viterbi path over paragraphs of one language each."""

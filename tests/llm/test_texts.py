@@ -187,6 +187,14 @@ def test_paragraph_steps_are_the_path_over_words():
         assert [language.LANGUAGES[c] for c in path] == [x[3] for x in got], t
 
 
+def test_blocks_of_paragraphs_change_nothing(monkeypatch):
+    docs = [t for _, t in _tables(random.Random(8), 200)]
+    lab = language.Labeller(language.learn_words(docs))
+    whole = lab.batch([*docs, None, " ", "\n\n".join(docs)])
+    monkeypatch.setattr(language, "BLOCK", 7)
+    assert lab.batch([*docs, None, " ", "\n\n".join(docs)]) == whole
+
+
 def test_confidence_of_held_out_pieces():
     model = language.learn_words([t for _, t in _tables(random.Random(3), 600)])
     assert model.slope > 0
